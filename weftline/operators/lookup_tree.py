@@ -59,16 +59,15 @@ def lookup_nodes(lookups: Column, max_depth: Column, options: Options) -> Column
                     e["keys"].alias("keys"),
                     F.coalesce(J.raw_of(e["m"], "createifnotexists") == "true", F.lit(False)).alias("create"),
                     J.bag(J.raw_of(e["m"], "createattributes")).alias("create_attrs"),
-                    F.coalesce(
+                    F.when(
+                        J.raw_of(e["m"], "maxdepth").isNotNull(),
                         F.least(
                             F.greatest(J.raw_of(e["m"], "maxdepth").try_cast("int"), F.lit(1)),
-                            F.when(
-                                J.raw_of(e["m"], "maxdepth").try_cast("int").isNotNull(),
-                                F.lit(options.max_lookup_depth),
-                            ),
+                            F.lit(options.max_lookup_depth),
                         ),
-                        eff,
-                    ).alias("eff_depth"),
+                    )
+                    .otherwise(eff)
+                    .alias("eff_depth"),
                     signature(J.raw_of(e["m"], "entitylogicalname"), e["keys"]).alias("sig"),
                     above.alias("above"),
                     J.raw_of(e["m"], "nestedlookups").alias("nested"),
@@ -90,7 +89,7 @@ def lookup_nodes(lookups: Column, max_depth: Column, options: Options) -> Column
                     n["path"],
                     n["depth"] + 1,
                     n["eff_depth"],
-                    F.concat(n["above"], F.array(F.upper(n["sig"]))),
+                    F.concat(n["above"], F.array(n["sig"])),
                 ),
             )
         )

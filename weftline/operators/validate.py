@@ -229,9 +229,11 @@ def validate_and_convert(payloads: DataFrame, catalog: Catalog, options: Options
         .withColumn("values", F.when(F.col("_valid"), values_map(F.concat("_attrs", "_keys"))))
     )
     has_id = F.col("id").isNotNull() & (F.col("id") != V.empty_guid())
+    about = [c for c in ("correlation_id", "guard_status", "guard_error") if c in payloads.columns]
     return typed.select(
         "message_id",
         "idx",
+        *about,
         "is_null",
         "entity",
         F.when(F.col("_valid"), F.lower("entity")).alias("entity_name"),

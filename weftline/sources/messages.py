@@ -86,15 +86,20 @@ def parse_batches(messages: DataFrame, options: Options = Options(), channel: st
     )
 
 
-def explode_payloads(batches: DataFrame) -> DataFrame:
-    """One row per payload, numbered by its place in the batch. Null payloads stay rows."""
+def explode_payloads(batches: DataFrame, keep_refused: bool = False) -> DataFrame:
+    """One row per payload, numbered by its place in the batch. Null payloads stay rows.
+
+    With ``keep_refused`` every row also carries its message's correlation id and guard
+    columns, and a refused message is one row without ``idx``.
+    """
     members = F.transform(
         F.col("payloads"), lambda p: F.when(p["kind"] == "object", J.bag(p["raw"], fold_names=True))
     )
-    rows = batches.where(F.col("guard_status").isNull()).select(
-        "message_id", F.col("max_depth").alias("_batch_depth"), F.posexplode(members).alias("idx", "m")
-    )
-    return rows.select("message_id", "idx", *_payload_columns(F.col("m"), F.col("_batch_depth")))
+    about = ["correlation_id", "guard_status", "guard_error"] if keep_refused else []
+    kept = batches if keep_refused else batches.where(F.col("guard_status").isNull())
+    explode = F.posexplode_outer if keep_refused else F.posexplode
+    rows = kept.select("message_id", *about, F.col("max_depth").alias("_batch_depth"), explode(members).alias("idx", "m"))
+    return rows.select("message_id", "idx", *about, *_payload_columns(F.col("m"), F.col("_batch_depth")))
 
 
 def _payload_columns(m: Column, batch_depth: Column) -> list[Column]:
