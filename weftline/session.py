@@ -30,6 +30,8 @@ def build_session(app_name: str = "weftline", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    # Recording a Python call site for every expression costs more than building it.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     for key, value in conf.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
