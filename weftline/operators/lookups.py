@@ -2,15 +2,15 @@
 
 One row is one lookup definition of one payload (a *node*). Existence of all nodes is
 known from one join (``resolve.match_keys``). What is left is who creates a missing
-record: of all creating nodes that are reached, the first by (depth, message, payload,
-order) *owns* the record; only its nested lookups are followed. Each level is one
-aggregate and one join, for at most ``max_lookup_depth`` levels. An owner whose nested
-lookup fails gives way to the next node asking for the same record.
+record: of all nodes that are reached and able to create it, the first by (depth,
+message, payload, order) *owns* the record, and only its nested lookups are followed.
+Both passes, bottom up for "able" and top down for "owns", take one aggregate and one
+join per level, for as many levels as the batch really nests.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.catalog import Catalog
@@ -106,139 +106,154 @@ def with_matches(nodes: DataFrame, matches: DataFrame) -> DataFrame:
     )
 
 
-def _claim_level(reached: DataFrame, taken: DataFrame | None, failed: DataFrame | None) -> DataFrame:
-    """Owners among the reached nodes of one level: first creating node per missing record."""
-    candidates = reached.where(
-        F.col("error").isNull() & (F.col("match_count") == 0) & F.col("create") & F.col("create_error").isNull()
+def _missing() -> Column:
+    return F.col("error").isNull() & (F.col("match_count") == 0)
+
+
+def _judge(nodes: DataFrame, levels: int, created: DataFrame | None) -> DataFrame:
+    """From the bottom up: would this node resolve, if it had to create its record itself?
+
+    Adds ``made`` (somebody created the record), ``verdict`` and ``verdict_category`` (null when
+    it resolves) and ``cut`` (the nested lookup that fails first).
+    """
+    if created is None:
+        known = nodes.withColumn("made", F.lit(False))
+    else:
+        known = nodes.join(
+            created.select("entity_name", "identity", F.lit(True).alias("made")), ["entity_name", "identity"], "left"
+        ).withColumn("made", F.coalesce("made", F.lit(False)))
+    not_found = message(
+        "Lookup resolution for '", F.col("attribute"), "': entity '", F.col("entity"),
+        "' not found and CreateIfNotExists is false.",
     )
-    if failed is not None:
-        candidates = candidates.join(failed.select(*_NODE), _NODE, "left_anti")
-    owners = candidates.groupBy("entity_name", "identity").agg(F.min(F.struct(*_NODE)).alias("owner"))
-    if taken is not None:
-        owners = owners.join(taken.select("entity_name", "identity"), ["entity_name", "identity"], "left_anti")
-    return owners.select("entity_name", "identity", *[F.col(f"owner.{c}").alias(f"owner_{c}") for c in _NODE])
-
-
-def _claim(nodes: DataFrame, levels: int, failed: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """All owners and all reached nodes, level by level from the top."""
-    reached = nodes.where(F.col("depth") == 0)
-    all_reached = reached
-    owners = _claim_level(reached, None, failed)
-    for depth in range(1, levels):
+    nothing = F.lit(None).cast("string")
+    judged = below = None
+    for depth in range(levels - 1, -1, -1):
+        level = known.where(F.col("depth") == depth)
+        if below is None:
+            level = level.select("*", *[nothing.alias(c) for c in ("cut", "_error", "_category")])
+        else:
+            level = level.join(below, _NODE, "left")
+        creating_fails = F.coalesce("create_error", "_error")
+        lost = _missing() & ~F.col("made")
+        level = (
+            level.withColumn(
+                "verdict",
+                F.when(lost & ~F.col("create"), not_found).when(lost, creating_fails).otherwise(F.col("error")),
+            )
+            .withColumn(
+                "verdict_category",
+                F.when(lost & ~F.col("create"), "Permanent")
+                .when(lost, F.when(F.col("create_error").isNotNull(), "Validation").otherwise(F.col("_category")))
+                .otherwise(F.col("category")),
+            )
+            .withColumn("cut", F.when(lost & F.col("create") & F.col("create_error").isNull(), F.col("cut")))
+            .drop("_error", "_category")
+        )
+        judged = level if judged is None else judged.unionByName(level)
+        below = (
+            level.where(F.col("verdict").isNotNull() & (F.col("depth") > 0))
+            .groupBy("message_id", "idx", F.col("parent").alias("_parent"))
+            .agg(F.min(F.struct("ord", "verdict", "verdict_category")).alias("_f"))
+            .select(
+                "message_id",
+                "idx",
+                F.col("_parent").alias("ord"),
+                F.col("_f.ord").alias("cut"),
+                F.col("_f.verdict").alias("_error"),
+                F.col("_f.verdict_category").alias("_category"),
+            )
+        )
+    return judged
+
+
+def _claim(judged: DataFrame, levels: int, created: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """From the top down: owners of missing records, and all nodes that are reached.
+
+    Only nodes that can create their record become owners. A node that cannot, for a record
+    nobody else creates, still runs its nested lookups up to the first that fails.
+    """
+    owners, reached, all_reached = created, judged.where(F.col("depth") == 0), None
+    for depth in range(levels):
+        all_reached = reached if all_reached is None else all_reached.unionByName(reached)
+        able = reached.where(_missing() & ~F.col("made") & F.col("create") & F.col("verdict").isNull())
+        first = able.groupBy("entity_name", "identity").agg(F.min(F.struct(*_NODE)).alias("owner"))
+        fresh = first.select("entity_name", "identity", *[F.col(f"owner.{c}").alias(f"owner_{c}") for c in _NODE])
+        if owners is None:
+            owners = fresh
+        else:
+            fresh = fresh.join(owners.select("entity_name", "identity"), ["entity_name", "identity"], "left_anti")
+            owners = owners.unionByName(fresh)
+        if depth + 1 == levels:
+            break
+        owners = cut_lineage(owners)
         tried = owners.select(
             F.col("owner_message_id").alias("message_id"),
             F.col("owner_idx").alias("idx"),
             F.col("owner_ord").alias("parent"),
-            F.lit(None).cast("string").alias("cut"),
+            F.lit(None).cast("string").alias("_cut"),
+        ).unionByName(
+            reached.where(F.col("cut").isNotNull())
+            .join(owners.select("entity_name", "identity"), ["entity_name", "identity"], "left_anti")
+            .select("message_id", "idx", F.col("ord").alias("parent"), F.col("cut").alias("_cut"))
         )
-        if failed is not None:
-            # A failed owner got as far as its first failing child.
-            tried = tried.unionByName(failed.select("message_id", "idx", F.col("ord").alias("parent"), "cut"))
         reached = (
-            nodes.where(F.col("depth") == depth)
+            judged.where(F.col("depth") == depth + 1)
             .join(tried, ["message_id", "idx", "parent"])
-            .where(F.col("cut").isNull() | (F.col("ord") <= F.col("cut")))
-            .drop("cut")
+            .where(F.col("_cut").isNull() | (F.col("ord") <= F.col("_cut")))
+            .drop("_cut")
         )
-        all_reached = all_reached.unionByName(reached)
-        owners = cut_lineage(owners.unionByName(_claim_level(reached, owners, failed)))
     return owners, all_reached
 
 
-def _outcomes(reached: DataFrame, owners: DataFrame, failed: DataFrame | None) -> DataFrame:
-    """Reached nodes with ``is_owner`` and the error each has by itself."""
+def resolve_lookups(nodes: DataFrame, levels: int, salt: str = "") -> DataFrame:
+    """Outcome of every reached node: ``resolved_id``, ``was_created`` or ``error``/``category``.
+
+    ``nodes`` come from ``with_matches``; ``levels`` is how deep they nest. One round settles
+    everything, unless a nested lookup failed to find a record that another payload's lookup
+    creates: then such nodes are judged again with the records created so far.
+    """
+    created = None
+    while True:
+        judged = _judge(nodes, levels, created)
+        if levels > 1:
+            judged = cut_lineage(judged)
+        owners, reached = _claim(judged, levels, created)
+        owners = cut_lineage(owners)
+        if levels == 1:
+            break
+        stuck = judged.where((F.col("depth") > 0) & _missing() & ~F.col("made") & F.col("verdict").isNotNull())
+        if stuck.join(owners.select("entity_name", "identity"), ["entity_name", "identity"], "left_semi").isEmpty():
+            break
+        created = owners
     joined = reached.join(owners, ["entity_name", "identity"], "left")
     is_owner = (
         (F.col("message_id") == F.col("owner_message_id"))
         & (F.col("idx") == F.col("owner_idx"))
         & (F.col("ord") == F.col("owner_ord"))
     )
-    missing = F.col("error").isNull() & (F.col("match_count") == 0) & F.col("owner_ord").isNull()
-    flagged = (
-        joined.withColumn("is_owner", F.coalesce(is_owner, F.lit(False)))
-        .withColumn("_missing", missing)
-        .drop(*[f"owner_{c}" for c in _NODE])
-    )
-    own = (
-        flagged.withColumn(
-            "category",
-            F.when(
-                F.col("_missing"), F.when(F.col("create_error").isNotNull(), "Validation").otherwise("Permanent")
-            ).otherwise(F.col("category")),
-        )
+    made = _missing() & F.col("owner_ord").isNotNull()
+    settled = (
+        joined.withColumn("was_created", F.coalesce(made & is_owner, F.lit(False)))
+        .withColumn("category", F.when(~made, F.col("verdict_category")))
+        .withColumn("error", F.when(~made, F.col("verdict")))
         .withColumn(
-            "error",
+            "resolved_id",
             F.when(
-                F.col("_missing"),
-                F.coalesce(
-                    "create_error",
-                    message(
-                        "Lookup resolution for '", F.col("attribute"), "': entity '", F.col("entity"),
-                        "' not found and CreateIfNotExists is false.",
-                    ),
-                ),
-            ).otherwise(F.col("error")),
+                F.col("error").isNull(),
+                F.coalesce("match_id", K.new_id(F.col("entity_name"), F.col("identity"), salt)),
+            ),
         )
-        .drop("_missing")
-    )
-    if failed is None:
-        return own
-    stored = failed.select(*_NODE, F.col("error").alias("_error"), F.col("category").alias("_category"))
-    return (
-        own.join(stored, _NODE, "left")
-        .withColumn("error", F.coalesce("_error", "error"))
-        .withColumn("category", F.coalesce("_category", "category"))
-        .drop("_error", "_category")
     )
-
-
-def _failing_owners(outcomes: DataFrame, levels: int) -> DataFrame:
-    """Owners with a failing nested lookup, found from the bottom up, with the first failure's text."""
-    found = None
-    failing = outcomes.where((F.col("depth") == levels - 1) & F.col("error").isNotNull())
-    for depth in range(levels - 2, -1, -1):
-        first = failing.groupBy("message_id", "idx", F.col("parent").alias("_parent")).agg(
-            F.min(F.struct(F.col("ord").alias("cut"), "error", "category")).alias("f")
+    return cut_lineage(
+        settled.select(
+            *_NODE, "parent", "path", "attribute", "depth", "entity", "entity_name", "identity", "sig",
+            "create_values", "resolved_id", "was_created", "error", "category",
         )
-        level = outcomes.where(F.col("depth") == depth)
-        broken = (
-            level.where(F.col("is_owner"))
-            .join(first.withColumnRenamed("_parent", "ord"), _NODE)
-            .select(*_NODE, "parent", F.col("f.cut").alias("cut"), F.col("f.error").alias("error"), F.col("f.category").alias("category"))
-        )
-        found = broken if found is None else found.unionByName(broken)
-        failing = (
-            level.where(F.col("error").isNotNull()).select(*_NODE, "parent", "error", "category")
-        ).unionByName(broken.drop("cut"))
-    return found
-
-
-def resolve_lookups(nodes: DataFrame, levels: int, salt: str = "") -> DataFrame:
-    """Outcome of every reached node: ``resolved_id``, ``was_created`` or ``error``/``category``.
-
-    ``nodes`` come from ``with_matches``; ``levels`` is how deep they nest.
-    """
-    failed = None
-    while True:
-        owners, reached = _claim(nodes, levels, failed)
-        outcomes = cut_lineage(_outcomes(reached, owners, failed))
-        if levels <= 1:
-            break
-        broken = _failing_owners(outcomes, levels)
-        if broken.isEmpty():
-            break
-        broken = broken.drop("parent")
-        failed = cut_lineage(broken if failed is None else failed.unionByName(broken))
-    return outcomes.withColumn("was_created", F.col("is_owner") & F.col("error").isNull()).withColumn(
-        "resolved_id",
-        F.when(
-            F.col("error").isNull(),
-            F.coalesce("match_id", K.new_id(F.col("entity_name"), F.col("identity"), salt)),
-        ),
     )
 
 
-def _reference() -> F.Column:
+def _reference() -> Column:
     return F.concat(F.col("entity_name"), F.lit(":"), F.col("resolved_id"))
 
 

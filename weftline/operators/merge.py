@@ -53,6 +53,13 @@ def fold_changes(changes: DataFrame) -> DataFrame:
     )
 
 
+def _nullable(data_type: T.DataType) -> T.DataType:
+    """The type with nullable members: a reference can always be cleared."""
+    if isinstance(data_type, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True) for f in data_type.fields])
+    return data_type
+
+
 def merge_entity(target: DataFrame, folded: DataFrame, catalog: Catalog, entity: str) -> DataFrame:
     """New state of one table: supplied columns replaced, all others kept, new records added.
 
@@ -66,13 +73,14 @@ def merge_entity(target: DataFrame, folded: DataFrame, catalog: Catalog, entity:
 
     def value_of(column: str, type_: T.DataType) -> Column:
         text = F.try_element_at(F.col("_values"), F.lit(column.lower()))
-        return typed(text, specs[column.lower()].type).cast(type_)
+        return typed(text, specs[column.lower()].type).cast(_nullable(type_))
 
     def updated(f: T.StructField) -> Column:
         if f.name.lower() == id_column or f.name.lower() not in specs:
             return F.col(f.name)
         supplied = F.map_contains_key("_values", f.name.lower())
-        return F.when(supplied, value_of(f.name, f.dataType)).otherwise(F.col(f.name)).alias(f.name)
+        kept = F.col(f.name).cast(_nullable(f.dataType))
+        return F.when(supplied, value_of(f.name, f.dataType)).otherwise(kept).alias(f.name)
 
     def fresh(f: T.StructField) -> Column:
         if f.name.lower() == id_column:

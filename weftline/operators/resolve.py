@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.catalog import Catalog
@@ -89,7 +89,7 @@ def resolve_keys(rows: DataFrame, matches: DataFrame) -> DataFrame:
     ).withColumn("match_id", F.when(searched, F.col("match_id")))
 
 
-def ambiguity_error() -> F.Column:
+def ambiguity_error() -> Column:
     return F.when(
         F.col("match_count") > 1,
         message(
