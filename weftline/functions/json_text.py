@@ -16,53 +16,78 @@ _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 BAG_DDL = "map<string,struct<kind:string,raw:string>>"
 
 
-def kind_of(value: Column) -> Column:
-    """Kind of a VARIANT. Integer literals are told apart from other numbers."""
-    schema = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull() | (schema == "VOID"), "null")
-        .when(schema == "BIGINT", "int")
-        .when(schema == "STRING", "string")
-        .when(schema == "BOOLEAN", "bool")
-        .when(schema.startswith("OBJECT"), "object")
-        .when(schema.startswith("ARRAY"), "array")
-        .otherwise("number")
-    )
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
 
+def kind_of(raw: Column, value: Column) -> Column:
+    """Kind of a value from its raw text and its VARIANT. Integers are told apart from other numbers.
 
-def document_text(body: Column) -> Column:
-    """The body if it is exactly one well-formed JSON object, else null."""
-    wrapped = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<string>", _STRICT)
-    return F.when(
-        body.rlike(r"^[ \t\r\n]*\{") & (F.size(wrapped) == 1) & F.get(wrapped, 0).isNotNull(), F.get(wrapped, 0)
+    Nested values are recognised one level deep only; naming their whole schema would walk
+    them to the end.
+    """
+    first = F.substring(raw, 1, 1)
+    scalar = _let(
+        F.schema_of_variant(value),
+        lambda s: F.when(s == "STRING", "string")
+        .when(s == "BIGINT", "int")
+        .when(s == "BOOLEAN", "bool")
+        .otherwise("number"),
+    )
+    string = F.lit("string")
+    return (
+        F.when(raw.isNull(), "null")
+        .when(first == "{", F.when(F.try_variant_get(value, "$", "map<string,variant>").isNotNull(), "object").otherwise(string))
+        .when(first == "[", F.when(F.try_variant_get(value, "$", "array<variant>").isNotNull(), "array").otherwise(string))
+        .otherwise(scalar)
     )
 
 
-def is_null_document(body: Column) -> Column:
-    return body.rlike(r"^[ \t\r\n]*null[ \t\r\n]*$")
+def _zip_bag(raw: Column, variants: Column, fold_names: bool) -> Column:
+    name = (lambda key: F.lower(key)) if fold_names else (lambda key: key)
+    return F.map_from_entries(
+        F.zip_with(
+            F.map_entries(raw),
+            F.map_values(variants),
+            lambda e, v: F.struct(
+                name(e["key"]).alias("key"),
+                F.struct(kind_of(e["value"], v).alias("kind"), e["value"].alias("raw")).alias("value"),
+            ),
+        )
+    )
 
 
 def bag(text: Column, fold_names: bool = False) -> Column:
     """Parse one JSON object into a bag. Null for anything that is not an object."""
-    raw = F.map_entries(F.from_json(text, "map<string,string>", _STRICT))
-    variants = F.map_values(F.from_json(text, "map<string,variant>", _STRICT))
-    name = (lambda key: F.lower(key)) if fold_names else (lambda key: key)
-    entries = F.zip_with(
-        raw,
-        variants,
-        lambda e, v: F.struct(
-            name(e["key"]).alias("key"),
-            F.struct(kind_of(v).alias("kind"), e["value"].alias("raw")).alias("value"),
-        ),
+    return _zip_bag(
+        F.from_json(text, "map<string,string>", _STRICT), F.from_json(text, "map<string,variant>", _STRICT), fold_names
     )
-    return F.map_from_entries(entries)
 
 
-def elements(text: Column) -> Column:
-    """Parse one JSON array into ``ARRAY<STRUCT<kind, raw>>``."""
-    raw = F.from_json(text, "array<string>", _STRICT)
-    variants = F.from_json(text, "array<variant>", _STRICT)
-    return F.zip_with(raw, variants, lambda r, v: F.struct(kind_of(v).alias("kind"), r.alias("raw")))
+def bags(text: Column) -> Column:
+    """Parse one JSON array of objects into an array of bags with lower-case names.
+
+    Null elements stay null. Null when the text is no array or an element is something else.
+    """
+    return F.zip_with(
+        F.from_json(text, "array<map<string,string>>", _STRICT),
+        F.from_json(text, "array<map<string,variant>>", _STRICT),
+        lambda raw, variants: _zip_bag(raw, variants, fold_names=True),
+    )
+
+
+def document(body: Column) -> Column:
+    """The body as a bag with lower-case names, if it is exactly one well-formed JSON object.
+
+    Reading it as the only element of an array is what makes the parser look at the whole
+    text: it would accept an object with anything behind it.
+    """
+    return _let(bags(F.concat(F.lit("["), body, F.lit("]"))), lambda d: F.when(F.size(d) == 1, F.get(d, F.lit(0))))
+
+
+def is_null_document(body: Column) -> Column:
+    return body.rlike(r"^[ \t\r\n]*null[ \t\r\n]*$")
 
 
 def member(members: Column, name: str) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from weftline.functions.text import is_blank, trimmed
 from weftline.functions.values import canonical, normalized_text
 
 _SEPARATORS = r"([\\,=:])"
@@ -41,14 +42,14 @@ def signature(entity: Column, keys: Column) -> Column:
         ),
     )
     return F.when(
-        entity.isNotNull() & (F.trim(entity) != "") & (F.coalesce(F.size(keys), F.lit(0)) > 0),
+        ~is_blank(entity) & (F.coalesce(F.size(keys), F.lit(0)) > 0),
         F.concat(F.lower(entity), F.lit(":"), F.array_join(pairs, ",")),
     )
 
 
 def folded(text: Column) -> Column:
     """Keys that differ only by case or outer spaces are one key."""
-    return F.lower(F.trim(text))
+    return F.lower(trimmed(text))
 
 
 def _pair(name: Column, text: Column) -> Column:

@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def is_blank(text: Column) -> Column:
-    return text.isNull() | text.rlike(r"(?U)^\s*$")
+# Characters that count as white space.
+_SPACES = (
+    "\t\n\x0b\x0c\r \x85\xa0            "
+    "    　"
+)
 
 
 def trimmed(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.btrim(text, F.lit(_SPACES))
+
+
+def is_blank(text: Column) -> Column:
+    return text.isNull() | (trimmed(text) == "")
 
 
 def message(*parts: Column | str) -> Column:

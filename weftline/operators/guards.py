@@ -75,9 +75,7 @@ def _definitions_in(text: Column) -> Column:
 
 def envelope_ok(members: Column, payloads: Column) -> Column:
     """Every required member is present and every envelope member has its type, down all lookups."""
-    objects = F.transform(
-        F.filter(payloads, lambda p: p["kind"] == "object"), lambda p: J.bag(p["raw"], fold_names=True)
-    )
+    objects = F.filter(payloads, lambda m: m.isNotNull())
     first = F.flatten(F.transform(objects, lambda m: _definitions_in(J.raw_of(m, "lookups"))))
 
     def next_level(levels: Column, _: Column) -> Column:
@@ -93,13 +91,11 @@ def envelope_ok(members: Column, payloads: Column) -> Column:
     definition_ok = lambda d: F.when(d["kind"] == "null", True).otherwise(
         (d["kind"] == "object") & F.coalesce(_definition_ok(J.bag(d["raw"], fold_names=True)), F.lit(False))
     )
+    listed = J.kind_of_member(members, "payloads") != "array"
     return (
         _kind_ok(members, "payloads", "array", "null", required=True)
         & _int_ok(members, "maxlookupdepth")
-        & F.forall(
-            F.coalesce(payloads, F.array().cast("array<struct<kind:string,raw:string>>")),
-            lambda p: p["kind"].isin("object", "null"),
-        )
+        & (F.coalesce(listed, F.lit(True)) | payloads.isNotNull())
         & F.coalesce(F.forall(objects, _payload_ok), F.lit(True))
         & F.coalesce(F.forall(definitions, definition_ok), F.lit(True))
     )
@@ -122,7 +118,7 @@ def apply_message_guards(parsed: DataFrame, options: Options, channel: str = "re
         .withColumn("_null", J.is_null_document(F.coalesce(body, F.lit("null"))))
         .withColumn(
             "_malformed",
-            F.col("_document").isNull()
+            F.col("_members").isNull()
             | J.nests_deeper_than(body, options.max_json_depth)
             | ~F.coalesce(envelope_ok(F.col("_members"), payloads), F.lit(False)),
         )

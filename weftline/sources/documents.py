@@ -40,33 +40,28 @@ def _texts_ok(members: Column, names: tuple[str, ...], required: tuple[str, ...]
     return ok
 
 
-def _contact_ok(c: Column) -> Column:
-    members = J.bag(c["raw"], fold_names=True)
+def _contact_ok(members: Column) -> Column:
     primary = J.kind_of_member(members, "isprimary")
-    return F.when(c["kind"] == "null", True).otherwise(
-        (c["kind"] == "object")
-        & _texts_ok(members, CONTACT_MEMBERS, _REQUIRED_CONTACT)
-        & F.coalesce(primary == "bool", F.lit(True))
+    return F.when(members.isNull(), True).otherwise(
+        _texts_ok(members, CONTACT_MEMBERS, _REQUIRED_CONTACT) & F.coalesce(primary == "bool", F.lit(True))
     )
 
 
 def parse_account_documents(messages: DataFrame, options: Options = Options()) -> DataFrame:
     """Parse and guard account documents: size, JSON, member types, number of contacts."""
-    parsed = (
-        messages.withColumn("_document", J.document_text(F.col("body")))
-        .withColumn("_m", J.bag(F.col("_document"), fold_names=True))
-        .withColumn(
-            "_contacts",
-            F.when(J.kind_of_member(F.col("_m"), "contacts") == "array", J.elements(J.raw_of(F.col("_m"), "contacts"))),
-        )
-    )
     m = F.col("_m")
     contacts_kind = J.kind_of_member(m, "contacts")
+    parsed = messages.withColumn("_m", J.document(F.col("body"))).withColumn(
+        "_contacts", F.when(contacts_kind == "array", J.bags(J.raw_of(m, "contacts")))
+    )
     well_formed = (
-        F.col("_document").isNotNull()
+        m.isNotNull()
         & ~J.nests_deeper_than(F.col("body"), options.max_json_depth)
         & _texts_ok(m, ACCOUNT_MEMBERS, _REQUIRED_ACCOUNT)
-        & F.coalesce(contacts_kind.isin("array", "null"), F.lit(True))
+        & F.coalesce(
+            F.when(contacts_kind == "array", F.col("_contacts").isNotNull()).otherwise(contacts_kind == "null"),
+            F.lit(True),
+        )
         & F.coalesce(F.forall("_contacts", _contact_ok), F.lit(True))
     )
     count = F.coalesce(F.size("_contacts"), F.lit(0))
@@ -84,11 +79,11 @@ def parse_account_documents(messages: DataFrame, options: Options = Options()) -
     )
     status = F.when(too_large(F.col("body"), options.max_request_bytes), 413).when(F.col("guard_error").isNotNull(), 400)
     described = F.transform(
-        F.transform("_contacts", lambda c: F.struct(J.bag(c["raw"], fold_names=True).alias("m"))),
+        "_contacts",
         lambda c: F.struct(
-            c["m"].isNull().alias("absent"),
-            *[J.raw_of(c["m"], n.lower()).alias(n) for n in CONTACT_MEMBERS],
-            F.coalesce(J.raw_of(c["m"], "isprimary") == "true", F.lit(False)).alias("IsPrimary"),
+            c.isNull().alias("absent"),
+            *[J.raw_of(c, n.lower()).alias(n) for n in CONTACT_MEMBERS],
+            F.coalesce(J.raw_of(c, "isprimary") == "true", F.lit(False)).alias("IsPrimary"),
         ),
     )
     return (

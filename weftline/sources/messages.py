@@ -68,22 +68,20 @@ def stream_messages(spark: SparkSession, format: str, options: dict[str, str], s
 def parse_batches(messages: DataFrame, options: Options = Options(), channel: str = "request") -> DataFrame:
     """Parse envelopes and run all message guards; nothing is dropped.
 
-    Adds ``payloads`` (``ARRAY<STRUCT<kind, raw>>``, null when rejected),
+    Adds ``payloads`` (an array of member maps, one per payload; null when refused),
     ``max_depth``, ``guard_status`` and ``guard_error``.
     """
+    members = F.col("_members")
     parsed = (
-        messages.withColumn("_document", J.document_text(F.col("body")))
-        .withColumn("_members", J.bag(F.col("_document"), fold_names=True))
+        messages.withColumn("_members", J.document(F.col("body")))
         .withColumn(
             "payloads",
-            F.when(J.kind_of_member(F.col("_members"), "payloads") == "array", J.elements(J.raw_of(F.col("_members"), "payloads"))),
+            F.when(J.kind_of_member(members, "payloads") == "array", J.bags(J.raw_of(members, "payloads"))),
         )
-        .withColumn("max_depth", J.raw_of(F.col("_members"), "maxlookupdepth").try_cast("int"))
+        .withColumn("max_depth", J.raw_of(members, "maxlookupdepth").try_cast("int"))
     )
     guarded = guards.apply_message_guards(parsed, options, channel)
-    return guarded.withColumn("payloads", F.when(F.col("guard_status").isNull(), F.col("payloads"))).drop(
-        "_document", "_members"
-    )
+    return guarded.withColumn("payloads", F.when(F.col("guard_status").isNull(), F.col("payloads"))).drop("_members")
 
 
 def explode_payloads(batches: DataFrame, keep_refused: bool = False) -> DataFrame:
@@ -92,13 +90,10 @@ def explode_payloads(batches: DataFrame, keep_refused: bool = False) -> DataFram
     With ``keep_refused`` every row also carries its message's correlation id and guard
     columns, and a refused message is one row without ``idx``.
     """
-    members = F.transform(
-        F.col("payloads"), lambda p: F.when(p["kind"] == "object", J.bag(p["raw"], fold_names=True))
-    )
     about = ["correlation_id", "guard_status", "guard_error"] if keep_refused else []
-    kept = batches if keep_refused else batches.where(F.col("guard_status").isNull())
     explode = F.posexplode_outer if keep_refused else F.posexplode
-    rows = kept.select("message_id", *about, F.col("max_depth").alias("_batch_depth"), explode(members).alias("idx", "m"))
+    # A refused message has no payloads left, so it needs no filter here.
+    rows = batches.select("message_id", *about, F.col("max_depth").alias("_batch_depth"), explode("payloads").alias("idx", "m"))
     return rows.select("message_id", "idx", *about, *_payload_columns(F.col("m"), F.col("_batch_depth")))
 
 
