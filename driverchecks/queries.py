@@ -23,6 +23,7 @@ from weftline.operators import triage as T
 from weftline.operators import validate as VAL
 from weftline.plans.account_documents import upsert_account_documents
 from weftline.plans.upsert import upsert_batch, upsert_rows, with_traces
+from weftline.session import cut_lineage
 from weftline.sources import sinks
 from weftline.sources.documents import parse_account_documents
 from weftline.sources.messages import explode_payloads, messages_from_table, parse_batches
@@ -405,7 +406,7 @@ def correlation_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 def _validated_events(spark: SparkSession, sf: str) -> DataFrame:
     batches = parse_batches(I.event_bodies(spark, sf))
-    return VAL.validate_and_convert(explode_payloads(batches), I.EVENT_CATALOG)
+    return cut_lineage(VAL.validate_and_convert(explode_payloads(batches), I.EVENT_CATALOG))
 
 
 def validate_attributes(spark: SparkSession, sf: str) -> DataFrame:

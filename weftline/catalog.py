@@ -72,7 +72,7 @@ class AttributeSpec:
         return SPARK_TYPES[self.type]
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Catalog:
     """``entities``: entity -> attribute -> spec. ``options``: option set -> name -> code."""
 

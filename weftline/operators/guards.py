@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,8 +75,13 @@ def _definitions_in(text: Column) -> Column:
     return F.coalesce(F.map_values(J.bag(text)), F.array().cast("array<struct<kind:string,raw:string>>"))
 
 
-def envelope_ok(members: Column, payloads: Column) -> Column:
-    """Every required member is present and every envelope member has its type, down all lookups."""
+@lru_cache(maxsize=1)
+def envelope_ok() -> Column:
+    """Every required member is present and every envelope member has its type, down all lookups.
+
+    Reads the columns ``_members`` and ``payloads``. Built once: it is a large expression.
+    """
+    members, payloads = F.col("_members"), F.col("payloads")
     objects = F.filter(payloads, lambda m: m.isNotNull())
     first = F.flatten(F.transform(objects, lambda m: _definitions_in(J.raw_of(m, "lookups"))))
 
@@ -120,7 +127,7 @@ def apply_message_guards(parsed: DataFrame, options: Options, channel: str = "re
             "_malformed",
             F.col("_members").isNull()
             | J.nests_deeper_than(body, options.max_json_depth)
-            | ~F.coalesce(envelope_ok(F.col("_members"), payloads), F.lit(False)),
+            | ~F.coalesce(envelope_ok(), F.lit(False)),
         )
     )
     error = (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,12 +20,14 @@ NODE_DDL = (
 )
 
 
-def lookup_nodes(lookups: Column, max_depth: Column, options: Options) -> Column:
-    """Flatten the lookup tree. ``ord`` sorts nodes as they were written, parents first.
+@lru_cache(maxsize=16)
+def lookup_nodes(options: Options) -> Column:
+    """Flatten the lookup tree in ``lookups``. ``ord`` sorts nodes as they were written, parents first.
 
     Depth budget and the signatures above a node are carried down, so the checks for
     depth and cycles need nothing but the node itself.
     """
+    lookups, max_depth = F.col("lookups"), F.col("max_depth")
     budget = F.least(
         F.greatest(F.coalesce(max_depth, F.lit(options.max_lookup_depth)), F.lit(1)), F.lit(options.max_lookup_depth)
     )

@@ -8,6 +8,8 @@ name mapped to null was supplied as null and clears the column.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,7 +93,10 @@ def key_errors(entries: Column, entity: Column, attribute_names: Column) -> Colu
 
 
 def converted(entries: Column) -> Column:
-    """``ARRAY<STRUCT<lname, text, error>>`` of entries with specs."""
+    """``ARRAY<STRUCT<lname, text, error>>`` of entries with specs.
+
+    Expects the columns the entries come from to be materialised by an earlier projection.
+    """
     texts = F.transform(
         entries,
         lambda e: F.struct(
@@ -133,8 +138,10 @@ def structure_errors() -> Column:
     )
 
 
-def lookup_errors(nodes: Column, catalog: Catalog) -> Column:
-    """Errors of all lookup definitions, each with its dotted path."""
+@lru_cache(maxsize=16)
+def lookup_errors(catalog: Catalog) -> Column:
+    """Errors of all lookup definitions in ``nodes``, each with its dotted path."""
+    nodes = F.col("nodes")
     catalog_column = catalog.column()
 
     def names(n: Column, bag: Column, specs: Column, part: str) -> Column:
@@ -180,8 +187,8 @@ def lookup_errors(nodes: Column, catalog: Catalog) -> Column:
 def validate_structure(payloads: DataFrame, catalog: Catalog, options: Options = Options()) -> DataFrame:
     """Shape of payloads and of their lookups. Adds ``nodes`` and ``shape_errors``."""
     return (
-        payloads.withColumn("nodes", lookup_nodes(F.col("lookups"), F.col("max_depth"), options))
-        .withColumn("shape_errors", F.concat(structure_errors(), lookup_errors(F.col("nodes"), catalog)))
+        payloads.withColumn("nodes", lookup_nodes(options))
+        .withColumn("shape_errors", F.concat(structure_errors(), lookup_errors(catalog)))
     )
 
 
@@ -193,7 +200,13 @@ def validate_attributes(payloads: DataFrame, catalog: Catalog) -> DataFrame:
         .withColumn("_attr_entries", with_specs(F.col("attrs"), F.col("_specs")))
         .withColumn("_key_entries", with_specs(F.col("keys"), F.col("_specs")))
     )
-    errors = F.when(
+    return prepared.withColumn("kind_errors", _kind_errors())
+
+
+@lru_cache(maxsize=1)
+def _kind_errors() -> Column:
+    entity = F.col("entity")
+    return F.when(
         F.col("_specs").isNull(),
         F.array(message("Entity '", entity, "' does not exist in the early-bound model.")),
     ).otherwise(
@@ -202,7 +215,11 @@ def validate_attributes(payloads: DataFrame, catalog: Catalog) -> DataFrame:
             key_errors(F.col("_key_entries"), entity, F.map_keys("attrs")),
         )
     )
-    return prepared.withColumn("kind_errors", errors)
+
+
+@lru_cache(maxsize=8)
+def _converted_column(name: str) -> Column:
+    return converted(F.col(name))
 
 
 def validate_and_convert(payloads: DataFrame, catalog: Catalog, options: Options = Options()) -> DataFrame:
@@ -218,8 +235,8 @@ def validate_and_convert(payloads: DataFrame, catalog: Catalog, options: Options
     )
     typed = (
         checked.withColumn("_stage_a", stage_a)
-        .withColumn("_attrs", F.when(F.col("_stage_a").isNull(), converted(F.col("_attr_entries"))))
-        .withColumn("_keys", F.when(F.col("_stage_a").isNull(), converted(F.col("_key_entries"))))
+        .withColumn("_attrs", F.when(F.col("_stage_a").isNull(), _converted_column("_attr_entries")))
+        .withColumn("_keys", F.when(F.col("_stage_a").isNull(), _converted_column("_key_entries")))
         .withColumn("_stage_b", F.coalesce(first_error(F.col("_attrs")), first_error(F.col("_keys"))))
         .withColumn(
             "errors", F.coalesce(F.col("_stage_a"), F.when(F.col("_stage_b").isNotNull(), F.array("_stage_b")))
