@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline import Catalog
-from weftline.session import configure
+from weftline.session import configure, spread_small_input
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -14,9 +14,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
-def events(spark: SparkSession, sf: str) -> DataFrame:
+def spread_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A driver table is one small file; before heavy work on its rows it is dealt out to all cores."""
+    return spread_small_input(table(spark, sf, name))
+
+
+def events(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf, "events").withColumn("k", k)
+    return (spread_table if spread else table)(spark, sf, "events").withColumn("k", k)
 
 
 # --- customers as an entity table ---------------------------------------------------------
@@ -44,7 +49,7 @@ def customer_key(number: Column) -> Column:
 def customer_changes(spark: SparkSession, sf: str) -> DataFrame:
     """Events as changes of customers; which columns an event supplies depends on its type."""
     of = F.col("event_type")
-    return events(spark, sf).select(
+    return events(spark, sf, spread=True).select(
         F.col("event_id").alias("message_id"),
         customer_key(F.col("user_id") + 30 * F.col("k")).alias("c_name"),
         F.when(of == "click", F.col("k") % 25).cast("int").alias("c_nationkey"),
@@ -192,7 +197,7 @@ FAILURE_CODES = [
 ]
 FAILURE_MESSAGES = [
     "Combined limit reached", "Rate Limit hit", "too many requests", "HTTP 429", "The response is empty",
-    "Failed to connect to Dataverse now", "A record already exists", "It Does Not Exist", "plain failure",
+    "Failed to connect to the store", "A record already exists", "It Does Not Exist", "plain failure",
     "another failure", "timed out", "no access",
 ]
 RETRY_HINTS = ["42", "00:00:17", "00:10:00", "0", "soon", "1.00:00:00", "00:00:01.5"]
@@ -285,7 +290,7 @@ def account_bodies(spark: SparkSession, sf: str) -> DataFrame:
         F.when(n % 2 == 0, F.lit("null")).otherwise(F.concat(F.lit('"City '), F.col("c_nationkey").cast("string"), F.lit('"'))),
         F.lit(',"Contacts":['), F.array_join(contacts, ","), F.lit("]}"),
     )
-    return table(spark, sf, "customer").select(
+    return spread_table(spark, sf, "customer").select(
         n.alias("message_id"), body.alias("body"), F.lit(None).cast("string").alias("correlation_id")
     )
 

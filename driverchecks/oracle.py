@@ -5,9 +5,6 @@ from __future__ import annotations
 from driverchecks.inputs import FAILURE_CODES, FAILURE_MESSAGES, FAILURE_TYPES, RETRY_HINTS
 from weftline.operators import triage as T
 
-_EMPTY = "00000000-0000-0000-0000-000000000000"
-
-
 def _uuid(text: str) -> str:
     h = f"sha256({text})"
     return (
@@ -52,7 +49,6 @@ FROM c LEFT JOIN customer ON c_name = c.key)"""
 
 # --- events with faults ---------------------------------------------------------------------
 
-_N = "event_id"
 _EVENT_ERRORS = f"""CASE
  WHEN n = 20 THEN 'Payload must not be null.'
  WHEN n = 24 THEN 'Field ''k'' has invalid type. Expected ''int''.'
@@ -137,7 +133,6 @@ runs AS (SELECT *, window_no - row_number() OVER (PARTITION BY thread_id ORDER B
   FROM wf WHERE flagged),
 cut AS (SELECT thread_id, min(first_no) + 1 AS cut_window FROM (
   SELECT thread_id, island, min(window_no) AS first_no FROM runs GROUP BY ALL HAVING count(*) >= 2) GROUP BY ALL)"""
-_HOUR = "epoch(ts)::BIGINT // 3600"
 _WHOLE_SECOND = "CAST(floor(epoch(ts)) AS BIGINT) // 3600"
 
 # --- lookups ------------------------------------------------------------------------------------
@@ -159,7 +154,7 @@ j AS (SELECT o.*, c_custkey, n_nationkey,
   FROM o LEFT JOIN customer ON c_name = cname LEFT JOIN nation ON n_name = 'NATION_' || nation)"""
 
 
-_NATION_ID = "coalesce(CAST(n_nationkey AS VARCHAR), " + _uuid("'nation:n_name=nation\\_'".replace("\\", "") + " || nation") + ")"
+_NATION_ID = "coalesce(CAST(n_nationkey AS VARCHAR), " + _uuid("'nation:n_name=nation_' || nation") + ")"
 _CUSTOMER_ID = "coalesce(CAST(c_custkey AS VARCHAR), " + _uuid("'customer:c_name=' || lower(cname)") + ")"
 
 # --- account documents ----------------------------------------------------------------------------
@@ -196,8 +191,6 @@ _AMBIGUOUS = (
 
 
 def oracle_sql() -> dict[str, str]:
-    code = "([1, NULL, 4])"
-    del code
     return {
         "upsert_customers": _UPSERTED,
         "upsert_customers_from_json": _UPSERTED,
@@ -354,7 +347,7 @@ s AS (SELECT op_id, max(op_kind) FILTER (node_id = 0) AS op_kind, max(exc_type)
   max(message) FILTER (node_id = 0) AS message, bool_or(throttled) AS throttled,
   arg_min(exc_type, node_id) FILTER (node_id <> 0) AS inner_type FROM g GROUP BY op_id)
 SELECT op_id, op_kind, CASE WHEN t IN ('ProtocolException', 'FaultException') THEN throttled
-  WHEN t = 'InvalidOperationException' THEN throttled OR contains(lower(message), 'failed to connect to dataverse')
+  WHEN t = 'InvalidOperationException' THEN throttled OR contains(lower(message), 'failed to connect to')
      OR (op_kind <> 'create' AND {_EMPTY_RESPONSE})
   WHEN t = 'AggregateException' THEN throttled OR (op_kind <> 'create' AND coalesce(inner_type IN ('TimeoutException', 'HttpRequestException'), false))
   WHEN t IN ('TimeoutException', 'HttpRequestException', 'TimeoutRejectedException') THEN op_kind <> 'create'

@@ -27,7 +27,7 @@ from weftline.session import cut_lineage
 from weftline.sources import sinks
 from weftline.sources.documents import parse_account_documents
 from weftline.sources.messages import explode_payloads, messages_from_table, parse_batches
-from weftline.sources.tables import Lookup, payloads_from_table
+from weftline.sources.tables import Lookup, payloads_from_table, profile_of
 from weftline.streaming.upsert_stream import settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # --- upsert -------------------------------------------------------------------------------
 
 
+_CUSTOMER_PROFILE = R.Profile([("customer", ("c_name",))], 0, False)
+
+
 def _customer_rows(spark: SparkSession, sf: str) -> DataFrame:
     changes = I.customer_changes(spark, sf)
     return payloads_from_table(
@@ -50,7 +53,9 @@ def _customer_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def upsert_customers(spark: SparkSession, sf: str) -> DataFrame:
     targets = {"customer": I.customers(spark, sf)}
-    return upsert_rows(_customer_rows(spark, sf), targets, I.CUSTOMER_CATALOG).tables["customer"]
+    return upsert_rows(
+        _customer_rows(spark, sf), targets, I.CUSTOMER_CATALOG, profile=_CUSTOMER_PROFILE
+    ).tables["customer"]
 
 
 def upsert_customers_from_json(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,7 +65,9 @@ def upsert_customers_from_json(spark: SparkSession, sf: str) -> DataFrame:
 
 def upsert_results(spark: SparkSession, sf: str) -> DataFrame:
     targets = {"customer": I.customers(spark, sf)}
-    return upsert_rows(_customer_rows(spark, sf), targets, I.CUSTOMER_CATALOG).results.select(
+    return upsert_rows(
+        _customer_rows(spark, sf), targets, I.CUSTOMER_CATALOG, profile=_CUSTOMER_PROFILE
+    ).results.select(
         "message_id", F.col("Id").alias("id"), F.col("Created").alias("created"),
         F.col("UpsertKey").alias("upsert_key"), F.col("ErrorCategory").alias("category"),
     )
@@ -133,7 +140,7 @@ def key_signature(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def key_signature_dates(spark: SparkSession, sf: str) -> DataFrame:
-    orders = I.table(spark, sf, "orders")
+    orders = I.spread_table(spark, sf, "orders")
     text = lambda c: F.struct(F.lit("string").alias("kind"), c.alias("raw"))
     day = F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd")
     keys = F.create_map(
@@ -160,7 +167,7 @@ def identity_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def resolve_unique(spark: SparkSession, sf: str) -> DataFrame:
-    orders = I.table(spark, sf, "orders")
+    orders = I.spread_table(spark, sf, "orders")
     name = I.customer_key(F.col("o_custkey") + (F.col("o_orderkey") % 3) * 500)
     rows = payloads_from_table(
         orders, I.CUSTOMER_CATALOG, "customer", {"C_NAME": F.upper(name)}, {}, message_id=F.col("o_orderkey")
@@ -179,7 +186,7 @@ PART_CATALOG = Catalog.from_rows(
 
 def resolve_ambiguous(spark: SparkSession, sf: str) -> DataFrame:
     part = I.table(spark, sf, "part")
-    lines = I.table(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    lines = I.spread_table(spark, sf, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
     rows = payloads_from_table(
         lines, PART_CATALOG, "part", {"p_brand": F.col("p_brand"), "p_size": F.col("p_size")}, {},
         message_id=F.col("l_orderkey"), idx=F.col("l_linenumber"),
@@ -191,7 +198,7 @@ def resolve_ambiguous(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def resolve_given_ids(spark: SparkSession, sf: str) -> DataFrame:
-    orders = I.table(spark, sf, "orders")
+    orders = I.spread_table(spark, sf, "orders")
     given = F.when(F.col("o_orderkey") % 2 == 0, (F.col("o_custkey") * 2).cast("string"))
     rows = payloads_from_table(
         orders, I.CUSTOMER_CATALOG, "customer", {"c_name": I.customer_key(F.col("o_custkey"))}, {},
@@ -205,7 +212,7 @@ def resolve_given_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 def reresolve_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     """First try against half of the customers, second against all: creates become updates."""
-    orders = I.table(spark, sf, "orders")
+    orders = I.spread_table(spark, sf, "orders")
     everyone = I.customers(spark, sf)
     early = {"customer": everyone.where(F.col("c_nationkey") < 12)}
     rows = payloads_from_table(
@@ -278,19 +285,19 @@ def lookup_one_level(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _create_missing(spark: SparkSession, sf: str):
-    base = I.events(spark, sf)
+    base = I.events(spark, sf, spread=True)
     name = I.customer_key(F.col("user_id") * 20 + F.col("k"))
-    rows = payloads_from_table(
-        base, GEO_CATALOG, "order", {"o_orderkey": F.col("event_id")}, {},
-        lookups=[
-            Lookup(
-                "o_custkey", "customer", {"c_name": name}, create=True,
-                create_attrs={"c_mktsegment": F.concat(F.lit("E"), F.col("event_id").cast("string"))},
-            )
-        ],
-        message_id=F.col("event_id"),
+    keys = {"o_orderkey": F.col("event_id")}
+    lookups = [
+        Lookup(
+            "o_custkey", "customer", {"c_name": name}, create=True,
+            create_attrs={"c_mktsegment": F.concat(F.lit("E"), F.col("event_id").cast("string"))},
+        )
+    ]
+    rows = payloads_from_table(base, GEO_CATALOG, "order", keys, {}, lookups, message_id=F.col("event_id"))
+    return upsert_rows(
+        rows, _geo_targets(spark, sf), GEO_CATALOG, profile=profile_of("order", keys, lookups)
     )
-    return upsert_rows(rows, _geo_targets(spark, sf), GEO_CATALOG)
 
 
 def lookup_create_missing(spark: SparkSession, sf: str) -> DataFrame:
@@ -308,7 +315,7 @@ def lookup_created_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _nested(spark: SparkSession, sf: str, depth: int):
-    base = I.table(spark, sf, "orders")
+    base = I.spread_table(spark, sf, "orders")
     number = F.col("o_custkey") * 2
     nation = number % 40
     regions = F.array(*[F.lit(r) for r in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST", "ATLANTIS")])
@@ -322,11 +329,12 @@ def _nested(spark: SparkSession, sf: str, depth: int):
         ],
     )
     options = Options(max_lookup_depth=depth)
+    keys = {"o_orderkey": F.col("o_orderkey")}
     rows = payloads_from_table(
-        base, GEO_CATALOG, "order", {"o_orderkey": F.col("o_orderkey")}, {}, lookups=[lookup],
-        message_id=F.col("o_orderkey"), options=options,
+        base, GEO_CATALOG, "order", keys, {}, [lookup], message_id=F.col("o_orderkey"), options=options
     )
-    return upsert_rows(rows, _geo_targets(spark, sf), GEO_CATALOG, options)
+    profile = profile_of("order", keys, [lookup])
+    return upsert_rows(rows, _geo_targets(spark, sf), GEO_CATALOG, options, profile=profile)
 
 
 def _nested_results(depth: int) -> Query:
@@ -483,7 +491,7 @@ def convert_texts(spark: SparkSession, sf: str) -> DataFrame:
         .when(n % 4 == 2, F.substring(stamp, 1, 7))
         .otherwise(F.concat(F.lit("ACC-"), stamp))
     )
-    return I.table(spark, sf, "lineitem").select(
+    return I.spread_table(spark, sf, "lineitem").select(
         n.cast("bigint").alias("n"),
         V.guid_of(spelled).alias("guid"),
         V.choice_code(flag, codes).alias("choice"),

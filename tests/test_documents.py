@@ -12,7 +12,7 @@ def contact(i, **change):
     return {"Email": f"c{i}@x.com", "FirstName": f"F{i}", "LastName": f"L{i}", **change}
 
 
-def document(number="SAP-000001", **change):
+def document(number="DOC-000001", **change):
     return {"AccountNumber": number, "Name": "Acme", **change}
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -63,6 +64,20 @@ def identity(keys: Column) -> Column:
     return F.array_join(F.transform(ordered, lambda e: _pair(e["key"], e["value"])), ",")
 
 
+def signature_of(entity: str, keys: Mapping[str, tuple[Column, Column]]) -> Column:
+    """``signature`` when the key names are known: name -> (kind, raw text)."""
+    pairs = [
+        F.concat(F.lit(re.sub(_SEPARATORS, r"\\\1", name.lower()) + "="), escaped(normalized_text(*keys[name])))
+        for name in sorted(keys, key=str.upper)
+    ]
+    return F.concat(F.lit(f"{entity.lower()}:"), F.concat_ws(",", *pairs))
+
+
+def identity_of(keys: Mapping[str, Column]) -> Column:
+    """``identity`` when the key names are known: lower-case name -> canonical text."""
+    return F.concat_ws(",", *[_pair(F.lit(name), keys[name]) for name in sorted(keys)])
+
+
 def key_names(keys: Column) -> Column:
     return F.array_sort(F.map_keys(keys))
 

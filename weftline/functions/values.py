@@ -31,12 +31,13 @@ def empty_guid() -> Column:
 
 def timestamp_of(text: Column) -> Column:
     """Timestamp of an ISO-shaped text (no offset means UTC), else null."""
-    shaped = (F.length(text) >= 10) & text.rlike(_DATE_SHAPE)
+    dashed = (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+    shaped = (F.length(text) >= 10) & dashed & text.rlike(_DATE_SHAPE)
     return F.when(shaped, text.try_cast("timestamp"))
 
 
 def is_plain_guid(text: Column) -> Column:
-    return text.rlike("(?i)^" + _GUID + "$")
+    return (F.length(text) == 36) & text.rlike("(?i)^" + _GUID + "$")
 
 
 def guid_of(text: Column) -> Column:

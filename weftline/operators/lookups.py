@@ -24,7 +24,8 @@ _NODE = ["message_id", "idx", "ord"]
 
 def explode_lookups(validated: DataFrame, catalog: Catalog) -> DataFrame:
     """One row per lookup definition of the valid payloads, with converted keys and create values."""
-    rows = validated.where(F.size("nodes") > 0).select("message_id", "idx", F.explode("nodes").alias("n"))
+    # The outer form: the inner one is preceded by a test for empty arrays, which builds them twice.
+    rows = validated.select("message_id", "idx", F.explode_outer("nodes").alias("n")).where(F.col("n.ord").isNotNull())
     prepared = (
         rows.select("message_id", "idx", "n.*")
         .withColumn("entity_name", F.lower("entity"))

@@ -8,6 +8,7 @@ of rows point to is looked up once.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,15 @@ from weftline.functions.text import message
 Shape = tuple[str, tuple[str, ...]]
 
 
+@dataclass(frozen=True)
+class Profile:
+    """What a set of rows needs: key sets in use, how deep lookups nest, whether ids are given."""
+
+    shapes: list[Shape]
+    levels: int
+    given: bool
+
+
 def key_shapes(requests: DataFrame, options: Options = Options()) -> list[Shape]:
     """Which sets of key columns are used. Reads names only; this is plan metadata, not data."""
     found = (

@@ -29,7 +29,7 @@ AGGREGATE_TYPE = "AggregateException"
 THROTTLE_TEXT = "(?i)rate limit|too many requests|429|throttl"
 CONFLICT_TEXT = "(?i)already exists|does not exist|duplicate"
 EMPTY_RESPONSE_TEXT = "(?i)response is empty|ThrowIfResponseIsEmpty"
-CLIENT_SETUP_TEXT = "(?i)Failed to connect to Dataverse"
+CLIENT_SETUP_TEXT = "(?i)failed to connect to"
 
 # Which category of a group wins, strongest first.
 GROUP_ORDER = ("Cancellation", "Throttling", "Transient", "Validation", "Permanent")

@@ -14,6 +14,7 @@ from weftline.functions.text import message
 from weftline.operators import documents as D
 from weftline.operators import merge as M
 from weftline.operators import results as S
+from weftline.operators.resolve import Profile
 from weftline.plans.upsert import changes_of, decide, results_of
 from weftline.session import configure, cut_lineage
 from weftline.sources.documents import parse_account_documents
@@ -79,8 +80,10 @@ def upsert_account_documents(
     documents = cut_lineage(D.validate_account_documents(parse_account_documents(messages, options)))
     good = documents.where(F.col("guard_status").isNull() & (F.size("errors") == 0))
 
-    accounts = decide(D.map_accounts(good), targets, catalog, options, salt)
-    written = accounts.rows.where(F.col("error").isNull()).select(
+    by_number = Profile([("account", ("accountnumber",))], 0, False)
+    by_mail = Profile([("contact", ("emailaddress1",))], 0, False)
+    accounts = decide(D.map_accounts(good), targets, catalog, options, salt, by_number)
+    written = accounts.writes.where(F.col("error").isNull()).select(
         "message_id", "sig", F.col("final_id").alias("account_id"), F.col("action").alias("account_action")
     )
     contacts = decide(
@@ -89,8 +92,9 @@ def upsert_account_documents(
         catalog,
         options,
         salt,
+        by_mail,
     )
-    links = cut_lineage(_links(good, written, contacts.rows))
+    links = cut_lineage(_links(good, written, contacts.writes))
 
     made = links.where(F.col("error").isNull())
     skipped = links.where(F.col("error").isNotNull()).select(

@@ -25,6 +25,7 @@ class Decision:
     """What each row does, before anything is merged."""
 
     rows: DataFrame  # one per payload: final_id, action, created, error, category, errors, values
+    writes: DataFrame  # the same without ``created``
     outcomes: DataFrame | None  # lookups, None when no row has any
     lookup_levels: int
     records: DataFrame | None  # records created by lookups
@@ -39,7 +40,7 @@ class UpsertOutcome:
     status: DataFrame
 
 
-def _shapes(rows: DataFrame, options: Options) -> tuple[list[R.Shape], int, bool]:
+def profile_rows(rows: DataFrame, options: Options) -> R.Profile:
     """One pass over the parsed rows: key sets in use, depth of lookups, whether ids are given."""
     own = F.array(
         F.struct(
@@ -70,7 +71,7 @@ def _shapes(rows: DataFrame, options: Options) -> tuple[list[R.Shape], int, bool
         raise ValueError(f"more than {options.max_key_shapes} sets of key columns; raise max_key_shapes")
     shapes = sorted({(r["entity_name"], tuple(r["key_names"])) for r in found})
     levels = max((r["depth"] for r in found), default=-1) + 1
-    return shapes, levels, any(r["given"] for r in found)
+    return R.Profile(shapes, levels, any(r["given"] for r in found))
 
 
 def decide(
@@ -79,10 +80,15 @@ def decide(
     catalog: Catalog,
     options: Options = Options(),
     salt: str = "",
+    profile: R.Profile | None = None,
 ) -> Decision:
-    """Resolve lookups and own keys, choose create or update, order rows of the same record."""
+    """Resolve lookups and own keys, choose create or update, order rows of the same record.
+
+    With a ``profile`` (``sources.tables.profile_of``) no pass over the rows is needed to plan.
+    """
     rows = validated
-    shapes, levels, given = _shapes(rows, options)
+    profile = profile or profile_rows(rows, options)
+    levels = profile.levels
     valid = rows.where(F.col("errors").isNull())
     own_requests = valid.where(F.col("id").isNull()).select("entity_name", "identity")
 
@@ -91,7 +97,7 @@ def decide(
     if levels > 0:
         nodes = cut_lineage(L.explode_lookups(valid, catalog))
         requests = own_requests.unionByName(nodes.where(F.col("error").isNull()).select("entity_name", "identity"))
-    matches = cut_lineage(R.match_keys(requests, targets, catalog, shapes))
+    matches = cut_lineage(R.match_keys(requests, targets, catalog, profile.shapes))
 
     outcomes = records = None
     referenced = rows.withColumn("lookup_error", F.lit(None).cast("string")).withColumn(
@@ -102,7 +108,7 @@ def decide(
         records = L.created_records(outcomes)
         referenced = L.attach_references(rows, outcomes)
 
-    known_ids = R.match_ids(valid, targets, catalog) if given else None
+    known_ids = R.match_ids(valid, targets, catalog) if profile.given else None
     acted = R.decide_action(R.resolve_keys(referenced, matches), known_ids, salt)
     category = (
         F.when(F.col("errors").isNotNull(), "Validation")
@@ -119,13 +125,13 @@ def decide(
         )
         .drop("lookup_error", "lookup_category", "nodes")
     )
-    decided = cut_lineage(M.sequence_changes(cut_lineage(acted), records))
-    return Decision(decided, outcomes, levels, records)
+    acted = cut_lineage(acted)
+    return Decision(M.sequence_changes(acted, records), acted, outcomes, levels, records)
 
 
 def changes_of(decision: Decision, phase: int = 1) -> DataFrame:
     """All writes of a decision; records made for lookups come before the rows themselves."""
-    rows = decision.rows.where(F.col("error").isNull()).select(
+    rows = decision.writes.where(F.col("error").isNull()).select(
         "entity_name",
         F.col("final_id").alias("id"),
         F.struct(F.lit(phase).alias("phase"), "message_id", "idx", F.lit("").alias("ord")).alias("seq"),
@@ -158,10 +164,11 @@ def upsert_rows(
     catalog: Catalog,
     options: Options = Options(),
     salt: str = "",
+    profile: R.Profile | None = None,
 ) -> UpsertOutcome:
     """Upsert rows that are already validated or came typed from a table."""
     configure(validated.sparkSession)
-    decision = decide(validated, targets, catalog, options, salt)
+    decision = decide(validated, targets, catalog, options, salt, profile)
     results = results_of(decision)
     return UpsertOutcome(
         results=results,

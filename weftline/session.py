@@ -61,3 +61,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/weftline/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Deal the rows of a table with fewer files than cores out to all cores.
+
+    Worth it before work that is heavy per row. A table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

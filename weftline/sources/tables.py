@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -15,6 +16,7 @@ from weftline.functions import json_text as J
 from weftline.functions import keys as K
 from weftline.functions import values as V
 from weftline.operators.lookup_tree import NODE_DDL
+from weftline.operators.resolve import Profile
 
 _WHOLE_32 = (T.ByteType, T.ShortType, T.IntegerType)
 _WHOLE = (*_WHOLE_32, T.LongType)
@@ -74,17 +76,11 @@ def typed_text(value: Column, data_type: T.DataType, spec: AttributeSpec, codes:
         if spec.type == "datetime":
             return F.unix_micros(V.timestamp_of(value)).cast("string")
         if spec.type == "choice":
-            names = F.from_json(F.lit(_json(codes or {})), "map<string,int>")
+            names = F.from_json(F.lit(json.dumps(dict(codes or {}))), "map<string,int>")
             return V.choice_code(value, names).cast("string")
     return V.canonical(value, spec.type)
 
 
-def _json(codes: Mapping[str, int]) -> str:
-    import json
-
-    return json.dumps(dict(codes))
-
-
 def _checked(
     frame: DataFrame, catalog: Catalog, entity: str, columns: Mapping[str, Column], label: str
 ) -> tuple[list[Column], dict[str, Column]]:
@@ -117,12 +113,10 @@ def _map_of(texts: Mapping[str, Column]) -> Column:
     return F.create_map(*[part for n, c in texts.items() for part in (F.lit(n), c.cast("string"))])
 
 
-def bag_of(frame: DataFrame, columns: Mapping[str, Column]) -> Column:
-    """Typed columns as a bag, as if they had been JSON members."""
-    if not columns:
-        return F.lit(None).cast(J.BAG_DDL)
+def _json_forms(frame: DataFrame, columns: Mapping[str, Column]) -> dict[str, tuple[Column, Column]]:
+    """Kind and text each typed column would have had as a JSON member."""
     types = frame.select(*[c.alias(n) for n, c in columns.items()]).schema
-    parts = []
+    forms = {}
     for name, column in columns.items():
         data_type = types[name].dataType
         if isinstance(data_type, _WHOLE):
@@ -133,10 +127,19 @@ def bag_of(frame: DataFrame, columns: Mapping[str, Column]) -> Column:
             kind = "bool"
         else:
             kind = "string"
-        entry = F.struct(
-            F.when(column.isNull(), "null").otherwise(F.lit(kind)).alias("kind"), column.cast("string").alias("raw")
-        )
-        parts += [F.lit(name), entry]
+        forms[name] = (F.when(column.isNull(), "null").otherwise(F.lit(kind)), column.cast("string"))
+    return forms
+
+
+def bag_of(frame: DataFrame, columns: Mapping[str, Column]) -> Column:
+    """Typed columns as a bag, as if they had been JSON members."""
+    if not columns:
+        return F.lit(None).cast(J.BAG_DDL)
+    parts = [
+        part
+        for name, (kind, raw) in _json_forms(frame, columns).items()
+        for part in (F.lit(name), F.struct(kind.alias("kind"), raw.alias("raw")))
+    ]
     return F.create_map(*parts).cast(J.BAG_DDL)
 
 
@@ -147,7 +150,7 @@ def _nodes(frame: DataFrame, lookups: Sequence[Lookup], options: Options) -> Col
         for i, item in enumerate(items):
             limit = eff if item.max_depth is None else max(1, min(item.max_depth, options.max_lookup_depth))
             keys = bag_of(frame, item.keys)
-            own = K.signature(F.lit(item.entity), keys)
+            own = K.signature_of(item.entity, _json_forms(frame, item.keys))
             order, where = f"{parent}.{i:07d}", f"{path}.{item.attribute}"
             flat.append(
                 F.struct(
@@ -204,8 +207,8 @@ def payloads_from_table(
     supplied = _map_of(attr_texts)
     if present is not None:
         supplied = F.map_filter(supplied, lambda name, _: F.array_contains(present, name))
-    key_bag = bag_of(frame, keys)
-    rows = frame.select(
+    typed_keys = key_texts if len(key_texts) == len(keys) else {}
+    return frame.select(
         (message_id if message_id is not None else F.col("message_id")).alias("message_id"),
         (idx if idx is not None else F.lit(0)).cast("int").alias("idx"),
         F.lit(False).alias("is_null"),
@@ -214,11 +217,23 @@ def payloads_from_table(
         (F.lower(id) if id is not None else F.lit(None).cast("string")).alias("id"),
         F.lit(None).cast("string").alias("source"),
         _nodes(frame, lookups, options).alias("nodes"),
-        K.signature(F.lit(entity), key_bag).alias("sig"),
+        K.signature_of(entity, _json_forms(frame, keys)).alias("sig"),
         F.when(F.size(errors) > 0, errors).alias("errors"),
         _map_of(key_texts).alias("key_values"),
         F.map_concat(supplied, _map_of(key_texts)).alias("values"),
+        K.identity_of(typed_keys).alias("identity"),
+        F.array(*[F.lit(n) for n in sorted(typed_keys)]).cast("array<string>").alias("key_names"),
     )
-    return rows.withColumn("identity", K.identity(F.col("key_values"))).withColumn(
-        "key_names", K.key_names(F.col("key_values"))
-    )
+
+
+def profile_of(
+    entity: str, keys: Mapping[str, Column], lookups: Sequence[Lookup] = (), id: Column | None = None
+) -> Profile:
+    """What ``upsert_rows`` would otherwise find out with a pass over the rows."""
+    shapes, levels = {(entity.lower(), tuple(sorted(n.lower() for n in keys)))}, 0
+    level = list(lookups)
+    while level:
+        levels += 1
+        shapes |= {(item.entity.lower(), tuple(sorted(n.lower() for n in item.keys))) for item in level}
+        level = [below for item in level for below in item.nested]
+    return Profile(sorted(shapes), levels, id is not None)
