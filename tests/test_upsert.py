@@ -233,3 +233,21 @@ def test_one_key_with_a_third_of_all_rows(spark):
     assert [r["name"] for r in hot] == [f"n{n - 3}"]
     plan = out.tables["account"]._jdf.queryExecution().toString()
     assert "Window" not in plan and "CartesianProduct" not in plan
+
+
+def test_rows_without_key_or_id_are_spread(spark):
+    """Invalid rows and rows without a given id must not meet in one task."""
+    frame = spark.range(4000).select(
+        F.col("id").alias("message_id"), F.lit(0).alias("idx"), F.lit(None).cast("string").alias("entity_name"),
+        F.lit(None).cast("string").alias("identity"),
+    )
+    found = spark.createDataFrame([("a", "x", 1)], "entity_name string, identity string, n int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = R._join_if_set(frame, found, "identity")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 4000 and len(sizes) == 8 and max(sizes) < 1000

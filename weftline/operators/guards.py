@@ -36,6 +36,13 @@ def too_large(body: Column, max_bytes: int) -> Column:
     return F.octet_length(body) > max_bytes
 
 
+def readable(body: Column, options: Options, channel: str = "request") -> Column:
+    """The body if its size allows it to be parsed."""
+    if channel != "request":
+        return body
+    return F.when(~too_large(body, options.max_request_bytes), body)
+
+
 def _kind_ok(members: Column, name: str, *kinds: str, required: bool = False) -> Column:
     """A member's kind is one of ``kinds``; a missing one is fine unless required."""
     kind = J.kind_of_member(members, name)
@@ -126,7 +133,7 @@ def apply_message_guards(parsed: DataFrame, options: Options, channel: str = "re
         .withColumn(
             "_malformed",
             F.col("_members").isNull()
-            | J.nests_deeper_than(body, options.max_json_depth)
+            | J.nests_deeper_than(readable(body, options, channel), options.max_json_depth)
             | ~F.coalesce(envelope_ok(), F.lit(False)),
         )
     )

@@ -90,9 +90,23 @@ def match_ids(requests: DataFrame, targets: Mapping[str, DataFrame], catalog: Ca
     return tables.join(wanted, ["entity_name", "id"]).select("entity_name", "id").distinct()
 
 
+def _join_if_set(rows: DataFrame, found: DataFrame, column: str) -> DataFrame:
+    """Left join on (entity_name, ``column``) that deals rows without a value evenly.
+
+    Most rows give no id and invalid rows have no key. As nulls they would all meet in one
+    task; under a text of their own, which matches nothing, they are spread.
+    """
+    own = F.concat_ws(":", F.lit("none"), F.col("message_id").cast("string"), F.col("idx").cast("string"))
+    keyed = rows.withColumn("_entity", F.when(F.col(column).isNotNull(), F.col("entity_name")).otherwise(own)).withColumn(
+        "_value", F.coalesce(column, own)
+    )
+    renamed = found.withColumnRenamed("entity_name", "_entity").withColumnRenamed(column, "_value")
+    return keyed.join(renamed, ["_entity", "_value"], "left").drop("_entity", "_value")
+
+
 def resolve_keys(rows: DataFrame, matches: DataFrame) -> DataFrame:
     """Add ``match_count`` and ``match_id`` to rows by their own key. A given id needs no match."""
-    keyed = rows.join(matches, ["entity_name", "identity"], "left")
+    keyed = _join_if_set(rows, matches, "identity")
     searched = F.col("id").isNull()
     return keyed.withColumn(
         "match_count", F.when(searched, F.coalesce("match_count", F.lit(0))).otherwise(F.lit(0))
@@ -133,7 +147,7 @@ def decide_action(resolved: DataFrame, known_ids: DataFrame | None = None, salt:
     if known_ids is None:
         checked = resolved.withColumn("id_exists", F.col("id").isNotNull())
     else:
-        checked = resolved.join(known_ids.withColumn("id_exists", F.lit(True)), ["entity_name", "id"], "left")
+        checked = _join_if_set(resolved, known_ids.withColumn("id_exists", F.lit(True)), "id")
     found = F.coalesce("id", F.when(F.col("match_count") == 1, F.col("match_id")))
     gone = F.when(
         F.col("id").isNotNull() & ~F.coalesce("id_exists", F.lit(False)),

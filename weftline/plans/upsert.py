@@ -36,6 +36,9 @@ class UpsertOutcome:
     results: DataFrame
     traces: DataFrame | None
     lookup_levels: int
+    # Folded changes per record: entity_name, id, exists, values. What a table format with
+    # row-level writes needs instead of ``tables``.
+    changes: DataFrame
     tables: dict[str, DataFrame]
     status: DataFrame
 
@@ -170,11 +173,13 @@ def upsert_rows(
     configure(validated.sparkSession)
     decision = decide(validated, targets, catalog, options, salt, profile)
     results = results_of(decision)
+    changes = M.fold_changes(changes_of(decision))
     return UpsertOutcome(
         results=results,
         traces=L.lookup_traces(decision.outcomes) if decision.outcomes is not None else None,
         lookup_levels=decision.lookup_levels,
-        tables=M.merge_entities(targets, M.fold_changes(changes_of(decision)), catalog),
+        changes=changes,
+        tables=M.merge_entities(targets, changes, catalog),
         status=S.batch_status(results, options),
     )
 

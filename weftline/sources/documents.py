@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weftline.config import Options
 from weftline.functions import json_text as J
 from weftline.functions.text import message
-from weftline.operators.guards import too_large
+from weftline.operators.guards import readable, too_large
 from weftline.sources.messages import read_messages
 
 # Members of an account document and of a contact in it.
@@ -51,12 +51,13 @@ def parse_account_documents(messages: DataFrame, options: Options = Options()) -
     """Parse and guard account documents: size, JSON, member types, number of contacts."""
     m = F.col("_m")
     contacts_kind = J.kind_of_member(m, "contacts")
-    parsed = messages.withColumn("_m", J.document(F.col("body"))).withColumn(
+    body = readable(F.col("body"), options)
+    parsed = messages.withColumn("_m", J.document(body)).withColumn(
         "_contacts", F.when(contacts_kind == "array", J.bags(J.raw_of(m, "contacts")))
     )
     well_formed = (
         m.isNotNull()
-        & ~J.nests_deeper_than(F.col("body"), options.max_json_depth)
+        & ~J.nests_deeper_than(body, options.max_json_depth)
         & _texts_ok(m, ACCOUNT_MEMBERS, _REQUIRED_ACCOUNT)
         & F.coalesce(
             F.when(contacts_kind == "array", F.col("_contacts").isNotNull()).otherwise(contacts_kind == "null"),

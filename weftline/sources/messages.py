@@ -73,7 +73,7 @@ def parse_batches(messages: DataFrame, options: Options = Options(), channel: st
     """
     members = F.col("_members")
     parsed = (
-        messages.withColumn("_members", J.document(F.col("body")))
+        messages.withColumn("_members", J.document(guards.readable(F.col("body"), options, channel)))
         .withColumn(
             "payloads",
             F.when(J.kind_of_member(members, "payloads") == "array", J.bags(J.raw_of(members, "payloads"))),
