@@ -67,30 +67,32 @@ def nearest_rank(values: DataFrame, column: str, percents: Sequence[float]) -> d
     total, low, high = base.agg(F.count("*"), F.min("v"), F.max("v")).first()
     if not total:
         return {p: 0.0 for p in percents}
-    return {p: _rank_value(base, max(-(-p * total // 100), 1), low, high) for p in percents}
+    counted: dict = {}  # bins of a range, shared by all percentiles that look at it
+    return {p: _rank_value(base, max(-(-p * total // 100), 1), low, high, counted) for p in percents}
 
 
-def _rank_value(base: DataFrame, rank: float, low: float, high: float) -> float:
+def _rank_value(base: DataFrame, rank: float, low: float, high: float, counted: dict) -> float:
     """The value with 1-based ``rank`` among rows of ``base`` within [low, high]."""
     rank = int(rank)
     while low < high:
-        inside = base.where(F.col("v").between(low, high))
+        inside, key = base.where(F.col("v").between(low, high)), (low, high)
         width = (high - low) / _BINS
         if width == 0 or width == float("inf"):
             return _rank_by_value(inside, rank)
         place = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(_BINS - 1)).cast("int")
-        bins = (
-            inside.groupBy(place.alias("bin"))
-            .agg(
-                F.count("*").alias("n"),
-                F.min("v").alias("low"),
-                F.max("v").alias("high"),
-                F.approx_count_distinct("v").alias("distinct"),
+        if key not in counted:
+            counted[key] = (
+                inside.groupBy(place.alias("bin"))
+                .agg(
+                    F.count("*").alias("n"),
+                    F.min("v").alias("low"),
+                    F.max("v").alias("high"),
+                    F.approx_count_distinct("v").alias("distinct"),
+                )
+                .orderBy("bin")
+                .collect()
             )
-            .orderBy("bin")
-            .collect()
-        )
-        for b in bins:
+        for b in counted[key]:
             if rank <= b["n"]:
                 low, high = b["low"], b["high"]
                 if low < high and b["distinct"] * 1.2 < _RANK_ROWS:
