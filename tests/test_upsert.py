@@ -251,3 +251,43 @@ def test_rows_without_key_or_id_are_spread(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(sizes) == 4000 and len(sizes) == 8 and max(sizes) < 1000
+
+
+def test_random_lookup_trees_keep_their_promises(spark):
+    """Whatever the trees look like: one creator per record, and no reference without a record."""
+    import random
+
+    rng = random.Random(11)
+
+    def tree(depth):
+        entity = rng.choice(["account", "contact"])
+        key = {"accountnumber": f"A{rng.randrange(90)}"} if entity == "account" else {"emailaddress1": f"m{rng.randrange(90)}@x"}
+        node = lookup(entity, key, rng.random() < 0.7)
+        if depth < 3 and rng.random() < 0.7:
+            names = rng.sample(["primarycontactid", "parentaccountid", "parentcustomerid"], rng.randint(1, 2))
+            node["NestedLookups"] = {n: tree(depth + 1) for n in names}
+        return node
+
+    payloads = [
+        payload("contact", {"emailaddress1": f"own{i}@y"}, {}, Lookups={"parentcustomerid": tree(0), "accountid": tree(0)})
+        for i in range(60)
+    ]
+    accounts = [{"accountid": f"a{i}", "accountnumber": f"A{i}"} for i in range(0, 90, 4)]
+    out = run(spark, {"Payloads": payloads}, accounts=accounts, contacts=[])
+    traces = out.traces.collect()
+    makers = [t["ResolvedId"] for t in traces if t["WasCreated"]]
+    assert makers and len(makers) == len(set(makers))
+    ids = {r["accountid"] for r in out.tables["account"].collect()} | {r["contactid"] for r in out.tables["contact"].collect()}
+    assert {t["ResolvedId"] for t in traces} <= ids
+    known = {a["accountid"] for a in accounts}
+    assert {t["ResolvedId"] for t in traces} <= known | set(makers)
+    for entity, column in (("account", "primarycontactid"), ("account", "parentaccountid"), ("contact", "parentcustomerid")):
+        for row in out.tables[entity].collect():
+            assert row[column] is None or row[column]["id"] in ids
+    results = by(out.results.collect(), "idx")
+    top = {(t["idx"], t["AttributeName"]) for t in traces if t["Depth"] == 0}
+    for i, row in results.items():
+        assert (row["ErrorCategory"] == "None") == ((i, "parentcustomerid") in top and (i, "accountid") in top), i
+    # A failed payload names a lookup of its own tree.
+    assert all("Lookup" in r["ErrorMessage"] or "lookup" in r["ErrorMessage"] for r in results.values() if r["ErrorMessage"])
+    assert any(r["ErrorMessage"] for r in results.values()) and any(not r["ErrorMessage"] for r in results.values())

@@ -172,8 +172,12 @@ def _claim(judged: DataFrame, levels: int, created: DataFrame | None) -> tuple[D
     """From the top down: owners of missing records, and all nodes that are reached.
 
     Only nodes that can create their record become owners. A node that cannot, for a record
-    nobody else creates, still runs its nested lookups up to the first that fails.
+    nobody else creates, still runs its nested lookups up to the first that fails. Owners of
+    an earlier round (``created``) stay reached, even if their parent now has another owner.
     """
+    kept = None
+    if created is not None:
+        kept = created.select(*[F.col(f"owner_{c}").alias(c) for c in _NODE], F.lit(True).alias("_kept"))
     owners, reached, all_reached = created, judged.where(F.col("depth") == 0), None
     for depth in range(levels):
         all_reached = reached if all_reached is None else all_reached.unionByName(reached)
@@ -193,17 +197,24 @@ def _claim(judged: DataFrame, levels: int, created: DataFrame | None) -> tuple[D
             F.col("owner_idx").alias("idx"),
             F.col("owner_ord").alias("parent"),
             F.lit(None).cast("string").alias("_cut"),
+            F.lit(True).alias("_tried"),
         ).unionByName(
             reached.where(F.col("cut").isNotNull())
             .join(owners.select("entity_name", "identity"), ["entity_name", "identity"], "left_anti")
-            .select("message_id", "idx", F.col("ord").alias("parent"), F.col("cut").alias("_cut"))
-        )
-        reached = (
-            judged.where(F.col("depth") == depth + 1)
-            .join(tried, ["message_id", "idx", "parent"])
-            .where(F.col("_cut").isNull() | (F.col("ord") <= F.col("_cut")))
-            .drop("_cut")
+            .select("message_id", "idx", F.col("ord").alias("parent"), F.col("cut").alias("_cut"), F.lit(True).alias("_tried"))
         )
+        below = judged.where(F.col("depth") == depth + 1)
+        runs = F.col("_tried") & (F.col("_cut").isNull() | (F.col("ord") <= F.col("_cut")))
+        if kept is None:
+            below = below.join(tried, ["message_id", "idx", "parent"]).where(runs)
+        else:
+            below = (
+                below.join(tried, ["message_id", "idx", "parent"], "left")
+                .join(kept, _NODE, "left")
+                .where(F.coalesce("_kept", runs, F.lit(False)))
+                .drop("_kept")
+            )
+        reached = below.drop("_cut", "_tried")
     return owners, all_reached
 
 
