@@ -3,16 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weftline.llm import golay_dedup
+from weftline.llm import golay_dedup, sharding
+from weftline.llm.common import text_or_empty
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(text_or_empty("text").cast("binary")).alias("text_crc32"))
+    return sharding.shard_by_bytes(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+        F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golay_dedup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op7_simhash_near_dedup,)}
+QUERIES = {f.__name__: f for f in (op4_sharding, op7_simhash_near_dedup)}
