@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import golay_dedup, sharding
+from weftline.llm import golay_dedup, sharding, url_templates
 from weftline.llm.common import text_or_empty
 
 
@@ -25,4 +25,11 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golay_dedup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op4_sharding, op7_simhash_near_dedup)}
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of documents count for the pages whose path ends in the document's number."""
+    bad = (F.col("toxic") == 1) | (F.col("quality") == 0)
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("number"), bad.alias("rejected"))
+    return url_templates.judge_urls(_table(spark, sf_dir, "pages"), labels)
+
+
+QUERIES = {f.__name__: f for f in (op4_sharding, op7_simhash_near_dedup, op10_url_filters)}
