@@ -43,4 +43,12 @@ LEFT JOIN f ON f.host = s.host AND f.path = s.path""")
     return "WITH " + ",".join(parts)
 
 
-ORACLE: dict[str, str] = {"op10_url_filters": _url_filters()}
+_TOP_K = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT vec_id AS query_id, e AS qe FROM v WHERE vec_id % 50 = 0),
+s AS (SELECT query_id, vec_id, list_inner_product(qe::DOUBLE[], e::DOUBLE[])::BIGINT AS score FROM q JOIN v ON vec_id <> query_id AND len(e) = len(qe)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+ORACLE: dict[str, str] = {"op6_exact_top_k": _TOP_K, "op10_url_filters": _url_filters()}

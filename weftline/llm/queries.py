@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import golay_dedup, sharding, url_templates
+from weftline.llm import golay_dedup, kd_search, sharding, url_templates
 from weftline.llm.common import text_or_empty
 
 
@@ -21,6 +21,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_search.top_products(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golay_dedup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -32,4 +36,4 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(_table(spark, sf_dir, "pages"), labels)
 
 
-QUERIES = {f.__name__: f for f in (op4_sharding, op7_simhash_near_dedup, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op4_sharding, op6_exact_top_k, op7_simhash_near_dedup, op10_url_filters)}
