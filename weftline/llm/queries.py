@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import golay_dedup, kd_search, sharding, url_templates
+from weftline.llm import bpe, golay_dedup, kd_search, sharding, url_templates
 from weftline.llm.common import text_or_empty
 
 
@@ -13,6 +14,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_and_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(text_or_empty("text").cast("binary")).alias("text_crc32"))
     return sharding.shard_by_bytes(docs).select(
@@ -36,4 +41,4 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(_table(spark, sf_dir, "pages"), labels)
 
 
-QUERIES = {f.__name__: f for f in (op4_sharding, op6_exact_top_k, op7_simhash_near_dedup, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op3_bpe, op4_sharding, op6_exact_top_k, op7_simhash_near_dedup, op10_url_filters)}
