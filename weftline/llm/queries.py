@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bpe, golay_dedup, kd_search, sharding, url_templates
+from weftline.llm import bpe, golay_dedup, grammar_ids, kd_search, sharding, url_templates
 from weftline.llm.common import text_or_empty
+from weftline.session import shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +37,12 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return golay_dedup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark).rstrip('/')}/token_ids/{uuid.uuid4().hex}"
+    grammar_ids.write_shards(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return grammar_ids.read_digests(spark, folder)
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of documents count for the pages whose path ends in the document's number."""
     bad = (F.col("toxic") == 1) | (F.col("quality") == 0)
@@ -41,4 +50,4 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(_table(spark, sf_dir, "pages"), labels)
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe, op4_sharding, op6_exact_top_k, op7_simhash_near_dedup, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op3_bpe, op4_sharding, op6_exact_top_k, op7_simhash_near_dedup, op8_token_ids, op10_url_filters)}
