@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bpe, golay_dedup, grammar_ids, kd_search, sharding, url_templates
+from weftline.llm import bpe, golay_dedup, grammar_ids, kd_search, sharding, url_templates, weak_labels
 from weftline.llm.common import text_or_empty
 from weftline.session import shared_folder
 
@@ -43,6 +43,10 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar_ids.read_digests(spark, folder)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of documents count for the pages whose path ends in the document's number."""
     bad = (F.col("toxic") == 1) | (F.col("quality") == 0)
@@ -50,4 +54,4 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(_table(spark, sf_dir, "pages"), labels)
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe, op4_sharding, op6_exact_top_k, op7_simhash_near_dedup, op8_token_ids, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op3_bpe, op4_sharding, op6_exact_top_k, op7_simhash_near_dedup, op8_token_ids, op9_quality_classifier, op10_url_filters)}
