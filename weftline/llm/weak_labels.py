@@ -43,7 +43,7 @@ KEEP_FROM = 0.5
 #: documents and share of the abusive ones it occurs in, and how much rarer it is elsewhere.
 LABEL_ROWS = 20_000
 LIST_WORDS = 2_000
-LIST_DOCS = 3
+LIST_DOCS = 2
 LIST_SHARE = 0.005
 LIST_RATIO = 0.02
 
@@ -59,7 +59,7 @@ BAD, GOOD, NONE = 0, 1, 2
 QUESTIONS = {"form": ("surface", "odd_words", "plain", "variety", "repeats"), "harm": ("list_a", "list_b", "list_c", "list_d", "several")}
 _UPPER = bytes(range(65, 91))
 _LETTERS = bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256))
-_STRIP = b".,;:!?\"'()-*#$%&"
+_STRIP = b".,;:!?\"'()-*#$%&|/"
 _MARKS = (b"!!", b"##", b"%%", b"&&", b"**", b"$$")
 
 
