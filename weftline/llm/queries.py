@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bpe, golay_dedup, grammar_ids, kd_search, sharding, url_templates, weak_labels
+from weftline.llm import bpe, decontaminate, golay_dedup, grammar_ids, kd_search, sharding, url_templates, weak_labels
 from weftline.llm.common import text_or_empty
 from weftline.session import shared_folder
 
@@ -29,6 +29,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_search.top_products(_table(spark, sf_dir, "embeddings"))
 
@@ -54,4 +58,4 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(_table(spark, sf_dir, "pages"), labels)
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe, op4_sharding, op6_exact_top_k, op7_simhash_near_dedup, op8_token_ids, op9_quality_classifier, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op3_bpe, op4_sharding, op5_decontamination, op6_exact_top_k, op7_simhash_near_dedup, op8_token_ids, op9_quality_classifier, op10_url_filters)}
