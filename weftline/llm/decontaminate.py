@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 PIECE = 10
 SLICE_BYTES = 8 << 20
 #: Bytes of text that are searched at a time.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 _SLOTS = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _GAP = b"\0" * 8
@@ -122,10 +122,17 @@ class Finder:
         self.marked[self._slot(self.heads)] = True
         # The piece beside, in the tree, a piece that has one: errors are one at most in both.
         self.beside = [self._sibling(n, j) for n, j in self.places]
+        self.sizes = np.array([self.items[n].cuts[j + 1] - self.items[n].cuts[j] for n, j in self.places], np.int64)
+        tails = [self.items[n].text[self.items[n].cuts[j + 1] - 8 : self.items[n].cuts[j + 1]] for n, j in self.places]
+        self.tails = np.array([int.from_bytes(t, "little") for t in tails], np.uint64)
+        halves = [self._halves(n, j, k) for (n, j), k in zip(self.places, self.beside)]
+        self.lone = np.array([h is None for h in halves])
+        self.half_at = np.array([[h[0] for h in own] if own else [0, 0] for own in halves], np.int64).reshape(-1, 2)
+        self.half_is = np.array([[h[1] for h in own] if own else [0, 0] for own in halves], np.uint32).reshape(-1, 2)
 
     @staticmethod
     def _slot(heads: np.ndarray) -> np.ndarray:
-        return ((heads * _MIX) >> np.uint64(44)).astype(np.int64)
+        return ((heads * _MIX) >> np.uint64(44)).view(np.int64)
 
     def _sibling(self, n: int, j: int) -> int | None:
         item = self.items[n]
@@ -134,6 +141,28 @@ class Finder:
             return None
         return path[0][0] if path[0][1] - 1 == j else path[0][1] - 1
 
+    def _halves(self, n: int, j: int, k: int | None) -> list[tuple[int, int]] | None:
+        """Where the halves of piece ``k`` begin, seen from piece ``j``, and their first four bytes."""
+        if k is None:
+            return None
+        item = self.items[n]
+        begin, middle = item.cuts[k], (item.cuts[k] + item.cuts[k + 1]) // 2
+        return [(b - item.cuts[j], int.from_bytes(item.text[b : b + 4], "little")) for b in (begin, middle)]
+
+    def _likely(self, whole: bytes, heads: np.ndarray, at: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """Hits whose piece ends right, and beside which half a piece begins right, one byte off at most."""
+        ends = at + self.sizes[k] - 8
+        good = (ends < len(heads)) & (heads[np.minimum(ends, len(heads) - 1)] == self.tails[k])
+        at, k = at[good], k[good]
+        fours = np.ndarray((len(whole) - 3,), "<u4", whole, strides=(1,))
+        near = self.lone[k]
+        for half in (0, 1):
+            for shift in (-1, 0, 1):
+                place = np.clip(at + self.half_at[k, half] + shift, 0, len(fours) - 1)
+                near |= fours[place] == self.half_is[k, half]
+        kept = np.flatnonzero(good)
+        return kept[near]
+
     def _near(self, text: bytes, at: int, n: int, j: int, k: int) -> bool:
         """Could piece ``k`` be beside piece ``j`` at ``at`` with one error? One half must be unchanged."""
         item = self.items[n]
@@ -154,13 +183,15 @@ class Finder:
             found = heads[at]
             first = np.searchsorted(self.heads, found, "left")
             last = np.searchsorted(self.heads, found, "right")
-            sure = np.flatnonzero(last > first)
-            rows = np.searchsorted(begins, at[sure], "right") - 1
-            for place, low, high, row in zip(at[sure].tolist(), first[sure].tolist(), last[sure].tolist(), rows.tolist()):
-                offset = int(begins[row])
-                for k in range(low, high):
-                    n, j = self.places[k]
-                    self._climb(texts[row], place - offset, n, j, self.beside[k], row, best)
+            count = last - first
+            hit_at = np.repeat(at, count)
+            hit_k = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+            likely = self._likely(whole, heads, hit_at, hit_k)
+            hit_at, hit_k = hit_at[likely], hit_k[likely]
+            rows = np.searchsorted(begins, hit_at, "right") - 1
+            for place, k, row in zip((hit_at - begins[rows]).tolist(), hit_k.tolist(), rows.tolist()):
+                n, j = self.places[k]
+                self._climb(texts[row], place, n, j, self.beside[k], row, best)
         for n, pattern in self.short:
             for row, text in enumerate(texts):
                 start = (b" " + text + b" ").find(pattern)
