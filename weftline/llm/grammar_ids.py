@@ -39,8 +39,10 @@ PAIRS = 1024
 LEAST = 8
 PIECE_CHARS = 4_000_000
 CACHE_PIECES = 400_000
-_SLOTS = 1 << 20
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Places of the counting table, and multipliers of its hash.
+_SLOT_BITS = 18
+_MARKS = ".,!?;:"
+_LEFT, _RIGHT = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
 
 _SCHEMA = (
     "part int, shard int, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>, base int, width int, "
@@ -63,11 +65,56 @@ class ByteEncoder:
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
         self._pieces: dict[str, bytes] = {}
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self._line = line[0] if len(line) == 1 else None
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
+    def _encoded_pieces(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of pieces with a blank before each, many at a time with line feeds between.
+
+        A line feed before a blank is a token of its own, so its id tells the pieces apart;
+        pieces with white space inside are encoded one by one. Letters and the marks after them
+        are never in one token, so a word with marks is the word and the marks.
+        """
+        plain: set[str] = set()
+        odd: list[str] = []
+        marked: list[tuple[str, str, str]] = []
+        for p in pieces:
+            word = p.rstrip(_MARKS)
+            if word != p and word.isalpha():
+                marked.append((p, word, p[len(word) :]))
+            elif self._line is not None and p.split() == [p]:
+                plain.add(p)
+            else:
+                odd.append(p)
+        known = self._pieces
+        plain.update(word for _, word, _ in marked if word not in known)
+        found = dict(self._encoded_plain(sorted(plain)))
+        marks = sorted({m for _, _, m in marked})
+        ends = dict(zip(marks, self._encoded(marks)))
+        yield from found.items()
+        yield from zip(odd, self._encoded([" " + p for p in odd]))
+        for p, word, m in marked:
+            yield p, (found.get(word) or known[word]) + ends[m]
+
+    def _encoded_plain(self, plain: list[str]) -> Iterator[tuple[str, bytes]]:
+        if self._line is None:
+            yield from zip(plain, self._encoded([" " + p for p in plain]))
+            return
+        for at in range(0, len(plain), 4096):
+            some = plain[at : at + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + "\n ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(ids == self._line).tolist()
+            if len(ends) != len(some) - 1:
+                yield from zip(some, self._encoded([" " + p for p in some]))
+                continue
+            raw, width = ids.tobytes(), ids.itemsize
+            for piece, a, b in zip(some, [0, *[e + 1 for e in ends]], [*ends, len(ids)]):
+                yield piece, raw[a * width : b * width]
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian numbers of ``kind``."""
         whole = [t for t in texts if "  " in t or any(s in t for s in self.special)]
@@ -79,9 +126,10 @@ class ByteEncoder:
             if c:
                 rest.update(c[1:])
         new = [p for p in rest if p not in self._pieces]
-        if len(self._pieces) + len(new) > CACHE_PIECES:
+        found = list(self._encoded_pieces(new))
+        if len(self._pieces) + len(found) > CACHE_PIECES:
             self._pieces = {p: b for p, b in self._pieces.items() if p in rest}
-        self._pieces.update(zip(new, self._encoded([" " + p for p in new])))
+        self._pieces.update(found)
         heads = list(first)
         heads = dict(zip(heads, self._encoded(heads)))
         known = self._pieces
@@ -140,30 +188,32 @@ def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIR
     for _ in range(rounds):
         if len(seq) < 2 * least:
             break
-        code = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        slot = ((code * _MIX) >> np.uint64(44)).astype(np.int64)
-        holder = np.zeros(_SLOTS, np.uint64)
-        holder[slot] = code
-        held = holder[slot] == code
-        counts = np.bincount(slot[held], minlength=_SLOTS)
+        left, right = seq[:-1], seq[1:]
+        slot = (left * _LEFT + right * _RIGHT) >> np.uint32(32 - _SLOT_BITS)
+        # Each place of the table counts one pair, the last that was put there.
+        last = np.zeros(1 << _SLOT_BITS, np.uint32)
+        last[slot] = np.arange(len(slot), dtype=np.uint32)
+        holder = left[last], right[last]
+        held = (holder[0][slot] == left) & (holder[1][slot] == right)
+        counts = np.bincount(slot[held], minlength=len(last))
         often = np.flatnonzero(counts >= least)
         if not len(often):
             break
         if len(often) > pairs:
             often = often[np.argpartition(-counts[often], pairs)[:pairs]]
-        symbol = np.zeros(_SLOTS, np.uint32)
+        symbol = np.zeros(len(last), np.uint32)
         symbol[often] = np.arange(free, free + len(often))
-        at = np.flatnonzero((symbol[slot] > 0) & held)
+        new = symbol[slot]
+        at = np.flatnonzero((new > 0) & held)
         # Of pairs that overlap, every second one counted from the left is replaced.
         heads = np.concatenate(([True], np.diff(at) != 1))
         run = np.maximum.accumulate(np.where(heads, np.arange(len(at)), 0))
         at = at[(np.arange(len(at)) - run) % 2 == 0]
-        seq[at] = symbol[slot[at]]
+        rules.append(np.stack([holder[0][often], holder[1][often]], axis=1))
+        seq[at] = new[at]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq = seq[keep]
-        chosen = holder[often]
-        rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
         free += len(often)
     return Grammar(base, np.concatenate(rules), seq)
 
