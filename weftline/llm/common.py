@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -156,3 +157,34 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Spread the entropy of 64-bit hashes over all bits."""
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        h = (h ^ (h >> np.uint64(33))) * np.uint64(factor)
+    return h ^ (h >> np.uint64(33))
+
+
+# Odd step of the polynomial hash over bytes.
+_BYTE_STEP = 0x9E3779B97F4A7C15
+
+
+@lru_cache(2)
+def _byte_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    found = []
+    for step in (_BYTE_STEP, pow(_BYTE_STEP, -1, 1 << 64)):
+        factors = np.full(size, step, np.uint64)
+        factors[0] = 1
+        found.append(np.cumprod(factors))
+    return found[0], found[1]
+
+
+def word_hashes(buf: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, 64-bit hash) of every run of bytes that are ``inside`` a word."""
+    edge = np.diff(np.concatenate(([False], inside, [False])).view(np.int8))
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    # A power of two, so that few tables are kept.
+    forward, back = _byte_powers(1 << max(10, len(buf).bit_length()))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(buf * forward[: len(buf)])))
+    return starts, mixed((sums[ends] - sums[starts]) * back[starts])

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bpe, decontaminate, golay_dedup, grammar_ids, kd_search, line_dedup, sharding, url_templates, weak_labels
+from weftline.llm import bpe, decontaminate, golay_dedup, grammar_ids, kd_search, line_dedup, sharding, suffix_tree, url_templates, weak_labels
 from weftline.llm.common import text_or_empty
 from weftline.session import shared_folder
 
@@ -21,6 +21,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.repeated_lines(_table(spark, sf_dir, "documents"))
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -62,4 +66,4 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(_table(spark, sf_dir, "pages"), labels)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_bpe, op4_sharding, op5_decontamination, op6_exact_top_k, op7_simhash_near_dedup, op8_token_ids, op9_quality_classifier, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_lm_scores, op3_bpe, op4_sharding, op5_decontamination, op6_exact_top_k, op7_simhash_near_dedup, op8_token_ids, op9_quality_classifier, op10_url_filters)}
