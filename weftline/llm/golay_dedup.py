@@ -201,7 +201,7 @@ def keep_one(docs: DataFrame, width: int = 4) -> DataFrame:
         fps = np.fromiter((fingerprint(t.as_py(), width) for t in batch.column(2)), np.uint64, batch.num_rows)
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(as_signed(fps))], ["doc_id", "tie", "fp"])
 
-    prints = cut_lineage(map_batches(tagged.select("doc_id", "tie", F.col("row.text").cast("string")), work, "doc_id bigint, tie bigint, fp bigint"))
+    prints = cut_lineage(map_batches(tagged.select("doc_id", "tie", F.col("row.text").cast("string").alias("text")), work, "doc_id bigint, tie bigint, fp bigint"))
     grouped = fingerprint_groups(prints).withColumnRenamed("component_id", "head")
     # A group's first row: smallest id, nulls last, then the row's hash.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie")).alias("first")
