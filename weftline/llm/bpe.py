@@ -30,10 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from weftline.llm.common import in_small_batches
+
 #: Characters encoded at a time, and words whose encodings are kept between.
 PIECE_CHARS = 4_000_000
-CACHE_WORDS = 400_000
-CACHE_PAIRS = 1_000_000
+CACHE_WORDS = 150_000
+CACHE_PAIRS = 200_000
 _NEVER = 1 << 60
 #: White space of the file's pattern; the pattern module's own also takes the separators 1c to 1f.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -260,7 +262,7 @@ def encode_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), ids], ["doc_id", "ids"])
                 at += len(part)
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col(text).cast("string")).mapInArrow(run, "doc_id bigint, ids array<int>")
+    return in_small_batches(docs).select(F.col("doc_id").cast("bigint"), F.col(text).cast("string")).mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
 def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -281,4 +283,4 @@ def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFra
             )
 
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col("doc_id").cast("bigint"), F.col(text).cast("string")).mapInArrow(run, schema)
+    return in_small_batches(docs).select(F.col("doc_id").cast("bigint"), F.col(text).cast("string")).mapInArrow(run, schema)

@@ -34,6 +34,16 @@ def popcount(values: np.ndarray) -> np.ndarray:
     return np.bitwise_count(values.view(np.uint64))
 
 
+#: Bytes of one Arrow batch that goes to Python: long texts make fewer rows, not larger batches.
+BATCH_BYTES = 8 << 20
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session now bounds what goes to Python at once by bytes, not by rows alone."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """Apply ``work`` to each Arrow batch of ``df`` where it lies."""
 
@@ -43,7 +53,7 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
             if out is not None and out.num_rows:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return in_small_batches(df).mapInArrow(run, schema)
 
 
 def whole_keys(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:

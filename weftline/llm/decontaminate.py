@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm.common import in_small_batches
+
 PIECE = 10
 SLICE_BYTES = 8 << 20
 #: Bytes of text that are searched at a time.
@@ -252,7 +254,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``start`` is where the window of the match begins, ``end`` where its best match ends.
     """
     schema = "doc_id bigint, item_id bigint, errors int, start bigint, end bigint"
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    texts = in_small_batches(docs).select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     found = docs.sparkSession.createDataFrame([], schema)
     for items in _slices(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(items)
@@ -295,5 +297,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     begin += len(block)
                 yield batch.filter(pa.array([n not in leaks for n in range(batch.num_rows)], pa.bool_()))
 
-        docs = docs.mapInArrow(_one_argument(run), schema)
+        docs = in_small_batches(docs).mapInArrow(_one_argument(run), schema)
     return docs

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from weftline.llm.common import table_partitions, text_or_empty
+from weftline.llm.common import in_small_batches, table_partitions, text_or_empty
 
 END_ID = 0
 SHARD_IDS = 1 << 20
@@ -38,7 +38,7 @@ ROUNDS = 10
 PAIRS = 1024
 LEAST = 8
 PIECE_CHARS = 4_000_000
-CACHE_PIECES = 400_000
+CACHE_PIECES = 300_000
 #: Places of the counting table, and multipliers of its hash.
 _SLOT_BITS = 18
 _MARKS = ".,!?;:"
@@ -267,7 +267,7 @@ def compressed_shards(docs: DataFrame, path: str, end_id: int = END_ID, shard_id
     """Shards in the order of (part, shard), documents in ascending order of doc_id."""
     rows = docs.select(F.col("doc_id").cast("bigint"), text_or_empty("text").alias("text"), F.xxhash64("text").alias("tie"))
     ordered = rows.repartitionByRange(table_partitions(docs), "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    return ordered.mapInArrow(_shards(path, end_id, shard_ids), _SCHEMA)
+    return in_small_batches(ordered).mapInArrow(_shards(path, end_id, shard_ids), _SCHEMA)
 
 
 def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = END_ID) -> None:

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm.common import in_small_batches
 from weftline.session import cut_lineage
 
 SAMPLE_ROWS = 20_000
@@ -223,7 +224,7 @@ def label_model(docs: DataFrame, lists: Lists = FIXED_LISTS) -> dict[str, tuple[
                 ["question", "pattern", "n"],
             )
 
-    found = docs.select(F.col("text").cast("string")).mapInArrow(run, "question string, pattern bigint, n bigint")
+    found = in_small_batches(docs).select(F.col("text").cast("string")).mapInArrow(run, "question string, pattern bigint, n bigint")
     rows = found.groupBy("question", "pattern").agg(F.sum("n").alias("n")).collect()
     counts: dict[str, dict[int, int]] = {q: {} for q in QUESTIONS}
     for r in rows:
