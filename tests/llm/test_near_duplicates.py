@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import HARD, docs_of
+from llm.conftest import HARD, docs_of
 from weftline.llm import golay_dedup, line_dedup
 from weftline.llm.common import components
 

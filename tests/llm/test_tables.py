@@ -8,7 +8,7 @@ import corpus_pipeline
 import numpy as np
 from pyspark.sql import functions as F
 
-from tests.llm.conftest import HARD, docs_of
+from llm.conftest import HARD, docs_of
 from weftline.llm import kd_search, sharding, url_templates
 
 

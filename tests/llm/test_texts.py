@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tests.llm.conftest import HARD, docs_of
+from llm.conftest import HARD, docs_of
 from weftline.llm import bpe, decontaminate, grammar_ids, suffix_tree, weak_labels
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
