@@ -395,7 +395,7 @@ FROM m JOIN s USING (message_id) WHERE status <> 200""",
 SELECT n AS total_requests, n * 3 AS total_payloads, ok AS successful_requests, n - ok AS failed_requests,
   round_even(ok / n * 100, 2) AS success_rate, round_even(n / 120.0, 2) AS requests_per_second,
   round_even(n * 3 / 120.0, 2) AS payloads_per_second FROM t""",
-        "latency_stats": f"""WITH {_LOG} SELECT round_even(avg(response_ms), 2) AS avg_ms, min(response_ms) AS min_ms, max(response_ms) AS max_ms FROM l""",
+        "latency_stats": f"""WITH {_LOG} SELECT round_even(avg(response_ms), 2) AS avg_ms, round_even(min(response_ms), 2) AS min_ms, round_even(max(response_ms), 2) AS max_ms FROM l""",
         "latency_percentiles": f"""WITH {_LOG} SELECT quantile_disc(response_ms, 0.5) AS p50_ms, quantile_disc(response_ms, 0.95) AS p95_ms,
   quantile_disc(response_ms, 0.99) AS p99_ms FROM l""",
         "status_breakdown": f"""WITH {_LOG} SELECT coalesce(CAST(status_code AS VARCHAR), '(no status)') AS status, count(*) AS requests FROM l GROUP BY ALL""",

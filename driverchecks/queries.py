@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from driverchecks import inputs as I
 from weftline import Catalog, Options
+from weftline.catalog import SPARK_TYPES
 from weftline.functions import json_text as J
 from weftline.functions import keys as K
 from weftline.functions import values as V
@@ -126,7 +127,7 @@ def fold_changes(spark: SparkSession, sf: str) -> DataFrame:
 
 def key_signature(spark: SparkSession, sf: str) -> DataFrame:
     joined = I.table(spark, sf, "customer").join(
-        F.broadcast(I.table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey")
+        I.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     text = lambda c: F.struct(F.lit("string").alias("kind"), c.alias("raw"))
     keys = F.create_map(
@@ -454,6 +455,11 @@ def message_status(spark: SparkSession, sf: str) -> DataFrame:
             F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("eventid"),
             F.col("event_id").alias("number"),
             F.col("k"),
+            *[
+                F.lit(None).cast(SPARK_TYPES[spec.type]).alias(name)
+                for name, spec in sorted(I.EVENT_CATALOG.entities["event"].items())
+                if name not in ("eventid", "number", "k") and spec.type in SPARK_TYPES
+            ],
         )
     }
     outcome = upsert_batch(I.event_bodies(spark, sf), targets, I.EVENT_CATALOG)

@@ -74,6 +74,7 @@ REFERENCE = "struct<entity:string,id:string>"
 ACCOUNT_DDL = (
     "accountid string, accountnumber string, name string, address1_city string, address1_line1 string, "
     "address1_utcoffset int, revenue decimal(38,10), creditonhold boolean, createdon timestamp, industrycode int, "
+    "numberofemployees int, "
     f"primarycontactid {REFERENCE}, parentaccountid {REFERENCE}"
 )
 CONTACT_DDL = (

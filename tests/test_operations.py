@@ -193,3 +193,20 @@ def test_stream_with_redelivery_and_dead_letters(spark, tmp_path):
 
     process_batch(make_messages(spark, {"Payloads": [payload(keys={"accountnumber": "T1"}, attrs={"name": "again"})]}), 3, where, CATALOG)
     assert by(sinks.read_version(spark, root + "/account").collect(), "accountnumber")["T1"]["name"] == "new"
+
+
+def test_percentiles_with_nan_and_infinities(spark):
+    nan, inf = float("nan"), float("inf")
+    frame = lambda values: spark.createDataFrame([(v,) for v in values], "response_ms double")
+    odd = frame([*map(float, range(1, 101)), nan, None])
+    assert P.nearest_rank(odd, "response_ms", (50, 95, 99)) == {50: 50.0, 95: 95.0, 99: 99.0}
+    wide = frame([-inf, -1.7e308, 0.0, 1.0, 1.7e308, inf, inf, nan])
+    assert P.nearest_rank(wide, "response_ms", (10, 20, 43, 50, 70, 99)) == {10: -inf, 20: -1.7e308, 43: 1.0, 50: 1.0, 70: 1.7e308, 99: inf}
+    assert P.nearest_rank(frame([nan, None]), "response_ms", (50,)) == {50: 0.0}
+
+
+def test_requests_without_index_or_thread_are_numbered_too(spark):
+    rows = [(1, 5), (1, None), (1, 5), (1, 70_000), (None, 1), (None, None), (2, 3)]
+    log = spark.createDataFrame(rows, "thread_id int, request_index int")
+    got = sorted((str(r["thread_id"]), r["n"], r["request_index"]) for r in P.request_numbers(log).collect())
+    assert got == [("1", 0, None), ("1", 1, 5), ("1", 2, 5), ("1", 3, 70_000), ("2", 0, 3), ("None", 0, None), ("None", 1, 1)]

@@ -1,11 +1,12 @@
 """End to end: create, update, lookups, conflicts, ordering, sinks."""
 
 import json
+from itertools import combinations
 
 from conftest import CATALOG, by, make_messages, make_targets, payload
 from pyspark.sql import functions as F
 
-from weftline import Options
+from weftline import Catalog, Options
 from weftline.operators import resolve as R
 from weftline.plans.upsert import upsert_batch, with_traces
 from weftline.sources import sinks
@@ -67,6 +68,7 @@ def test_create_update_and_sparse_merge(spark):
     new, old = accounts[rows[0, 0]["Id"]], accounts["t1"]
     assert (new["name"], new["address1_city"], float(new["revenue"]), new["industrycode"]) == (None, "Bern", 5.0, 1)
     assert (old["name"], old["address1_city"], old["address1_utcoffset"]) == ("old", None, 3)
+    assert 1 in {a["numberofemployees"] for a in accounts.values()}
     status = by(out.status.collect(), "message_id")
     assert [status[i]["status"] for i in range(3)] == [500, 200, 400]
     assert (status[0]["total"], status[0]["failed"], status[0]["validation_failed"], status[0]["technical_failed"]) == (8, 4, 2, 2)
@@ -291,3 +293,72 @@ def test_random_lookup_trees_keep_their_promises(spark):
     # A failed payload names a lookup of its own tree.
     assert all("Lookup" in r["ErrorMessage"] or "lookup" in r["ErrorMessage"] for r in results.values() if r["ErrorMessage"])
     assert any(r["ErrorMessage"] for r in results.values()) and any(not r["ErrorMessage"] for r in results.values())
+
+
+def test_what_has_no_place_is_an_error_of_its_row(spark):
+    """No value is lost and none ends the batch: unknown columns, narrow columns, references elsewhere, no table."""
+    targets = make_targets(spark, accounts=[{"accountid": "t1", "accountnumber": "T1", "name": "old"}])
+    targets["account"] = targets["account"].drop("address1_line1").withColumn("revenue", F.col("revenue").cast("decimal(10,2)"))
+    del targets["contact"]
+    to = {"EntityLogicalName": "account", "KeyAttributes": {"accountnumber": "T1"}}
+    body = {
+        "Payloads": [
+            payload(keys={"accountnumber": "A"}, attrs={"address1_line1": "street"}),
+            payload(keys={"accountnumber": "B"}, attrs={"revenue": 123456789012}),
+            payload(keys={"accountnumber": "C"}, attrs={"revenue": 12.5}),
+            payload("contact", keys={"emailaddress1": "a@b"}, attrs={"firstname": "x"}),
+            payload(keys={"accountnumber": "D"}, attrs={}, Lookups={"address1_utcoffset": to}),
+            payload(keys={"accountnumber": "E"}, attrs={}, Lookups={"name": to}),
+            payload(keys={"accountnumber": "F"}, attrs={}, Lookups={"nosuch": to}),
+            payload(keys={"accountnumber": "G"}, attrs={}, Lookups={"parentaccountid": to}),
+        ]
+    }
+    out = upsert_batch(make_messages(spark, body), targets, CATALOG)
+    rows = by(out.results.collect(), "idx")
+    assert [rows[i]["ErrorCategory"] for i in range(8)] == [
+        "Permanent", "Permanent", "None", "Permanent", "Validation", "Validation", "Validation", "None",
+    ]
+    assert rows[0]["ErrorMessage"] == "Field 'address1_line1' has no column to write to."
+    assert rows[1]["ErrorMessage"] == "Field 'revenue' does not fit its column."
+    assert rows[3]["ErrorMessage"] == "Entity 'contact' has no table to write to."
+    assert rows[4]["ValidationErrors"] == ["Lookups.address1_utcoffset: Field 'address1_utcoffset' has invalid type. Expected 'int'."]
+    assert rows[6]["ValidationErrors"] == ["Lookups.nosuch: Field 'nosuch' is not defined on entity 'account'."]
+    assert {r["accountnumber"] for r in out.tables["account"].collect()} == {"T1", "C", "G"}
+
+
+def test_given_ids_match_in_any_case_and_new_ids_are_free(spark):
+    upper = "C9F16D4F-0000-0000-0000-00000000000A"
+    targets = make_targets(spark, accounts=[{"accountid": upper, "accountnumber": "T1"}])
+    change = lambda key, **more: make_messages(spark, {"Payloads": [payload(keys={"accountnumber": key}, attrs={"name": "n"}, **more)]})
+    out = upsert_batch(change("T1", Id=upper.lower()), targets, CATALOG)
+    assert out.results.first()["ErrorCategory"] == "None"
+    assert [(r["accountid"], r["name"]) for r in out.tables["account"].collect()] == [(upper, "n")]
+    # A record created under a key gets another key; the same key again makes another record.
+    targets = make_targets(spark)
+    made = upsert_batch(change("A"), targets, CATALOG)
+    first = made.results.first()["Id"]
+    moved = {**targets, "account": made.tables["account"].withColumn("accountnumber", F.lit("B"))}
+    again = upsert_batch(change("A"), moved, CATALOG)
+    ids = [r["accountid"] for r in again.tables["account"].collect()]
+    assert len(ids) == len(set(ids)) == 2 and first in ids
+
+
+def test_many_key_sets_in_one_scan(spark):
+    from weftline.operators import resolve as R
+
+    names = ["accountnumber", "name", "address1_city", "telephone1", "websiteurl", "emailaddress1", "address1_line1", "address1_postalcode", "address1_country"]
+    catalog = Catalog.from_rows([("account", "accountid", "guid"), *[("account", n, "string") for n in names]])
+    target = spark.createDataFrame([("id1", *[n.upper() for n in names]), ("id2", *[n for n in names[:-1]], None)], ["accountid", *names])
+    sets = [s for k in range(1, 10) for s in combinations(sorted(names), k)]
+    assert len(sets) > 300
+    want = [("account", ",".join(f"{n}={n}" for n in s)) for s in sets]
+    found = R.match_keys(spark.createDataFrame(want, "entity_name string, identity string"), {"account": target}, catalog, [("account", s) for s in sets])
+    got = {r["identity"]: r["match_count"] for r in found.collect()}
+    assert got == {i: 1 if "address1_country" in i else 2 for _, i in want}
+
+
+def test_reference_ids_keep_their_colons(spark):
+    from weftline.functions.values import typed
+
+    row = spark.range(1).select(typed(F.lit("account:urn:7"), "reference").alias("r")).first()["r"]
+    assert (row["entity"], row["id"]) == ("account", "urn:7")

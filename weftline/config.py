@@ -15,7 +15,6 @@ _RANGES = {
     "failure_min_calls": (3, 100),
     "failure_window_seconds": (10, 300),
     "max_deliveries": (1, 1000),
-    "max_key_shapes": (1, 4096),
 }
 
 
@@ -32,10 +31,6 @@ class Options:
     failure_ratio: float = 0.5
     # How often a queued message is tried before it is set aside.
     max_deliveries: int = 10
-    # How many different sets of key columns one run may use. Each set is one
-    # projection of the target table, so this guards the size of the plan; a
-    # run that needs more stops with an error instead of dropping rows.
-    max_key_shapes: int = 256
 
     def __post_init__(self) -> None:
         for f in fields(self):

@@ -152,34 +152,35 @@ def typed(text: Column, type_name: str) -> Column:
             text.isNotNull(),
             F.struct(
                 F.substring_index(text, ":", 1).alias("entity"),
-                F.substring_index(text, ":", -1).alias("id"),
+                # An id may hold colons of its own.
+                F.regexp_extract(text, r"(?s)^[^:]*:(.*)$", 1).alias("id"),
             ),
         )
     if type_name == "binary":
         return F.unbase64(text)
-    return text.cast(SPARK_TYPES[type_name])
+    return text.try_cast(SPARK_TYPES[type_name])
 
 
 def canonical(value: Column, type_name: str) -> Column:
-    """Canonical text of a typed table value."""
+    """Canonical text of a typed table value; null where it does not fit the type."""
     if type_name == "datetime":
-        return F.unix_micros(value.cast("timestamp")).cast("string")
+        return F.unix_micros(value.try_cast("timestamp")).cast("string")
     if type_name == "guid":
         return F.lower(value.cast("string"))
     if type_name in ("decimal", "money"):
-        return value.cast("decimal(38,10)").cast("string")
+        return value.try_cast("decimal(38,10)").cast("string")
     if type_name == "choices":
-        return F.to_json(value.cast("array<int>"))
+        return F.to_json(value.try_cast("array<int>"))
     if type_name == "reference":
         return F.when(value.isNotNull(), F.concat(value["entity"], F.lit(":"), value["id"]))
     if type_name == "binary":
         return F.base64(value)
     if type_name in ("int", "choice", "option"):
-        return value.cast("int").cast("string")
+        return value.try_cast("int").cast("string")
     if type_name == "long":
-        return value.cast("bigint").cast("string")
+        return value.try_cast("bigint").cast("string")
     if type_name in ("double", "float"):
-        return value.cast(type_name).cast("string")
+        return value.try_cast(type_name).cast("string")
     return value.cast("string")
 
 

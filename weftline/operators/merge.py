@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.catalog import Catalog
+from weftline.functions.text import message
 from weftline.functions.values import typed
 
 _RECORD = ["entity_name", "id"]
@@ -73,7 +74,9 @@ def merge_entity(target: DataFrame, folded: DataFrame, catalog: Catalog, entity:
 
     def value_of(column: str, type_: T.DataType) -> Column:
         text = F.try_element_at(F.col("_values"), F.lit(column.lower()))
-        return typed(text, specs[column.lower()].type).cast(_nullable(type_))
+        # What does not fit was refused before; nothing may end the whole batch here.
+        value = typed(text, specs[column.lower()].type)
+        return value.cast(_nullable(type_)) if isinstance(type_, T.StructType) else value.try_cast(_nullable(type_))
 
     def updated(f: T.StructField) -> Column:
         if f.name.lower() == id_column or f.name.lower() not in specs:
@@ -96,6 +99,27 @@ def merge_entity(target: DataFrame, folded: DataFrame, catalog: Catalog, entity:
     return changed.unionByName(creates.select(*[fresh(f) for f in fields]))
 
 
+def write_refusals(rows: DataFrame, targets: Mapping[str, DataFrame], catalog: Catalog) -> Column:
+    """Why a row's values cannot be written to their table, or null: table, columns and types as they are."""
+    names = F.map_keys("values")
+    refusal = F.when(~F.col("entity_name").isin(list(targets)), message("Entity '", F.col("entity"), "' has no table to write to."))
+    for entity, target in targets.items():
+        mine, specs = F.col("entity_name") == entity, catalog.entities.get(entity, {})
+        fields = {f.name.lower(): f.dataType for f in target.schema.fields}
+        known = F.array(*[F.lit(n) for n in fields]).cast("array<string>")
+        missing = F.get(F.array_sort(F.array_except(names, known)), F.lit(0))
+        refusal = F.coalesce(refusal, F.when(mine & missing.isNotNull(), message("Field '", missing, "' has no column to write to.")))
+        for name, type_ in fields.items():
+            if name not in specs or isinstance(type_, T.StructType):
+                continue
+            text = F.try_element_at("values", F.lit(name))
+            fits = typed(text, specs[name].type).try_cast(type_).isNotNull()
+            refusal = F.coalesce(
+                refusal, F.when(mine & text.isNotNull() & ~fits, message("Field '", F.lit(name), "' does not fit its column."))
+            )
+    return F.when(F.col("values").isNotNull(), refusal)
+
+
 def merge_entities(targets: Mapping[str, DataFrame], folded: DataFrame, catalog: Catalog) -> dict[str, DataFrame]:
     return {entity: merge_entity(target, folded, catalog, entity) for entity, target in targets.items()}
 

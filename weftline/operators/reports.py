@@ -50,8 +50,8 @@ def latency_stats(log: DataFrame) -> DataFrame:
     zero = F.lit(0.0)
     return log.agg(
         F.coalesce(_rounded(F.avg("response_ms")), zero).alias("avg_ms"),
-        F.coalesce(F.min("response_ms"), zero).alias("min_ms"),
-        F.coalesce(F.max("response_ms"), zero).alias("max_ms"),
+        F.coalesce(_rounded(F.min("response_ms")), zero).alias("min_ms"),
+        F.coalesce(_rounded(F.max("response_ms")), zero).alias("max_ms"),
     )
 
 
@@ -60,15 +60,25 @@ def nearest_rank(values: DataFrame, column: str, percents: Sequence[float]) -> d
 
     Each step counts values in equal-width bins, keeps the bin that holds the wanted rank and
     looks at that bin only. When few distinct values are left they are ranked. No task and no
-    step on the driver sees more than a fixed number of rows.
+    step on the driver sees more than a fixed number of rows. What is not a number is left out
+    like null; infinite values rank first and last.
     """
     v = F.col(column).cast("double")
-    base = values.where(v.isNotNull()).select(v.alias("v"))
-    total, low, high = base.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    base = values.where(v.isNotNull() & ~F.isnan(v)).select(v.alias("v"))
+    finite = F.abs("v") < float("inf")
+    total, below, low, high, inside = base.agg(
+        F.count("*"), F.count_if(F.col("v") == float("-inf")), F.min(F.when(finite, F.col("v"))), F.max(F.when(finite, F.col("v"))), F.count_if(finite)
+    ).first()
     if not total:
         return {p: 0.0 for p in percents}
     counted: dict = {}  # bins of a range, shared by all percentiles that look at it
-    return {p: _rank_value(base, max(-(-p * total // 100), 1), low, high, counted) for p in percents}
+
+    def at(rank: int) -> float:
+        if rank <= below:
+            return float("-inf")
+        return _rank_value(base.where(finite), rank - below, low, high, counted) if rank <= below + inside else float("inf")
+
+    return {p: at(int(max(-(-p * total // 100), 1))) for p in percents}
 
 
 def _rank_value(base: DataFrame, rank: float, low: float, high: float, counted: dict) -> float:
@@ -76,10 +86,11 @@ def _rank_value(base: DataFrame, rank: float, low: float, high: float, counted:
     rank = int(rank)
     while low < high:
         inside, key = base.where(F.col("v").between(low, high)), (low, high)
-        width = (high - low) / _BINS
-        if width == 0 or width == float("inf"):
+        # Divided first: the difference of two large values may be no number.
+        width = high / _BINS - low / _BINS
+        if width == 0:
             return _rank_by_value(inside, rank)
-        place = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(_BINS - 1)).cast("int")
+        place = F.greatest(F.lit(0), F.least(F.floor(F.col("v") / F.lit(width) - F.lit(low) / F.lit(width)), F.lit(_BINS - 1))).cast("int")
         if key not in counted:
             counted[key] = (
                 inside.groupBy(place.alias("bin"))
@@ -122,20 +133,31 @@ def status_breakdown(log: DataFrame) -> DataFrame:
 def request_numbers(log: DataFrame) -> DataFrame:
     """Add ``n``: 0-based place of a request within its thread, by request index.
 
-    Rows are numbered inside ranges of the index and shifted by what came before the range,
-    so one very long thread is spread over many tasks.
+    Indexes are counted first and summed inside ranges, ranges are shifted by what came before
+    them, so one very long thread is spread over many tasks, also if its indexes repeat. Rows
+    without an index come first, rows without a thread are a thread of their own; rows of one
+    index are numbered in any order.
     """
     bucket = F.floor(F.col("request_index") / INDEX_BUCKET)
-    rows = log.withColumn("_bucket", bucket)
-    sizes = rows.groupBy("thread_id", "_bucket").agg(F.count("*").alias("_size"))
-    before = Window.partitionBy("thread_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("thread_id", "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("thread_id", "_bucket").orderBy("request_index")
+    sizes = log.groupBy("thread_id", "request_index").agg(F.count("*").alias("_size")).withColumn("_bucket", bucket)
+    ranges = sizes.groupBy("thread_id", "_bucket").agg(F.sum("_size").alias("_all"))
+    earlier = (Window.unboundedPreceding, -1)
+    by_range = Window.partitionBy("thread_id").orderBy("_bucket").rowsBetween(*earlier)
+    shifts = ranges.select(
+        F.col("thread_id").alias("_thread"), F.col("_bucket").alias("_range"), F.coalesce(F.sum("_all").over(by_range), F.lit(0)).alias("_shift")
+    )
+    by_index = Window.partitionBy("thread_id", "_bucket").orderBy("request_index").rowsBetween(*earlier)
+    offsets = (
+        sizes.withColumn("_own", F.coalesce(F.sum("_size").over(by_index), F.lit(0)))
+        .join(shifts, F.col("thread_id").eqNullSafe(F.col("_thread")) & F.col("_bucket").eqNullSafe(F.col("_range")))
+        .select(F.col("thread_id").alias("_of"), F.col("request_index").alias("_index"), (F.col("_own") + F.col("_shift")).alias("_offset"))
+    )
+    within = Window.partitionBy("thread_id", "request_index").orderBy(F.lit(0))
+    rows = log.withColumn("_row", F.row_number().over(within))
     return (
-        rows.withColumn("_row", F.row_number().over(within))
-        .join(offsets, ["thread_id", "_bucket"])
+        rows.join(offsets, rows["thread_id"].eqNullSafe(F.col("_of")) & rows["request_index"].eqNullSafe(F.col("_index")))
         .withColumn("n", F.col("_offset") + F.col("_row") - 1)
-        .drop("_bucket", "_row", "_offset")
+        .drop("_of", "_index", "_row", "_offset")
     )
 
 

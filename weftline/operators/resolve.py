@@ -7,6 +7,7 @@ of rows point to is looked up once.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -14,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.catalog import Catalog
-from weftline.config import Options
 from weftline.functions import keys as K
 from weftline.functions.text import message
+from weftline.session import cut_lineage
 
 # (entity, sorted key column names)
 Shape = tuple[str, tuple[str, ...]]
@@ -31,17 +32,9 @@ class Profile:
     given: bool
 
 
-def key_shapes(requests: DataFrame, options: Options = Options()) -> list[Shape]:
-    """Which sets of key columns are used. Reads names only; this is plan metadata, not data."""
-    found = (
-        requests.where(F.size("key_names") > 0)
-        .select("entity_name", "key_names")
-        .distinct()
-        .limit(options.max_key_shapes + 1)
-        .collect()
-    )
-    if len(found) > options.max_key_shapes:
-        raise ValueError(f"more than {options.max_key_shapes} sets of key columns; raise max_key_shapes")
+def key_shapes(requests: DataFrame) -> list[Shape]:
+    """Which sets of key columns are used. Reads names only, as many sets as there are; a set is data in the plan."""
+    found = requests.where(F.size("key_names") > 0).select("entity_name", "key_names").distinct().collect()
     return sorted((r["entity_name"], tuple(r["key_names"])) for r in found)
 
 
@@ -55,14 +48,37 @@ def scan_keys(target: DataFrame, catalog: Catalog, entity: str, names: Sequence[
     )
 
 
+def scan_key_sets(target: DataFrame, catalog: Catalog, entity: str, sets: Sequence[Sequence[str]]) -> DataFrame:
+    """``scan_keys`` for many sets of key columns in one scan: a row gives one join text per set.
+
+    The sets are an array in the plan, so its size does not grow with their number.
+    """
+    if len(sets) == 1:
+        return scan_keys(target, catalog, entity, sets[0])
+    names = sorted({n for own in sets for n in own})
+    pairs = F.create_map(
+        *[part for n in names for part in (F.lit(n), K.table_identity({n: (F.col(n), catalog.entities[entity][n].type)}))]
+    )
+    wanted = F.from_json(F.lit(json.dumps([sorted(own) for own in sets])), "array<array<string>>")
+    rows = target.select(F.col(catalog.id_column(entity)).cast("string").alias("match_id"), pairs.alias("pairs"))
+    texts = F.transform(wanted, lambda own: F.transform(own, lambda n: F.try_element_at("pairs", n)))
+    # A key that is null has no text: its sets match nothing.
+    whole = F.filter(texts, lambda own: F.forall(own, lambda t: t.isNotNull()))
+    return rows.select(
+        F.lit(entity).alias("entity_name"), F.explode(F.transform(whole, lambda own: F.array_join(own, ","))).alias("identity"), "match_id"
+    )
+
+
 def match_keys(
     requests: DataFrame, targets: Mapping[str, DataFrame], catalog: Catalog, shapes: Sequence[Shape]
 ) -> DataFrame:
     """Distinct (entity_name, identity) that exist, with ``match_count`` and an id."""
     wanted = requests.where(F.col("identity").isNotNull()).select("entity_name", "identity").distinct()
-    scans = [
-        scan_keys(targets[entity], catalog, entity, names) for entity, names in shapes if entity in targets
-    ]
+    sets: dict[str, list[tuple[str, ...]]] = {}
+    for entity, names in shapes:
+        if entity in targets and names:
+            sets.setdefault(entity, []).append(names)
+    scans = [scan_key_sets(targets[entity], catalog, entity, own) for entity, own in sets.items()]
     if not scans:
         return wanted.where(F.lit(False)).select(
             "entity_name", "identity", F.lit(0).cast("bigint").alias("match_count"), F.lit("").alias("match_id")
@@ -73,21 +89,45 @@ def match_keys(
     # Inner join, so whichever side is small is the one that may be broadcast.
     return (
         table_keys.join(wanted, ["entity_name", "identity"])
-        .groupBy("entity_name", "identity")
+        # A key that very many table rows share is counted in parts first.
+        .groupBy("entity_name", "identity", F.pmod(F.hash("match_id"), F.lit(32)).alias("_part"))
         .agg(F.count("*").alias("match_count"), F.min("match_id").alias("match_id"))
+        .groupBy("entity_name", "identity")
+        .agg(F.sum("match_count").alias("match_count"), F.min("match_id").alias("match_id"))
     )
 
 
 def match_ids(requests: DataFrame, targets: Mapping[str, DataFrame], catalog: Catalog) -> DataFrame:
-    """Which of the given (entity_name, id) exist in their tables."""
-    wanted = requests.where(F.col("id").isNotNull()).select("entity_name", "id").distinct()
+    """Which of the given (entity_name, id) exist in their tables, in any case, with the table's spelling."""
+    wanted = requests.where(F.col("id").isNotNull()).select("entity_name", F.lower("id").alias("_folded"), "id").distinct()
     tables = None
     for entity, target in targets.items():
         ids = target.select(
-            F.lit(entity).alias("entity_name"), F.col(catalog.id_column(entity)).cast("string").alias("id")
+            F.lit(entity).alias("entity_name"), F.col(catalog.id_column(entity)).cast("string").alias("table_id")
         )
         tables = ids if tables is None else tables.unionByName(ids)
-    return tables.join(wanted, ["entity_name", "id"]).select("entity_name", "id").distinct()
+    found = tables.withColumn("_folded", F.lower("table_id")).join(wanted, ["entity_name", "_folded"])
+    return found.groupBy("entity_name", "id").agg(F.min("table_id").alias("table_id"))
+
+
+def free_ids(decided: DataFrame, targets: Mapping[str, DataFrame], catalog: Catalog, salt: str = "") -> DataFrame:
+    """``decided`` with another id for creates whose id the table already holds.
+
+    That happens when a record was created under a key and then given another key. Ids stay a
+    hash of the key, with a number added, so a retried job still makes the same ones.
+    """
+    number = 0
+    while True:
+        creates = decided.where(F.col("error").isNull() & (F.col("action") == "create"))
+        wanted = creates.select("entity_name", F.col("final_id").alias("id"))
+        taken = cut_lineage(match_ids(wanted, targets, catalog).select("entity_name", F.col("id").alias("final_id"), F.lit(True).alias("_taken")))
+        if not taken.limit(1).count():
+            return decided
+        number += 1
+        other = K.new_id(F.col("entity_name"), F.col("identity"), f"{salt}#{number}")
+        marked = decided.join(taken, ["entity_name", "final_id"], "left")
+        again = F.col("_taken").isNotNull() & F.col("error").isNull() & (F.col("action") == "create")
+        decided = cut_lineage(marked.withColumn("final_id", F.when(again, other).otherwise(F.col("final_id"))).drop("_taken"))
 
 
 def _join_if_set(rows: DataFrame, found: DataFrame, column: str) -> DataFrame:
@@ -124,7 +164,7 @@ def ambiguity_error() -> Column:
 
 
 def reresolve_conflicts(
-    conflicts: DataFrame, targets: Mapping[str, DataFrame], catalog: Catalog, options: Options = Options()
+    conflicts: DataFrame, targets: Mapping[str, DataFrame], catalog: Catalog
 ) -> DataFrame:
     """Second and last try for rows whose write met a record that appeared or vanished.
 
@@ -132,7 +172,7 @@ def reresolve_conflicts(
     a given id keeps it: it stays in conflict if the id is still not there.
     """
     requests = conflicts.where(F.col("identity").isNotNull())
-    matches = match_keys(requests, targets, catalog, key_shapes(requests, options))
+    matches = match_keys(requests, targets, catalog, key_shapes(requests))
     return decide_action(
         resolve_keys(conflicts.drop("match_count", "match_id", "action", "error", "final_id", "id_exists"), matches),
         match_ids(conflicts, targets, catalog),
@@ -145,10 +185,11 @@ def decide_action(resolved: DataFrame, known_ids: DataFrame | None = None, salt:
     Adds ``action``, ``final_id`` and ``error`` (null when the row can be written).
     """
     if known_ids is None:
-        checked = resolved.withColumn("id_exists", F.col("id").isNotNull())
+        checked = resolved.withColumn("id_exists", F.col("id").isNotNull()).withColumn("table_id", F.col("id"))
     else:
         checked = _join_if_set(resolved, known_ids.withColumn("id_exists", F.lit(True)), "id")
-    found = F.coalesce("id", F.when(F.col("match_count") == 1, F.col("match_id")))
+    # The record is written under its table's spelling of the id.
+    found = F.coalesce("table_id", "id", F.when(F.col("match_count") == 1, F.col("match_id")))
     gone = F.when(
         F.col("id").isNotNull() & ~F.coalesce("id_exists", F.lit(False)),
         message("Entity '", F.col("entity"), "' with id '", F.col("id"), "' does not exist."),
@@ -157,4 +198,5 @@ def decide_action(resolved: DataFrame, known_ids: DataFrame | None = None, salt:
         checked.withColumn("error", F.coalesce(gone, ambiguity_error()))
         .withColumn("action", F.when(found.isNotNull(), "update").otherwise("create"))
         .withColumn("final_id", F.coalesce(found, K.new_id(F.col("entity_name"), F.col("identity"), salt)))
+        .drop("table_id")
     )

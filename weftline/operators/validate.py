@@ -175,11 +175,25 @@ def lookup_errors(catalog: Catalog) -> Column:
                 message(n["path"], ": Entity '", n["entity"], "' does not exist in the early-bound model."),
             ),
         )
+        # The payload itself must have a place for its references.
+        holder = F.when(n["depth"] == 0, F.col("entity"))
+        holds = F.try_element_at(catalog_column, F.lower(holder))
+        place = F.try_element_at(holds, F.lower(n["attribute"]))
+        placed = collected(
+            F.when(
+                holds.isNotNull() & place.isNull(),
+                message(n["path"], ": Field '", n["attribute"], "' is not defined on entity '", holder, "'."),
+            ),
+            F.when(
+                place.isNotNull() & (place["type"] != "reference"),
+                message(n["path"], ": Field '", n["attribute"], "' has invalid type. Expected '", place["friendly"], "'."),
+            ),
+        )
         named = F.when(
             ~n["absent"] & ~blank & ~keyless & specs.isNotNull(),
             F.concat(names(n, n["keys"], specs, "KeyAttributes"), names(n, n["create_attrs"], specs, "CreateAttributes")),
         ).otherwise(_no_errors())
-        return F.concat(own, named)
+        return F.concat(own, named, placed)
 
     return F.coalesce(F.flatten(F.transform(nodes, of)), _no_errors())
 

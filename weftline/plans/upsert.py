@@ -43,7 +43,7 @@ class UpsertOutcome:
     status: DataFrame
 
 
-def profile_rows(rows: DataFrame, options: Options) -> R.Profile:
+def profile_rows(rows: DataFrame) -> R.Profile:
     """One pass over the parsed rows: key sets in use, depth of lookups, whether ids are given."""
     own = F.array(
         F.struct(
@@ -67,11 +67,8 @@ def profile_rows(rows: DataFrame, options: Options) -> R.Profile:
         .select(F.explode(F.concat(own, below)).alias("k"))
         .groupBy("k.entity_name", "k.key_names")
         .agg(F.max("k.depth").alias("depth"), F.max("k.given").alias("given"))
-        .limit(options.max_key_shapes + 1)
         .collect()
     )
-    if len(found) > options.max_key_shapes:
-        raise ValueError(f"more than {options.max_key_shapes} sets of key columns; raise max_key_shapes")
     shapes = sorted({(r["entity_name"], tuple(r["key_names"])) for r in found})
     levels = max((r["depth"] for r in found), default=-1) + 1
     return R.Profile(shapes, levels, any(r["given"] for r in found))
@@ -90,7 +87,7 @@ def decide(
     With a ``profile`` (``sources.tables.profile_of``) no pass over the rows is needed to plan.
     """
     rows = validated
-    profile = profile or profile_rows(rows, options)
+    profile = profile or profile_rows(rows)
     levels = profile.levels
     valid = rows.where(F.col("errors").isNull())
     own_requests = valid.where(F.col("id").isNull()).select("entity_name", "identity")
@@ -113,6 +110,8 @@ def decide(
 
     known_ids = R.match_ids(valid, targets, catalog) if profile.given else None
     acted = R.decide_action(R.resolve_keys(referenced, matches), known_ids, salt)
+    # A value, attribute or entity without a place is this row's error, not a loss.
+    acted = acted.withColumn("error", F.coalesce("error", M.write_refusals(acted, targets, catalog)))
     category = (
         F.when(F.col("errors").isNotNull(), "Validation")
         .when(F.col("lookup_error").isNotNull(), F.col("lookup_category"))
@@ -128,7 +127,7 @@ def decide(
         )
         .drop("lookup_error", "lookup_category", "nodes")
     )
-    acted = cut_lineage(acted)
+    acted = R.free_ids(cut_lineage(acted), targets, catalog, salt)
     return Decision(M.sequence_changes(acted, records), acted, outcomes, levels, records)
 
 

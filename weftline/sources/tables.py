@@ -101,7 +101,7 @@ def _checked(
             errors.append(F.when(column.isNotNull(), F.lit(invalid)))
         else:
             text = typed_text(column, types[name].dataType, spec, catalog.options.get(spec.option_set))
-            if isinstance(types[name].dataType, T.StringType) and spec.type != "string":
+            if spec.type != "string":
                 errors.append(F.when(column.isNotNull() & text.isNull(), F.lit(invalid)))
             texts[name.lower()] = text
     return errors, texts
@@ -176,6 +176,19 @@ def _nodes(frame: DataFrame, lookups: Sequence[Lookup], options: Options) -> Col
     return (F.array(*flat) if flat else F.array()).cast(NODE_DDL)
 
 
+def _misplaced(lookups: Sequence[Lookup], catalog: Catalog, entity: str) -> list[Column]:
+    """References under a name that is no reference of the row's entity."""
+    specs, found = catalog.entities.get(entity.lower()), []
+    for item in lookups:
+        where = f"Lookups.{item.attribute}"
+        spec = specs.get(item.attribute.lower()) if specs is not None else None
+        if specs is not None and spec is None:
+            found.append(F.lit(f"{where}: Field '{item.attribute}' is not defined on entity '{entity}'."))
+        elif spec is not None and spec.type != "reference":
+            found.append(F.lit(f"{where}: Field '{item.attribute}' has invalid type. Expected '{spec.friendly}'."))
+    return found
+
+
 def payloads_from_table(
     frame: DataFrame,
     catalog: Catalog,
@@ -194,6 +207,7 @@ def payloads_from_table(
     ``present`` names the attributes a row supplies (array of lower-case names); without it
     all are supplied and a null value clears the column.
     """
+    misplaced = _misplaced(lookups, catalog, entity)
     both = [
         F.lit(f"KeyAttribute '{n}' must not also be present in Attributes.") for n in keys if n in attrs
     ]
@@ -202,7 +216,7 @@ def payloads_from_table(
     if entity.lower() not in catalog.entities:
         problems = [F.lit(f"Entity '{entity}' does not exist in the early-bound model.")]
     else:
-        problems = attr_errors + key_problems + both
+        problems = attr_errors + key_problems + both + misplaced
     errors = F.filter(F.array(*problems), lambda e: e.isNotNull()) if problems else F.array().cast("array<string>")
     supplied = _map_of(attr_texts)
     if present is not None:
