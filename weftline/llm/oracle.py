@@ -28,7 +28,7 @@ d{i} AS (SELECT host, template, segment, CASE WHEN segment = '$' OR kids = 1 OR
         AND abs(b / nullif(n, 0) - (bb - b) / nullif(nn - n, 0))
           > 2.58 * sqrt((bb / nullif(nn, 0)) * (1 - bb / nullif(nn, 0)) * (1 / nullif(n, 0) + 1 / nullif(nn - n, 0))), false)
         THEN segment ELSE '*' END AS kept FROM k{i} k JOIN n{i} USING (host, template)),
-t{i + 1} AS (SELECT host, shape, template || '{"/" if i else ""}' || CASE WHEN kept = '$' THEN '' ELSE kept END AS template, pages, labelled, rejected
+t{i + 1} AS (SELECT host, shape, CASE WHEN kept = '$' THEN template ELSE template || '{"/" if i else ""}' || kept END AS template, pages, labelled, rejected
         FROM g{i} JOIN d{i} USING (host, template, segment))""")
     parts.append("""
 t AS (SELECT host, shape, CASE WHEN len(string_split(shape, '/')) > 5 THEN template || '/*' ELSE template END AS template, labelled, rejected FROM t5),

@@ -96,7 +96,8 @@ def _generalised(paths: DataFrame, level: int) -> DataFrame:
         *node, "segment", F.when((F.col("segment") == _END) | F.coalesce(keeps, F.lit(False)), F.col("segment")).otherwise(WILDCARD).alias("kept")
     )
     return paths.join(named, [*node, "segment"]).select(
-        "host", "shape", F.concat("template", F.lit("/" if level else ""), F.when(F.col("kept") == _END, "").otherwise(F.col("kept"))).alias("template"),
+        "host", "shape",
+        F.when(F.col("kept") == _END, F.col("template")).otherwise(F.concat("template", F.lit("/" if level else ""), "kept")).alias("template"),
         "pages", "labelled", "rejected",
     )
 
