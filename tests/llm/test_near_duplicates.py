@@ -108,6 +108,31 @@ def test_keep_one_keeps_columns_and_one_row_of_each_group(spark, hard, empty):
     assert golay_dedup.keep_one(empty).count() == 0
 
 
+def test_keep_one_equals_brute_force_jaccard(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(400)]
+    passage = [rng.choice(words) for _ in range(12)]
+    texts = [[rng.choice(words) for _ in range(rng.randint(3, 120))] for _ in range(40)]
+    for _ in range(150):
+        own = list(rng.choice(texts))
+        for _ in range(rng.randint(0, 1 + len(own) // 40)):
+            own[rng.randrange(len(own))] = rng.choice(words)
+        texts.append(own)
+    texts += [[*passage, *[rng.choice(words) for _ in range(rng.randint(1, 60))]] for _ in range(60)]
+
+    def grams(own):
+        return {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))}
+
+    sets = [grams(t) for t in texts]
+    alike = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    want = sorted({r for r in roots(len(sets), alike)})
+    docs = docs_of(spark, [" ".join(t) for t in texts])
+    assert sorted(r["doc_id"] for r in golay_dedup.keep_one(docs, 5).collect()) == want
+    # Pairs far apart by fingerprint are among them.
+    prints = [golay_dedup.fingerprint(" ".join(t), 5) for t in texts]
+    assert any((prints[i] ^ prints[j]).bit_count() > 2 * golay_dedup.ERRORS for i, j in alike)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(5, i) for i in range(6, 60)]
