@@ -199,3 +199,9 @@ def test_lines_hard_and_empty(spark, hard, empty):
     assert sorted(r["doc_id"] for r in rows if r["doc_id"]) == [1, 1, 2, 3, 4, 5, 6]
     assert sum(r["doc_id"] is None for r in rows) == 2
     assert line_dedup.drop_repeated_lines(empty).count() == 0
+
+
+def test_short_lines_have_rows_and_repeats_of_them_go(spark):
+    docs = docs_of(spark, ["Chapter one\nOnly here is this sentence to be found", "chapter ONE!\nMenu", "menu\n---"])
+    rows = {(r["doc_id"], r["line"]): r["kept"] for r in line_dedup.repeated_lines(docs).collect()}
+    assert rows == {(0, 0): True, (0, 1): True, (1, 0): False, (1, 1): True, (2, 0): False}
