@@ -205,3 +205,25 @@ def test_short_lines_have_rows_and_repeats_of_them_go(spark):
     docs = docs_of(spark, ["Chapter one\nOnly here is this sentence to be found", "chapter ONE!\nMenu", "menu\n---"])
     rows = {(r["doc_id"], r["line"]): r["kept"] for r in line_dedup.repeated_lines(docs).collect()}
     assert rows == {(0, 0): True, (0, 1): True, (1, 0): False, (1, 1): True, (2, 0): False}
+
+
+def test_changed_words_are_found_in_lines_of_any_length(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(4, 6))) for _ in range(3000)]
+    texts = []
+    for size in range(6, 66):
+        own = [rng.choice(words) for _ in range(size)]
+        changed = list(own)
+        for at in rng.sample(range(size), max(1, size // 10)):
+            changed[at] = "".join(rng.choice("klmno") for _ in range(len(own[at])))
+        texts += [" ".join(own), " ".join(changed)]
+    assert all(line_dedup.similar(a.encode(), b.encode()) for a, b in zip(texts[::2], texts[1::2]))
+    kept = {r["doc_id"] for r in line_dedup.repeated_lines(docs_of(spark, texts)).collect() if r["kept"]}
+    assert kept == set(range(0, len(texts), 2))
+
+
+def test_the_first_runs_of_a_long_line_are_enough():
+    lines = [b"a b", b"a b c", b" ".join(b"%d" % n for n in range(500))]
+    row, key, before, counts = line_dedup.line_grams(lines)
+    assert np.bincount(row).tolist() == [3, 3, line_dedup.GRAMS] and len(counts) == 3
+    assert set(key[row == 0]) & set(key[row == 1])
