@@ -153,6 +153,51 @@ def test_scores_equal_a_plain_tree(spark):
         assert sum(share[1].get((context, w), 0.0) + left * root(w) for w in [*one, "unknown"]) == pytest.approx(1)
 
 
+def test_contexts_grow_with_what_the_texts_bear_out(spark):
+    # Each of the last four words has its part in what comes next.
+    rng = random.Random(4)
+    texts = []
+    for _ in range(150):
+        own = [rng.choice("xy") for _ in range(4)]
+        for _ in range(60):
+            share = sum(p for p, w in zip((0.3, 0.25, 0.25, 0.2), reversed(own)) if w == "x")
+            own.append("x" if rng.random() < share else "y")
+        texts.append(" ".join(own))
+    train = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 7 != 2]
+    tokens = {i: [*t.encode().split(), None] for i, t in enumerate(texts)}
+    one = Counter(w for i in train for w in tokens[i])
+    total, distinct = sum(one.values()), len(one)
+    nodes, depth = {(): None}, 0
+    counts = Counter(tuple(tokens[i][k - d : k + 1]) for i in train for d in range(1, 9) for k in range(d, len(tokens[i])))
+    following = {}
+    for gram, n in counts.items():
+        following.setdefault(gram[:-1], {})[gram[-1]] = n
+
+    def chance(past, word):
+        if not past:
+            return (one[word] + 1) / (total + distinct + 1)
+        share, left = nodes[past]
+        return share.get(word, 0.0) + left * chance(past[1:], word)
+
+    while any(len(c) == depth for c in nodes):
+        depth += 1
+        for context, own in following.items():
+            size = sum(own.values())
+            if len(context) == depth and context[1:] in nodes and size >= suffix_tree.LEAST_CONTEXT:
+                own = {w: n for w, n in own.items() if n >= suffix_tree.LEAST_PAIR}
+                if sum(n * math.log(n / size / chance(context[1:], w)) for w, n in own.items()) >= suffix_tree.GAIN:
+                    nodes[context] = {w: (n - 1) / size for w, n in own.items()}, 1 - sum((n - 1) / size for n in own.values())
+    assert 4 <= max(map(len, nodes)) < 8
+    for r in suffix_tree.score_documents(docs_of(spark, texts)).collect():
+        own, score = tokens[r["doc_id"]], 0.0
+        for k, w in enumerate(own):
+            d = 0
+            while d < k and tuple(own[k - d - 1 : k]) in nodes:
+                d += 1
+            score += math.log10(chance(tuple(own[k - d : k]), w))
+        assert r["score"] == pytest.approx(score)
+
+
 def test_scores_hard_and_empty(spark, hard, empty):
     rows = suffix_tree.score_documents(hard).collect()
     assert len(rows) == len(HARD) and all(r["score"] <= 0 for r in rows)
