@@ -51,4 +51,21 @@ s AS (SELECT query_id, vec_id, list_inner_product(qe::DOUBLE[], e::DOUBLE[])::BI
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5"""
 
-ORACLE: dict[str, str] = {"op6_exact_top_k": _TOP_K, "op10_url_filters": _url_filters()}
+_FILL_IN_MIDDLE = """
+WITH d AS (SELECT doc_id, coalesce("text", '') AS x, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+t AS (SELECT doc_id, x, regexp_extract_all(x, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS u,
+  ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+  CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+       WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM t),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM c),
+o AS (SELECT *, CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+  ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END AS y FROM p)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars, sha256(y) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN y
+    WHEN 'psm' THEN split_part(substr(y, 4), '<S>', 1) || split_part(y, '<M>', 2) || split_part(split_part(y, '<M>', 1), '<S>', 2)
+    ELSE split_part(split_part(y, '<M>', 1), '<P>', 2) || split_part(y, '<M>', 2) || split_part(substr(y, 4), '<P>', 1) END) AS restored_sha256
+FROM o"""
+
+ORACLE: dict[str, str] = {"op6_exact_top_k": _TOP_K, "op10_url_filters": _url_filters(), "op13_fill_in_middle": _FILL_IN_MIDDLE}
