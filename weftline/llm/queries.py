@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import bpe, decontaminate, golay_dedup, grammar_ids, infill, kd_search, line_dedup, periodic_runs, sharding, suffix_tree, url_templates, weak_labels
+from weftline.llm import bpe, decontaminate, golay_dedup, grammar_ids, infill, kd_search, language_crf, line_dedup, periodic_runs, sharding, suffix_tree, url_templates, weak_labels
 from weftline.llm.common import text_or_empty
 from weftline.session import shared_folder
 
@@ -66,6 +66,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(_table(spark, sf_dir, "pages"), labels)
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_crf.predict_languages(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.with_planted_runs(_table(spark, sf_dir, "documents"))
     return periodic_runs.digests(periodic_runs.find_runs(docs))
@@ -75,4 +79,4 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digests(infill.infill(_table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_lm_scores, op3_bpe, op4_sharding, op5_decontamination, op6_exact_top_k, op7_simhash_near_dedup, op8_token_ids, op9_quality_classifier, op10_url_filters, op12_periodic_runs, op13_fill_in_middle)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_lm_scores, op3_bpe, op4_sharding, op5_decontamination, op6_exact_top_k, op7_simhash_near_dedup, op8_token_ids, op9_quality_classifier, op10_url_filters, op11_language_id, op12_periodic_runs, op13_fill_in_middle)}
