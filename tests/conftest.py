@@ -79,7 +79,7 @@ ACCOUNT_DDL = (
 )
 CONTACT_DDL = (
     "contactid string, emailaddress1 string, firstname string, lastname string, telephone1 string, jobtitle string, "
-    f"gendercode int, parentcustomerid {REFERENCE}"
+    f"gendercode int, parentcustomerid {REFERENCE}, accountid {REFERENCE}"
 )
 
 

@@ -362,3 +362,78 @@ def test_reference_ids_keep_their_colons(spark):
 
     row = spark.range(1).select(typed(F.lit("account:urn:7"), "reference").alias("r")).first()["r"]
     assert (row["entity"], row["id"]) == ("account", "urn:7")
+
+
+def lookup_of(entity, keys, create=None, nested=None):
+    node = {"EntityLogicalName": entity, "KeyAttributes": keys, "CreateIfNotExists": True}
+    if create is not None:
+        node["CreateAttributes"] = create
+    if nested is not None:
+        node["NestedLookups"] = nested
+    return node
+
+
+def test_records_that_lookups_create_are_refused_like_own_rows(spark):
+    narrow = {"account": make_targets(spark)["account"].withColumn("revenue", F.col("revenue").cast("decimal(10,2)")), "contact": make_targets(spark)["contact"]}
+    cases = [
+        # A value too wide, an attribute without a column, a nested reference without a place, a good one.
+        lookup_of("account", {"accountnumber": "W"}, {"revenue": 123456789012}),
+        lookup_of("account", {"accountnumber": "D"}, {"description": "gone?"}),
+        lookup_of("account", {"accountnumber": "P"}, {}, {"name": lookup_of("contact", {"emailaddress1": "made@x"}, {})}),
+        lookup_of("account", {"accountnumber": "G"}, {"revenue": 12}),
+    ]
+    body = {"Payloads": [payload("contact", {"emailaddress1": f"c{i}"}, {}, Lookups={"parentcustomerid": c}) for i, c in enumerate(cases)]}
+    out = upsert_batch(make_messages(spark, body), narrow, CATALOG)
+    rows = by(out.results.collect(), "idx")
+    assert [rows[i]["ErrorMessage"] for i in range(4)] == [
+        "Lookup resolution for 'parentcustomerid': Field 'revenue' does not fit its column.",
+        "Lookup resolution for 'parentcustomerid': Field 'description' has no column to write to.",
+        "Lookup resolution for 'parentcustomerid': Field 'name' cannot hold a reference.",
+        None,
+    ]
+    assert [rows[i]["ErrorCategory"] for i in range(4)] == ["Permanent"] * 3 + ["None"]
+    assert [r["accountnumber"] for r in out.tables["account"].collect()] == ["G"]
+    # The nested lookup had run before its parent was refused; what it made stays.
+    assert {r["emailaddress1"] for r in out.tables["contact"].collect()} == {"made@x", "c3"}
+
+
+def test_lookups_create_nothing_without_a_table(spark):
+    targets = {"contact": make_targets(spark)["contact"]}
+    body = {"Payloads": [payload("contact", {"emailaddress1": "c"}, {}, Lookups={"parentcustomerid": lookup_of("account", {"accountnumber": "N"})})]}
+    out = upsert_batch(make_messages(spark, body), targets, CATALOG)
+    assert out.results.first()["ErrorMessage"] == "Lookup resolution for 'parentcustomerid': Entity 'account' has no table to write to."
+    assert out.tables["contact"].count() == 0
+
+
+def test_references_without_a_place_are_write_errors(spark):
+    good = lookup_of("account", {"accountnumber": "A"})
+    body = {
+        "Payloads": [
+            payload("contact", {"emailaddress1": "a"}, {}, Lookups={"firstname": good}),
+            payload("contact", {"emailaddress1": "b"}, {}, Lookups={"nosuch": good}),
+            payload("contact", {"emailaddress1": "c"}, {"nosuch": 1}, Lookups={"nosuch": good}),
+        ]
+    }
+    out = run(spark, body)
+    rows = by(out.results.collect(), "idx")
+    assert [(rows[i]["ErrorCategory"], rows[i]["ErrorMessage"]) for i in range(3)] == [
+        ("Permanent", "Field 'firstname' cannot hold a reference."),
+        ("Permanent", "Field 'nosuch' has no column to write to."),
+        ("Validation", "Field 'nosuch' is not defined on entity 'contact'."),
+    ]
+
+
+def test_ids_of_lookup_creates_are_free(spark):
+    first = run(spark, {"Payloads": [payload("contact", {"emailaddress1": "a"}, {}, Lookups={"parentcustomerid": lookup_of("account", {"accountnumber": "K"})})]})
+    made = first.tables["account"].first()["accountid"]
+    # The record has another key by now, in another spelling of its id; its old key is created again.
+    accounts = [{"accountid": made.upper(), "accountnumber": "other"}]
+    again = run(spark, {"Payloads": [
+        payload("contact", {"emailaddress1": "b"}, {}, Lookups={"parentcustomerid": lookup_of("account", {"accountnumber": "K"})}),
+        payload("account", {"accountnumber": "K"}, {"name": "own"}),
+    ]}, accounts=accounts)
+    table = again.tables["account"].collect()
+    assert len(table) == 2 and len({r["accountid"].lower() for r in table}) == 2
+    fresh = next(r for r in table if r["accountnumber"] == "K")
+    contact = by(again.tables["contact"].collect(), "emailaddress1")["b"]
+    assert fresh["name"] == "own" and contact["parentcustomerid"]["id"] == fresh["accountid"]

@@ -16,7 +16,7 @@ _BAG = J.BAG_DDL
 NODE_DDL = (
     "array<struct<ord:string,parent:string,path:string,attribute:string,depth:int,absent:boolean,"
     f"entity:string,keys:{_BAG},`create`:boolean,create_attrs:{_BAG},eff_depth:int,sig:string,"
-    "above:array<string>,nested:string>>"
+    "above:array<string>,nested:string,holder:string>>"
 )
 
 
@@ -32,7 +32,7 @@ def lookup_nodes(options: Options) -> Column:
         F.greatest(F.coalesce(max_depth, F.lit(options.max_lookup_depth)), F.lit(1)), F.lit(options.max_lookup_depth)
     )
 
-    def nodes(text: Column, parent: Column, path: Column, depth: Column, eff: Column, above: Column) -> Column:
+    def nodes(text: Column, parent: Column, path: Column, depth: Column, eff: Column, above: Column, holder: Column) -> Column:
         entries = F.map_entries(J.bag(text))
         read = F.transform(
             entries,
@@ -75,12 +75,13 @@ def lookup_nodes(options: Options) -> Column:
                     signature(J.raw_of(e["m"], "entitylogicalname"), e["keys"]).alias("sig"),
                     above.alias("above"),
                     J.raw_of(e["m"], "nestedlookups").alias("nested"),
+                    holder.alias("holder"),
                 ),
             ),
             F.array(),
         ).cast(NODE_DDL)
 
-    first = nodes(lookups, F.lit(""), F.lit("Lookups"), F.lit(0), budget, F.array().cast("array<string>"))
+    first = nodes(lookups, F.lit(""), F.lit("Lookups"), F.lit(0), budget, F.array().cast("array<string>"), F.lit(None).cast("string"))
 
     def next_level(levels: Column, level: Column) -> Column:
         last = F.element_at(levels, -1)
@@ -94,6 +95,7 @@ def lookup_nodes(options: Options) -> Column:
                     n["depth"] + 1,
                     n["eff_depth"],
                     F.concat(n["above"], F.array(n["sig"])),
+                    n["entity"],
                 ),
             )
         )

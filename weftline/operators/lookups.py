@@ -10,6 +10,8 @@ join per level, for as many levels as the batch really nests.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,13 +19,21 @@ from weftline.catalog import Catalog
 from weftline.functions import keys as K
 from weftline.functions.text import message
 from weftline.operators import validate as V
+from weftline.operators.merge import reference_refusal, value_refusal
+from weftline.operators.resolve import free_ids
 from weftline.session import cut_lineage
 
 _NODE = ["message_id", "idx", "ord"]
+# Sorts after the place of every node.
+_ALL = "~"
+
 
+def explode_lookups(validated: DataFrame, catalog: Catalog, targets: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per lookup definition of the valid payloads, with converted keys and create values.
 
-def explode_lookups(validated: DataFrame, catalog: Catalog) -> DataFrame:
-    """One row per lookup definition of the valid payloads, with converted keys and create values."""
+    ``create_error`` is found when the values are converted, ``write_error`` when the table would
+    refuse them, ``misplaced`` when the parent's table has no place for the reference.
+    """
     # The outer form: the inner one is preceded by a test for empty arrays, which builds them twice.
     rows = validated.select("message_id", "idx", F.explode_outer("nodes").alias("n")).where(F.col("n.ord").isNotNull())
     prepared = (
@@ -83,9 +93,16 @@ def explode_lookups(validated: DataFrame, catalog: Catalog) -> DataFrame:
             # Create attributes win over keys of the same name.
             F.when(F.col("create"), F.map_concat("key_values", V.values_map(F.col("_create")))).alias("create_values"),
             F.when(F.col("create"), V.first_error(F.col("_create"))).alias("create_error"),
+            F.when(
+                F.col("depth") > 0, reference_refusal(F.lower("holder"), F.col("attribute"), targets, catalog)
+            ).alias("misplaced"),
             "error",
             "category",
         )
+        .withColumn(
+            "write_error",
+            value_refusal(F.col("entity_name"), F.col("entity"), F.col("create_values"), targets, catalog),
+        )
     )
 
 
@@ -132,10 +149,12 @@ def _judge(nodes: DataFrame, levels: int, created: DataFrame | None) -> DataFram
     for depth in range(levels - 1, -1, -1):
         level = known.where(F.col("depth") == depth)
         if below is None:
-            level = level.select("*", *[nothing.alias(c) for c in ("cut", "_error", "_category")])
+            level = level.select("*", *[nothing.alias(c) for c in ("cut", "_error", "_category", "_place")])
         else:
             level = level.join(below, _NODE, "left")
-        creating_fails = F.coalesce("create_error", "_error")
+        # Values are converted first, then nested lookups run, then the record is written.
+        refused = message("Lookup resolution for '", F.col("attribute"), "': ", F.coalesce("write_error", "_place"))
+        creating_fails = F.coalesce("create_error", "_error", refused)
         lost = _missing() & ~F.col("made")
         level = (
             level.withColumn(
@@ -145,17 +164,32 @@ def _judge(nodes: DataFrame, levels: int, created: DataFrame | None) -> DataFram
             .withColumn(
                 "verdict_category",
                 F.when(lost & ~F.col("create"), "Permanent")
-                .when(lost, F.when(F.col("create_error").isNotNull(), "Validation").otherwise(F.col("_category")))
+                .when(
+                    lost,
+                    F.when(F.col("create_error").isNotNull(), "Validation")
+                    .when(F.col("_error").isNotNull(), F.col("_category"))
+                    .when(refused.isNotNull(), "Permanent"),
+                )
                 .otherwise(F.col("category")),
             )
-            .withColumn("cut", F.when(lost & F.col("create") & F.col("create_error").isNull(), F.col("cut")))
-            .drop("_error", "_category")
+            # All nested lookups of a record whose write is refused have run by then.
+            .withColumn(
+                "cut",
+                F.when(
+                    lost & F.col("create") & F.col("create_error").isNull(),
+                    F.coalesce("cut", F.when(refused.isNotNull(), F.lit(_ALL))),
+                ),
+            )
+            .drop("_error", "_category", "_place")
         )
         judged = level if judged is None else judged.unionByName(level)
         below = (
-            level.where(F.col("verdict").isNotNull() & (F.col("depth") > 0))
+            level.where((F.col("verdict").isNotNull() | F.col("misplaced").isNotNull()) & (F.col("depth") > 0))
             .groupBy("message_id", "idx", F.col("parent").alias("_parent"))
-            .agg(F.min(F.struct("ord", "verdict", "verdict_category")).alias("_f"))
+            .agg(
+                F.min(F.when(F.col("verdict").isNotNull(), F.struct("ord", "verdict", "verdict_category"))).alias("_f"),
+                F.min(F.when(F.col("misplaced").isNotNull(), F.struct("ord", "misplaced"))).alias("_m"),
+            )
             .select(
                 "message_id",
                 "idx",
@@ -163,6 +197,7 @@ def _judge(nodes: DataFrame, levels: int, created: DataFrame | None) -> DataFram
                 F.col("_f.ord").alias("cut"),
                 F.col("_f.verdict").alias("_error"),
                 F.col("_f.verdict_category").alias("_category"),
+                F.col("_m.misplaced").alias("_place"),
             )
         )
     return judged
@@ -218,7 +253,9 @@ def _claim(judged: DataFrame, levels: int, created: DataFrame | None) -> tuple[D
     return owners, all_reached
 
 
-def resolve_lookups(nodes: DataFrame, levels: int, salt: str = "") -> DataFrame:
+def resolve_lookups(
+    nodes: DataFrame, levels: int, targets: Mapping[str, DataFrame], catalog: Catalog, salt: str = ""
+) -> DataFrame:
     """Outcome of every reached node: ``resolved_id``, ``was_created`` or ``error``/``category``.
 
     ``nodes`` come from ``with_matches``; ``levels`` is how deep they nest. One round settles
@@ -238,7 +275,9 @@ def resolve_lookups(nodes: DataFrame, levels: int, salt: str = "") -> DataFrame:
         if stuck.join(owners.select("entity_name", "identity"), ["entity_name", "identity"], "left_semi").isEmpty():
             break
         created = owners
-    joined = reached.join(owners, ["entity_name", "identity"], "left")
+    fresh = owners.withColumn("fresh_id", K.new_id(F.col("entity_name"), F.col("identity"), salt))
+    fresh = free_ids(fresh, "fresh_id", F.lit(True), targets, catalog, salt)
+    joined = reached.join(fresh, ["entity_name", "identity"], "left")
     is_owner = (
         (F.col("message_id") == F.col("owner_message_id"))
         & (F.col("idx") == F.col("owner_idx"))
@@ -253,7 +292,7 @@ def resolve_lookups(nodes: DataFrame, levels: int, salt: str = "") -> DataFrame:
             "resolved_id",
             F.when(
                 F.col("error").isNull(),
-                F.coalesce("match_id", K.new_id(F.col("entity_name"), F.col("identity"), salt)),
+                F.coalesce("match_id", "fresh_id"),
             ),
         )
     )

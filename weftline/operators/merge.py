@@ -99,25 +99,56 @@ def merge_entity(target: DataFrame, folded: DataFrame, catalog: Catalog, entity:
     return changed.unionByName(creates.select(*[fresh(f) for f in fields]))
 
 
-def write_refusals(rows: DataFrame, targets: Mapping[str, DataFrame], catalog: Catalog) -> Column:
-    """Why a row's values cannot be written to their table, or null: table, columns and types as they are."""
-    names = F.map_keys("values")
-    refusal = F.when(~F.col("entity_name").isin(list(targets)), message("Entity '", F.col("entity"), "' has no table to write to."))
-    for entity, target in targets.items():
-        mine, specs = F.col("entity_name") == entity, catalog.entities.get(entity, {})
+def value_refusal(
+    entity_name: Column, entity: Column, values: Column, targets: Mapping[str, DataFrame], catalog: Catalog
+) -> Column:
+    """Why values cannot be written to their entity's table, or null: table, columns and types as they are."""
+    names = F.map_keys(values)
+    refusal = F.when(~entity_name.isin(list(targets)), message("Entity '", entity, "' has no table to write to."))
+    for name, target in targets.items():
+        mine, specs = entity_name == name, catalog.entities.get(name, {})
         fields = {f.name.lower(): f.dataType for f in target.schema.fields}
         known = F.array(*[F.lit(n) for n in fields]).cast("array<string>")
         missing = F.get(F.array_sort(F.array_except(names, known)), F.lit(0))
         refusal = F.coalesce(refusal, F.when(mine & missing.isNotNull(), message("Field '", missing, "' has no column to write to.")))
-        for name, type_ in fields.items():
-            if name not in specs or isinstance(type_, T.StructType):
+        for field, type_ in fields.items():
+            if field not in specs or isinstance(type_, T.StructType):
                 continue
-            text = F.try_element_at("values", F.lit(name))
-            fits = typed(text, specs[name].type).try_cast(type_).isNotNull()
+            text = F.try_element_at(values, F.lit(field))
+            fits = typed(text, specs[field].type).try_cast(type_).isNotNull()
             refusal = F.coalesce(
-                refusal, F.when(mine & text.isNotNull() & ~fits, message("Field '", F.lit(name), "' does not fit its column."))
+                refusal, F.when(mine & text.isNotNull() & ~fits, message("Field '", F.lit(field), "' does not fit its column."))
             )
-    return F.when(F.col("values").isNotNull(), refusal)
+    return F.when(values.isNotNull(), refusal)
+
+
+def reference_refusal(entity_name: Column, attribute: Column, targets: Mapping[str, DataFrame], catalog: Catalog) -> Column:
+    """Why an entity's table cannot hold a reference under ``attribute``, or null. Says nothing of entities without a table."""
+    name, refusal = F.lower(attribute), F.lit(None).cast("string")
+    for entity, target in targets.items():
+        specs = catalog.entities.get(entity, {})
+        places = [f.lower() for f in target.columns if f.lower() in specs]
+        references = [f for f in places if specs[f].type == "reference"]
+        own = F.when(~name.isin(places), message("Field '", name, "' has no column to write to.")).when(
+            ~name.isin(references), message("Field '", name, "' cannot hold a reference.")
+        )
+        refusal = F.when(entity_name == entity, own).otherwise(refusal)
+    return refusal
+
+
+def write_refusals(rows: DataFrame, targets: Mapping[str, DataFrame], catalog: Catalog) -> Column:
+    """Why a row's values or references cannot be written, or null."""
+    refusal = value_refusal(F.col("entity_name"), F.col("entity"), F.col("values"), targets, catalog)
+    if "nodes" not in rows.columns:
+        return refusal
+    misplaced = F.filter(
+        F.transform(
+            F.filter("nodes", lambda n: n["depth"] == 0),
+            lambda n: reference_refusal(F.col("entity_name"), n["attribute"], targets, catalog),
+        ),
+        lambda e: e.isNotNull(),
+    )
+    return F.coalesce(refusal, F.get(misplaced, F.lit(0)))
 
 
 def merge_entities(targets: Mapping[str, DataFrame], folded: DataFrame, catalog: Catalog) -> dict[str, DataFrame]:

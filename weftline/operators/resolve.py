@@ -110,24 +110,32 @@ def match_ids(requests: DataFrame, targets: Mapping[str, DataFrame], catalog: Ca
     return found.groupBy("entity_name", "id").agg(F.min("table_id").alias("table_id"))
 
 
-def free_ids(decided: DataFrame, targets: Mapping[str, DataFrame], catalog: Catalog, salt: str = "") -> DataFrame:
-    """``decided`` with another id for creates whose id the table already holds.
+def free_ids(
+    frame: DataFrame, column: str, creates: Column, targets: Mapping[str, DataFrame], catalog: Catalog, salt: str = ""
+) -> DataFrame:
+    """``frame`` with another id in ``column`` for ``creates`` whose id the table already holds.
 
     That happens when a record was created under a key and then given another key. Ids stay a
-    hash of the key, with a number added, so a retried job still makes the same ones.
+    hash of the key, with a number added, so a retried job still makes the same ones, and a
+    record that lookups and payloads both would create gets one id. Only tables of entities
+    with creates are read. ``frame`` is a written table.
     """
     number = 0
     while True:
-        creates = decided.where(F.col("error").isNull() & (F.col("action") == "create"))
-        wanted = creates.select("entity_name", F.col("final_id").alias("id"))
-        taken = cut_lineage(match_ids(wanted, targets, catalog).select("entity_name", F.col("id").alias("final_id"), F.lit(True).alias("_taken")))
-        if not taken.limit(1).count():
-            return decided
+        wanted = frame.where(creates).select("entity_name", F.lower(column).alias("id"))
+        entities = {r["entity_name"] for r in wanted.select("entity_name").distinct().collect()}
+        probed = {entity: target for entity, target in targets.items() if entity in entities}
+        if not probed:
+            return frame
+        found = match_ids(wanted, probed, catalog).select("entity_name", F.col("id").alias("_id"), F.lit(True).alias("_taken"))
+        found = cut_lineage(found)
+        if found.isEmpty():
+            return frame
         number += 1
         other = K.new_id(F.col("entity_name"), F.col("identity"), f"{salt}#{number}")
-        marked = decided.join(taken, ["entity_name", "final_id"], "left")
-        again = F.col("_taken").isNotNull() & F.col("error").isNull() & (F.col("action") == "create")
-        decided = cut_lineage(marked.withColumn("final_id", F.when(again, other).otherwise(F.col("final_id"))).drop("_taken"))
+        marked = frame.withColumn("_id", F.when(creates, F.lower(column))).join(found, ["entity_name", "_id"], "left")
+        again = F.coalesce("_taken", F.lit(False))
+        frame = cut_lineage(marked.withColumn(column, F.when(again, other).otherwise(F.col(column))).drop("_taken", "_id"))
 
 
 def _join_if_set(rows: DataFrame, found: DataFrame, column: str) -> DataFrame:

@@ -94,7 +94,13 @@ def upsert_account_documents(
         salt,
         by_mail,
     )
-    links = cut_lineage(_links(good, written, contacts.writes))
+    links = _links(good, written, contacts.writes)
+    refusal = F.when(F.col("error").isNull(), M.write_refusals(links, targets, catalog))
+    links = cut_lineage(
+        links.withColumn("category", F.when(refusal.isNotNull(), "Permanent").otherwise(F.col("category"))).withColumn(
+            "error", F.coalesce("error", refusal)
+        )
+    )
 
     made = links.where(F.col("error").isNull())
     skipped = links.where(F.col("error").isNotNull()).select(

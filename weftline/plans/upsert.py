@@ -95,7 +95,7 @@ def decide(
     nodes = None
     requests = own_requests
     if levels > 0:
-        nodes = cut_lineage(L.explode_lookups(valid, catalog))
+        nodes = cut_lineage(L.explode_lookups(valid, catalog, targets))
         requests = own_requests.unionByName(nodes.where(F.col("error").isNull()).select("entity_name", "identity"))
     matches = cut_lineage(R.match_keys(requests, targets, catalog, profile.shapes))
 
@@ -104,7 +104,7 @@ def decide(
         "lookup_category", F.lit(None).cast("string")
     )
     if nodes is not None:
-        outcomes = L.resolve_lookups(cut_lineage(L.with_matches(nodes, matches)), levels, salt)
+        outcomes = L.resolve_lookups(cut_lineage(L.with_matches(nodes, matches)), levels, targets, catalog, salt)
         records = L.created_records(outcomes)
         referenced = L.attach_references(rows, outcomes)
 
@@ -127,7 +127,8 @@ def decide(
         )
         .drop("lookup_error", "lookup_category", "nodes")
     )
-    acted = R.free_ids(cut_lineage(acted), targets, catalog, salt)
+    creating = F.col("error").isNull() & (F.col("action") == "create")
+    acted = R.free_ids(cut_lineage(acted), "final_id", creating, targets, catalog, salt)
     return Decision(M.sequence_changes(acted, records), acted, outcomes, levels, records)
 
 

@@ -146,7 +146,7 @@ def bag_of(frame: DataFrame, columns: Mapping[str, Column]) -> Column:
 def _nodes(frame: DataFrame, lookups: Sequence[Lookup], options: Options) -> Column:
     flat: list[Column] = []
 
-    def walk(items: Sequence[Lookup], parent: str, path: str, depth: int, eff: int, above: list[Column]) -> None:
+    def walk(items: Sequence[Lookup], parent: str, path: str, depth: int, eff: int, above: list[Column], holder: str | None) -> None:
         for i, item in enumerate(items):
             limit = eff if item.max_depth is None else max(1, min(item.max_depth, options.max_lookup_depth))
             keys = bag_of(frame, item.keys)
@@ -168,27 +168,15 @@ def _nodes(frame: DataFrame, lookups: Sequence[Lookup], options: Options) -> Col
                     own.alias("sig"),
                     (F.array(*above) if above else F.array().cast("array<string>")).alias("above"),
                     F.lit(None).cast("string").alias("nested"),
+                    F.lit(holder).cast("string").alias("holder"),
                 )
             )
-            walk(item.nested, order, where, depth + 1, limit, [*above, own])
+            walk(item.nested, order, where, depth + 1, limit, [*above, own], item.entity)
 
-    walk(lookups, "", "Lookups", 0, options.max_lookup_depth, [])
+    walk(lookups, "", "Lookups", 0, options.max_lookup_depth, [], None)
     return (F.array(*flat) if flat else F.array()).cast(NODE_DDL)
 
 
-def _misplaced(lookups: Sequence[Lookup], catalog: Catalog, entity: str) -> list[Column]:
-    """References under a name that is no reference of the row's entity."""
-    specs, found = catalog.entities.get(entity.lower()), []
-    for item in lookups:
-        where = f"Lookups.{item.attribute}"
-        spec = specs.get(item.attribute.lower()) if specs is not None else None
-        if specs is not None and spec is None:
-            found.append(F.lit(f"{where}: Field '{item.attribute}' is not defined on entity '{entity}'."))
-        elif spec is not None and spec.type != "reference":
-            found.append(F.lit(f"{where}: Field '{item.attribute}' has invalid type. Expected '{spec.friendly}'."))
-    return found
-
-
 def payloads_from_table(
     frame: DataFrame,
     catalog: Catalog,
@@ -207,7 +195,6 @@ def payloads_from_table(
     ``present`` names the attributes a row supplies (array of lower-case names); without it
     all are supplied and a null value clears the column.
     """
-    misplaced = _misplaced(lookups, catalog, entity)
     both = [
         F.lit(f"KeyAttribute '{n}' must not also be present in Attributes.") for n in keys if n in attrs
     ]
@@ -216,7 +203,7 @@ def payloads_from_table(
     if entity.lower() not in catalog.entities:
         problems = [F.lit(f"Entity '{entity}' does not exist in the early-bound model.")]
     else:
-        problems = attr_errors + key_problems + both + misplaced
+        problems = attr_errors + key_problems + both
     errors = F.filter(F.array(*problems), lambda e: e.isNotNull()) if problems else F.array().cast("array<string>")
     supplied = _map_of(attr_texts)
     if present is not None:
