@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from weftline.catalog import Catalog
 from weftline.functions import keys as K
 from weftline.functions.text import message
+from weftline.operators.ranges import last_before
 from weftline.session import cut_lineage
 
 # (entity, sorted key column names)
@@ -161,6 +162,25 @@ def resolve_keys(rows: DataFrame, matches: DataFrame) -> DataFrame:
     ).withColumn("match_id", F.when(searched, F.col("match_id")))
 
 
+def ids_as_of(decided: DataFrame) -> DataFrame:
+    """(message_id, idx, as_of_id): the id a row's key has by its place in the run, where an earlier row changed it.
+
+    A row with a given id writes its key to that record, so later rows with the key mean that
+    record, whatever the table says. Rows with an ``error`` change nothing. Only keys that a
+    given id is written under are looked at, in ranges, so a hot key is not gathered.
+    """
+    position = ["message_id", "idx"]
+    keyed = decided.where(F.col("identity").isNotNull()).select(
+        "entity_name", "identity", *position,
+        F.col("id").isNull().alias("_asks"),
+        F.when(F.col("id").isNotNull() & F.col("error").isNull(), F.col("final_id")).alias("_sets"),
+    )
+    changed = keyed.where(F.col("_sets").isNotNull()).select("entity_name", "identity").distinct()
+    concerned = keyed.join(changed, ["entity_name", "identity"], "left_semi")
+    known = last_before(concerned, ["entity_name", "identity"], position, "_sets", "as_of_id")
+    return known.where(F.col("_asks") & F.col("as_of_id").isNotNull()).select(*position, "as_of_id")
+
+
 def ambiguity_error() -> Column:
     return F.when(
         F.col("match_count") > 1,
