@@ -13,8 +13,11 @@ from weftline import Catalog, Options
 from weftline.functions import keys as K
 from weftline.plans.upsert import upsert_batch, upsert_rows
 from weftline.session import shared_folder
-from weftline.sources import buckets
+from weftline.sources import buckets, sinks
+from weftline.sources.messages import stream_messages
 from weftline.sources.tables import Lookup, payloads_from_table
+from weftline.streaming.redelivery import start_redelivering_stream, stop_when_settled
+from weftline.streaming.upsert_stream import StreamTargets, dead_letters
 
 
 def _outcomes(results: DataFrame, name: str) -> DataFrame:
@@ -197,9 +200,42 @@ def bucketed_merge(spark: SparkSession, sf: str) -> DataFrame:
     return buckets.read_table(spark, path)
 
 
+# --- streams ----------------------------------------------------------------------------------
+
+
+def stream_redelivery(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as queued messages, all there at once; what fails is tried again by timers, three times in all.
+
+    Some messages never succeed, some wait for a record that another message of the same batch makes.
+    """
+    n, m = F.col("event_id"), F.floor(F.col("event_id") / 10)
+    late = F.concat(F.lit("Late#"), (m - F.when(m % 10 == 8, 1).otherwise(0)).cast("string"))
+    own = F.concat(
+        F.lit('{"EntityLogicalName":"customer","KeyAttributes":{"c_name":"'),
+        F.when((m % 10 == 8) & (n % 10 == 0), late).otherwise(I.customer_key(F.col("user_id") + 30 * F.col("k"))),
+        F.lit('"},"Attributes":{"c_mktsegment":'), F.when(n % 100 == 35, F.lit("5")).otherwise(F.lit('"S"')), F.lit("}}"),
+    )
+    payload = F.when(m % 10 == 7, _order_message(F.concat(F.lit('"o_custkey":'), _definition("customer", "c_name", late, create=False)))).otherwise(own)
+    messages = _messages(spark, sf, payload)
+    messages = messages.withColumn("body", F.when(F.col("message_id") % 50 == 49, F.lit('{"Payloads": [')).otherwise(F.col("body")))
+    root = f"{shared_folder(spark).rstrip('/')}/weftline/stream-{uuid.uuid4().hex}"
+    messages.write.parquet(f"{root}/_queue")
+    targets = _geo_targets(spark, sf)
+    where = StreamTargets(root, ("order", "customer"))
+    sinks.write_entities({e: targets[e] for e in where.entities}, root, 0)
+    stream = stream_messages(spark, "parquet", {"path": f"{root}/_queue"}, messages.schema)
+    query = start_redelivering_stream(stream, where, GEO_CATALOG, f"{root}/_checkpoint", Options(max_deliveries=3), wait_seconds=0.5)
+    stop_when_settled(query, 1800)
+    dead = dead_letters(spark, where).select("message_id", F.lit("dead").alias("fate"), F.col("attempt").cast("bigint").alias("deliveries"), "reason")
+    tried = spark.read.option("basePath", where.folder("_results")).parquet(where.folder("_results"))
+    done = tried.groupBy("message_id").agg(F.count_distinct("version").alias("deliveries")).join(dead, "message_id", "left_anti")
+    return dead.unionByName(done.select("message_id", F.lit("done").alias("fate"), "deliveries", F.lit(None).cast("string").alias("reason")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         write_refusals, lookup_create_refusals, lookup_free_ids, given_ids_any_case, id_after_key_change, conflict_pass, bucketed_merge,
+        stream_redelivery,
     )
 }

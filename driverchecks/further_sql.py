@@ -62,6 +62,14 @@ SELECT event_id, coalesce(c_custkey::VARCHAR, {_uuid("'customer:c_name=' || lowe
   CASE WHEN nation < 25 THEN nation::VARCHAR ELSE {_uuid("'nation:n_name=nation_' || nation")} END AS nation_id,
   nation >= 25 AND row_number() OVER (PARTITION BY nation ORDER BY event_id) = 1 AS nation_created,
   (SELECT count(*) FROM p) + (SELECT count(DISTINCT key) FROM r WHERE c_custkey IS NULL) AS customers_after FROM r""",
+    "stream_redelivery": """WITH m AS (SELECT CAST(event_id // 10 AS BIGINT) AS message_id, count(*) AS n, count(*) FILTER (event_id % 100 = 35) AS bad FROM events GROUP BY ALL),
+f AS (SELECT m.*, CASE WHEN message_id % 50 = 49 THEN 'broken' WHEN message_id % 10 = 7 AND message_id + 1 IN (SELECT message_id FROM m) THEN 'late'
+  WHEN message_id % 10 = 7 THEN 'lost' WHEN bad > 0 THEN 'bad' ELSE 'good' END AS kind FROM m)
+SELECT message_id, CASE WHEN kind IN ('broken', 'lost', 'bad') THEN 'dead' ELSE 'done' END AS fate,
+  CAST(CASE kind WHEN 'good' THEN 1 WHEN 'late' THEN 2 ELSE 3 END AS BIGINT) AS deliveries,
+  CASE kind WHEN 'broken' THEN 'Message is not a valid JSON batch.'
+    WHEN 'lost' THEN 'Upsert failed for ' || n || ' item(s) (0 validation, ' || n || ' technical).'
+    WHEN 'bad' THEN 'Upsert failed for ' || bad || ' item(s) (' || bad || ' validation, 0 technical).' END AS reason FROM f""",
     "bucketed_merge": f"""WITH {_changed("late DESC, event_id")}
 SELECT coalesce(CAST(c_custkey AS VARCHAR), {_uuid("'customer:c_name=' || lower(keys.key)")}) AS c_custkey, coalesce(c_name, keys.key) AS c_name,
   CAST(CASE WHEN nat.key IS NOT NULL THEN nat.v ELSE c_nationkey END AS INTEGER) AS c_nationkey,
