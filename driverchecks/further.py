@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +13,7 @@ from driverchecks import inputs as I
 from driverchecks.queries import GEO_CATALOG, _customer_rows, _geo_targets
 from weftline import Catalog, Options
 from weftline.functions import keys as K
+from weftline.operators import resolve as R
 from weftline.plans.upsert import upsert_batch, upsert_rows
 from weftline.session import shared_folder
 from weftline.sources import buckets, sinks
@@ -186,6 +189,32 @@ def conflict_pass(spark: SparkSession, sf: str) -> DataFrame:
     return _outcomes(out.results, "event_id").drop("error").join(traces, "event_id").crossJoin(F.broadcast(rows_left))
 
 
+_MANY_COLUMNS = [f"k{i}" for i in range(1, 10)]
+#: 300 sets of three to six of nine key columns.
+_MANY_SETS = [c for size in (3, 4, 5, 6) for c in itertools.combinations(_MANY_COLUMNS, size)][:300]
+_MANY_CATALOG = Catalog.from_rows(
+    [("part", "p_partkey", "guid"), *[("part", c, "long") for c in _MANY_COLUMNS]], ids={"part": "p_partkey"}
+)
+
+
+def _many_keys(n: Column) -> dict[str, Column]:
+    return {c: ((n * (2 * i + 3)) % (11 + 6 * i)).cast("bigint") for i, c in enumerate(_MANY_COLUMNS)}
+
+
+def resolve_many_key_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests by 300 different sets of key columns, answered by one scan of the table."""
+    n = F.col("p_partkey")
+    target = I.table(spark, sf, "part").select(n.cast("string").alias("p_partkey"), *[v.alias(c) for c, v in _many_keys(n).items()])
+    sets = F.from_json(F.lit(json.dumps(_MANY_SETS)), "array<array<string>>")
+    names = F.get(sets, (F.col("event_id") % 300).cast("int"))
+    values = _many_keys(F.col("event_id") % 2500 + 1)
+    pairs = F.map_from_entries(F.array(*[F.struct(F.lit(c).alias("key"), v.cast("string").alias("value")) for c, v in values.items()]))
+    chosen = F.map_filter(pairs, lambda name, _: F.array_contains(names, name))
+    requests = I.events(spark, sf).select(F.lit("part").alias("entity_name"), K.identity(chosen).alias("identity"), K.key_names(chosen).alias("key_names"))
+    matches = R.match_keys(requests, {"part": target}, _MANY_CATALOG, R.key_shapes(requests))
+    return matches.select("identity", "match_count", F.col("match_id"))
+
+
 # --- tables in buckets ------------------------------------------------------------------------
 
 
@@ -236,6 +265,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         write_refusals, lookup_create_refusals, lookup_free_ids, given_ids_any_case, id_after_key_change, conflict_pass, bucketed_merge,
-        stream_redelivery,
+        stream_redelivery, resolve_many_key_sets,
     )
 }

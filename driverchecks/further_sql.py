@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 
 def _uuid(text: str) -> str:
     h = f"sha256({text})"
@@ -24,7 +26,21 @@ nat AS (SELECT key, CAST(k % 25 AS INTEGER) AS v FROM c WHERE t = 'click' {last}
 seg AS (SELECT key, 'SEG' || CAST(k % 5 AS VARCHAR) AS v FROM c WHERE t = 'signup' {last})"""
 
 
+def _many_key_sets() -> str:
+    columns = [f"k{i}" for i in range(1, 10)]
+    sets = [c for size in (3, 4, 5, 6) for c in itertools.combinations(range(1, 10), size)][:300]
+    value = lambda n: "[" + ", ".join(f"({n} * {2 * i + 3}) % {11 + 6 * i}" for i in range(len(columns))) + "]"
+    text = "array_to_string(list_transform(s, lambda i: 'k' || i || '=' || v[i]), ',')"
+    return f"""WITH sets AS (SELECT generate_subscripts({[list(c) for c in sets]}, 1) - 1 AS no, unnest({[list(c) for c in sets]}) AS s),
+p AS (SELECT p_partkey, {value("p_partkey")} AS v FROM part),
+t AS (SELECT p_partkey, {text} AS identity FROM p, sets),
+q AS (SELECT event_id % 300 AS no, {value("(event_id % 2500 + 1)")} AS v FROM events),
+w AS (SELECT DISTINCT {text} AS identity FROM q JOIN sets USING (no))
+SELECT identity, count(*) AS match_count, min(p_partkey::VARCHAR) AS match_id FROM t JOIN w USING (identity) GROUP BY ALL"""
+
+
 SQL: dict[str, str] = {
+    "resolve_many_key_sets": _many_key_sets(),
     "write_refusals": f"""WITH {_E}, r AS (SELECT event_id, CASE
   WHEN event_type = 'error' THEN 'Field ''c_fax'' has no column to write to.'
   WHEN event_type = 'click' AND k * 3 > 127 THEN 'Field ''c_nationkey'' does not fit its column.' END AS error FROM e)

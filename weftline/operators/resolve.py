@@ -49,10 +49,52 @@ def scan_keys(target: DataFrame, catalog: Catalog, entity: str, names: Sequence[
     )
 
 
-def scan_key_sets(target: DataFrame, catalog: Catalog, entity: str, sets: Sequence[Sequence[str]]) -> DataFrame:
+#: Bits of the filter of wanted keys, at most: 8 MB. It has sixteen for each key.
+FILTER_BITS = 1 << 26
+
+
+def wanted_filter(wanted: DataFrame) -> DataFrame | None:
+    """A Bloom filter of (entity_name, identity) as one row with an array of 64-bit words, or None.
+
+    Two bits are set for each key. Beyond ``FILTER_BITS`` / 4 keys it would let too much pass
+    and is not made.
+    """
+    keys = wanted.count()
+    bits = 1 << max(10, (16 * keys - 1).bit_length())
+    if keys == 0 or bits > 4 * FILTER_BITS:
+        return None
+    bits = min(bits, FILTER_BITS)
+    places = wanted.select(F.explode(_places(F.col("entity_name"), F.col("identity"), F.lit(bits))).alias("p"))
+    words = places.groupBy(F.shiftright("p", 6).alias("id")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(63).cast("int"))).alias("w")
+    )
+    every = wanted.sparkSession.range(bits // 64).join(words, "id", "left")
+    dense = F.transform(F.array_sort(F.collect_list(F.struct("id", F.coalesce("w", F.lit(0).cast("bigint")).alias("w")))), lambda x: x["w"])
+    return every.agg(dense.alias("filter"))
+
+
+def _places(entity: Column, identity: Column, bits: Column) -> Column:
+    h = F.xxhash64(entity, identity)
+    return F.array(F.pmod(h, bits), F.pmod(F.shiftright(h, 32), bits)).cast("array<bigint>")
+
+
+def may_be_wanted(entity: Column, identity: Column, words: Column) -> Column:
+    """False only for keys that are not wanted."""
+    return F.forall(
+        _places(entity, identity, F.size(words).cast("bigint") * 64),
+        lambda p: F.call_function(
+            "bit_get", F.get(words, F.shiftright(p, 6).cast("int")), p.bitwiseAND(63).cast("int")
+        ) == 1,
+    )
+
+
+def scan_key_sets(
+    target: DataFrame, catalog: Catalog, entity: str, sets: Sequence[Sequence[str]], asked: DataFrame | None = None
+) -> DataFrame:
     """``scan_keys`` for many sets of key columns in one scan: a row gives one join text per set.
 
-    The sets are an array in the plan, so its size does not grow with their number.
+    The sets are an array in the plan, so its size does not grow with their number. With the
+    one-row filter ``asked`` texts that are not asked for leave before a row becomes many.
     """
     if len(sets) == 1:
         return scan_keys(target, catalog, entity, sets[0])
@@ -65,9 +107,12 @@ def scan_key_sets(target: DataFrame, catalog: Catalog, entity: str, sets: Sequen
     texts = F.transform(wanted, lambda own: F.transform(own, lambda n: F.try_element_at("pairs", n)))
     # A key that is null has no text: its sets match nothing.
     whole = F.filter(texts, lambda own: F.forall(own, lambda t: t.isNotNull()))
-    return rows.select(
-        F.lit(entity).alias("entity_name"), F.explode(F.transform(whole, lambda own: F.array_join(own, ","))).alias("identity"), "match_id"
-    )
+    whole = F.transform(whole, lambda own: F.array_join(own, ","))
+    if asked is not None:
+        # One row of at most FILTER_BITS bits.
+        rows = rows.crossJoin(F.broadcast(asked))
+        whole = F.filter(whole, lambda own: may_be_wanted(F.lit(entity), own, F.col("filter")))
+    return rows.select(F.lit(entity).alias("entity_name"), F.explode(whole).alias("identity"), "match_id")
 
 
 def match_keys(
@@ -79,7 +124,12 @@ def match_keys(
     for entity, names in shapes:
         if entity in targets and names:
             sets.setdefault(entity, []).append(names)
-    scans = [scan_key_sets(targets[entity], catalog, entity, own) for entity, own in sets.items()]
+    bloom = None
+    if any(len(own) > 1 for own in sets.values()):
+        wanted = cut_lineage(wanted)
+        bloom = wanted_filter(wanted)
+        bloom = None if bloom is None else cut_lineage(bloom)
+    scans = [scan_key_sets(targets[entity], catalog, entity, own, bloom) for entity, own in sets.items()]
     if not scans:
         return wanted.where(F.lit(False)).select(
             "entity_name", "identity", F.lit(0).cast("bigint").alias("match_count"), F.lit("").alias("match_id")
