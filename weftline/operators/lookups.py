@@ -10,7 +10,7 @@ join per level, for as many levels as the batch really nests.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from weftline.catalog import Catalog
 from weftline.functions import keys as K
 from weftline.functions.text import message
 from weftline.operators import validate as V
+from weftline.operators.hot import join_unique
 from weftline.operators.merge import reference_refusal, value_refusal
 from weftline.operators.resolve import free_ids
 from weftline.session import cut_lineage
@@ -106,9 +107,9 @@ def explode_lookups(validated: DataFrame, catalog: Catalog, targets: Mapping[str
     )
 
 
-def with_matches(nodes: DataFrame, matches: DataFrame) -> DataFrame:
+def with_matches(nodes: DataFrame, matches: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
     """Add what the tables say: ``match_count``, ``match_id`` and the errors that follow from it."""
-    joined = nodes.join(matches, ["entity_name", "identity"], "left").withColumn(
+    joined = join_unique(nodes, matches, hot, _NODE).withColumn(
         "match_count", F.coalesce("match_count", F.lit(0))
     )
     many = (F.col("error").isNull()) & (F.col("match_count") > 1)
@@ -254,7 +255,12 @@ def _claim(judged: DataFrame, levels: int, created: DataFrame | None) -> tuple[D
 
 
 def resolve_lookups(
-    nodes: DataFrame, levels: int, targets: Mapping[str, DataFrame], catalog: Catalog, salt: str = ""
+    nodes: DataFrame,
+    levels: int,
+    targets: Mapping[str, DataFrame],
+    catalog: Catalog,
+    salt: str = "",
+    hot: Sequence[int] = (),
 ) -> DataFrame:
     """Outcome of every reached node: ``resolved_id``, ``was_created`` or ``error``/``category``.
 
@@ -277,7 +283,7 @@ def resolve_lookups(
         created = owners
     fresh = owners.withColumn("fresh_id", K.new_id(F.col("entity_name"), F.col("identity"), salt))
     fresh = free_ids(fresh, "fresh_id", F.lit(True), targets, catalog, salt)
-    joined = reached.join(fresh, ["entity_name", "identity"], "left")
+    joined = join_unique(reached, fresh, hot, _NODE)
     is_owner = (
         (F.col("message_id") == F.col("owner_message_id"))
         & (F.col("idx") == F.col("owner_idx"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from weftline.catalog import Catalog
 from weftline.functions import keys as K
 from weftline.functions.text import message
+from weftline.operators.hot import join_unique
 from weftline.operators.ranges import last_before
 from weftline.session import cut_lineage
 
@@ -189,7 +190,7 @@ def free_ids(
         frame = cut_lineage(marked.withColumn(column, F.when(again, other).otherwise(F.col(column))).drop("_taken", "_id"))
 
 
-def _join_if_set(rows: DataFrame, found: DataFrame, column: str) -> DataFrame:
+def _join_if_set(rows: DataFrame, found: DataFrame, column: str, hot: Sequence[int] = ()) -> DataFrame:
     """Left join on (entity_name, ``column``) that deals rows without a value evenly.
 
     Most rows give no id and invalid rows have no key. As nulls they would all meet in one
@@ -200,12 +201,12 @@ def _join_if_set(rows: DataFrame, found: DataFrame, column: str) -> DataFrame:
         "_value", F.coalesce(column, own)
     )
     renamed = found.withColumnRenamed("entity_name", "_entity").withColumnRenamed(column, "_value")
-    return keyed.join(renamed, ["_entity", "_value"], "left").drop("_entity", "_value")
+    return join_unique(keyed, renamed, hot, ["message_id", "idx"], ["_entity", "_value"]).drop("_entity", "_value")
 
 
-def resolve_keys(rows: DataFrame, matches: DataFrame) -> DataFrame:
+def resolve_keys(rows: DataFrame, matches: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
     """Add ``match_count`` and ``match_id`` to rows by their own key. A given id needs no match."""
-    keyed = _join_if_set(rows, matches, "identity")
+    keyed = _join_if_set(rows, matches, "identity", hot)
     searched = F.col("id").isNull()
     return keyed.withColumn(
         "match_count", F.when(searched, F.coalesce("match_count", F.lit(0))).otherwise(F.lit(0))

@@ -15,6 +15,7 @@ from weftline.operators import lookups as L
 from weftline.operators import merge as M
 from weftline.operators import resolve as R
 from weftline.operators import results as S
+from weftline.operators.hot import hot_keys
 from weftline.operators.validate import validate_and_convert
 from weftline.session import configure, cut_lineage
 from weftline.sources.messages import explode_payloads, parse_batches
@@ -101,6 +102,7 @@ def decide(
         nodes = cut_lineage(L.explode_lookups(valid, catalog, targets))
         requests = own_requests.unionByName(nodes.where(F.col("error").isNull()).select("entity_name", "identity"))
     matches = cut_lineage(R.match_keys(requests, targets, catalog, profile.shapes))
+    hot = hot_keys(requests)
 
     outcomes = records = None
     referenced = rows.withColumn("lookup_error", F.lit(None).cast("string")).withColumn(
@@ -111,12 +113,12 @@ def decide(
         if made is not None:
             there = made.select("entity_name", "identity", F.lit(1).cast("bigint").alias("match_count"), F.col("id").alias("match_id"))
             findable = matches.unionByName(there)
-        outcomes = L.resolve_lookups(cut_lineage(L.with_matches(nodes, findable)), levels, targets, catalog, salt)
+        outcomes = L.resolve_lookups(cut_lineage(L.with_matches(nodes, findable, hot)), levels, targets, catalog, salt, hot)
         records = L.created_records(outcomes)
         referenced = L.attach_references(rows, outcomes)
 
     known_ids = R.match_ids(valid, targets, catalog) if profile.given else None
-    acted = R.decide_action(R.resolve_keys(referenced, matches), known_ids, salt)
+    acted = R.decide_action(R.resolve_keys(referenced, matches, hot), known_ids, salt)
     # A value, attribute or entity without a place is this row's error, not a loss.
     acted = acted.withColumn("_refusal", M.write_refusals(acted, targets, catalog))
     if profile.given:
