@@ -13,7 +13,9 @@ from driverchecks import inputs as I
 from driverchecks.queries import GEO_CATALOG, _customer_rows, _geo_targets
 from weftline import Catalog, Options
 from weftline.functions import keys as K
+from weftline.operators import reports as P
 from weftline.operators import resolve as R
+from weftline.operators import triage as T
 from weftline.plans.upsert import upsert_batch, upsert_rows
 from weftline.session import shared_folder
 from weftline.sources import buckets, sinks
@@ -215,6 +217,35 @@ def resolve_many_key_sets(spark: SparkSession, sf: str) -> DataFrame:
     return matches.select("identity", "match_count", F.col("match_id"))
 
 
+# --- failure log and request log ----------------------------------------------------------------
+
+
+def nested_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as causes of sixteen to an operation: a tree in even operations, one long chain in odd ones."""
+    n, k = F.col("event_id") % 16, F.col("k")
+    base = I.failures(spark, sf).withColumn("_n", F.col("op_id") * 4 + F.col("node_id")).select("_n", "fault_code", "message", "retry_after")
+    types = F.array(*[F.lit(t) for t in ("TimeoutException", "ArgumentException", "Exception", "TaskCanceledException")])
+    rows = I.events(spark, sf).select(
+        F.col("event_id").alias("_n"), F.floor(F.col("event_id") / 16).alias("op_id"), n.cast("int").alias("node_id"),
+        F.when(n > 0, F.when(F.floor(F.col("event_id") / 16) % 2 == 0, F.floor((n - 1) / 2)).otherwise(n - 1)).cast("int").alias("parent_id"),
+        F.when((k * 3 + F.col("user_id")) % 4 < 3, "AggregateException").otherwise(F.get(types, (k % 4).cast("int"))).alias("exc_type"),
+    )
+    quiet = F.when(F.col("op_id") % 3 == 0, F.col("message")).otherwise("")
+    return rows.join(base, "_n").select("op_id", "node_id", "parent_id", F.lit("update").alias("op_kind"), "exc_type", "fault_code", quiet.alias("message"), "retry_after")
+
+
+def classify_nested_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return T.classify_groups(nested_failures(spark, sf))
+
+
+def throttle_windows_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Five threads, each index many times: requests of one index go by their time."""
+    log = I.request_log(spark, sf).withColumns(
+        {"thread_id": (F.col("thread_id") % 5).cast("bigint"), "request_index": F.floor(F.col("request_index") / 50)}
+    )
+    return P.throttle_windows(P.request_numbers(log))
+
+
 # --- tables in buckets ------------------------------------------------------------------------
 
 
@@ -265,6 +296,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         write_refusals, lookup_create_refusals, lookup_free_ids, given_ids_any_case, id_after_key_change, conflict_pass, bucketed_merge,
-        stream_redelivery, resolve_many_key_sets,
+        stream_redelivery, resolve_many_key_sets, classify_nested_groups, throttle_windows_repeated,
     )
 }

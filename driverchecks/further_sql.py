@@ -39,7 +39,29 @@ w AS (SELECT DISTINCT {text} AS identity FROM q JOIN sets USING (no))
 SELECT identity, count(*) AS match_count, min(p_partkey::VARCHAR) AS match_id FROM t JOIN w USING (identity) GROUP BY ALL"""
 
 
+_MESSAGES = """['Combined limit reached', 'Rate Limit hit', 'too many requests', 'HTTP 429', 'The response is empty',
+  'Failed to connect to the store', 'A record already exists', 'It Does Not Exist', 'plain failure', 'another failure', 'timed out', 'no access']"""
+
 SQL: dict[str, str] = {
+    "classify_nested_groups": f"""WITH RECURSIVE {_E},
+f AS (SELECT event_id // 16 AS op, event_id % 16 AS node, CASE WHEN event_id % 16 > 0 THEN
+    CASE WHEN event_id // 16 % 2 = 0 THEN (event_id % 16 - 1) // 2 ELSE event_id % 16 - 1 END END AS parent,
+  (k * 3 + user_id) % 4 < 3 AS agg, ['Transient', 'Validation', 'Permanent', 'Cancellation'][k % 4 + 1] AS category,
+  event_id // 16 % 3 = 0 AND regexp_matches(lower(({_MESSAGES})[least((k * 7 + user_id) % 48, 11) + 1]), 'rate limit|too many requests|429|throttl') AS throttled FROM e),
+held AS (SELECT op, node FROM f WHERE parent IS NULL AND agg
+  UNION ALL SELECT f.op, f.node FROM f JOIN held ON f.op = held.op AND f.parent = held.node WHERE f.agg),
+members AS (SELECT f.op, min(list_position(['Cancellation', 'Throttling', 'Transient', 'Validation', 'Permanent'], category)) AS best
+  FROM f JOIN held ON f.op = held.op AND f.parent = held.node WHERE NOT f.agg GROUP BY f.op),
+whole AS (SELECT op, bool_or(throttled) AS throttled FROM f GROUP BY op)
+SELECT CAST(f.op AS BIGINT) AS op_id, CASE WHEN NOT agg THEN category WHEN whole.throttled THEN 'Throttling'
+  ELSE coalesce(['Cancellation', 'Throttling', 'Transient', 'Validation', 'Permanent'][best], 'Permanent') END AS category
+FROM f JOIN whole USING (op) LEFT JOIN members ON members.op = f.op WHERE parent IS NULL""",
+    "throttle_windows_repeated": f"""WITH {_E}, l AS (SELECT user_id % 5 AS thread_id, CASE WHEN event_type = 'error' THEN CASE WHEN k < 50 THEN 500 END
+    WHEN event_type = 'click' OR (event_type = 'view' AND k < 95) OR (event_type = 'signup' AND user_id % 3 = 0) THEN 429 ELSE 200 END AS status_code,
+  row_number() OVER (PARTITION BY user_id % 5 ORDER BY event_id // 50, ts) - 1 AS n FROM e),
+w AS (SELECT thread_id, n // 30 AS window_no, count(*) AS requests, count(*) FILTER (status_code = 429) AS throttled FROM l GROUP BY ALL HAVING count(*) = 30)
+SELECT CAST(thread_id AS BIGINT) AS thread_id, CAST(window_no AS BIGINT) AS window_no, requests, throttled,
+  round_even(100.0 * throttled / requests, 2) AS throttled_percent, round_even(100.0 * throttled / requests, 2) >= 60 AS flagged FROM w""",
     "resolve_many_key_sets": _many_key_sets(),
     "write_refusals": f"""WITH {_E}, r AS (SELECT event_id, CASE
   WHEN event_type = 'error' THEN 'Field ''c_fax'' has no column to write to.'

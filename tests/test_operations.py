@@ -107,15 +107,13 @@ def test_percentiles_against_sorting(spark, shape, monkeypatch):
     }[shape]
     # Small limits, so that the narrowing really takes several steps.
     monkeypatch.setattr(P, "_BINS", 8)
-    monkeypatch.setattr(P, "_RANK_ROWS", 5)
     frame = spark.createDataFrame([(v,) for v in values], "v double")
     ordered = sorted(values)
     expected = {p: ordered[max(math.ceil(p / 100 * len(ordered)) - 1, 0)] for p in (1, 50, 95, 99, 100)}
     assert P.nearest_rank(frame, "v", list(expected)) == expected
 
 
-def test_throttling_windows_against_a_loop(spark, monkeypatch):
-    monkeypatch.setattr(P, "INDEX_BUCKET", 16)
+def test_throttling_windows_against_a_loop(spark):
     rng = random.Random(3)
     rows, expected, kept = [], {}, {}
     size, percent, consecutive = 5, 60, 3
@@ -195,6 +193,56 @@ def test_stream_with_redelivery_and_dead_letters(spark, tmp_path):
     assert by(sinks.read_version(spark, root + "/account").collect(), "accountnumber")["T1"]["name"] == "new"
 
 
+def test_percentiles_take_few_scans(spark, monkeypatch):
+    rng = random.Random(9)
+    values = [round(rng.lognormvariate(3, 2), 2) for _ in range(20_000)] + [1e300]
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    scans = []
+    plain = type(frame).collect
+    monkeypatch.setattr(type(frame), "collect", lambda self: scans.append(1) or plain(self))
+    ordered = sorted(values)
+    want = {p: ordered[max(math.ceil(p / 100 * len(ordered)) - 1, 0)] for p in (50, 95, 99)}
+    assert P.nearest_rank(frame, "v", (50, 95, 99)) == want
+    # Besides the scan for the ends of the range.
+    assert len(scans) <= 3
+
+
+def test_numbers_do_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(4)
+    rows = [(1, rng.randrange(5), rng.choice([200, 429]), float(i % 7)) for i in range(400)]
+    ddl = "thread_id int, request_index int, status_code int, response_ms double"
+    seen = set()
+    for _ in range(3):
+        rng.shuffle(rows)
+        numbered = P.request_numbers(spark.createDataFrame(rows, ddl).repartition(rng.randint(1, 6)))
+        seen.add(tuple(tuple(r) for r in numbered.select("n", "request_index", "status_code", "response_ms").orderBy("n").collect()))
+        assert sorted(r["n"] for r in numbered.collect()) == list(range(400))
+    assert len(seen) == 1
+
+
+def test_causes_of_any_depth(spark):
+    rng = random.Random(6)
+    aggregate, types = "AggregateException", ["TimeoutException", "ArgumentException", "Exception", "TaskCanceledException"]
+    rows, want = [], {}
+    for op in range(120):
+        size = rng.choice([1, 4, 30])
+        kinds = [aggregate if rng.random() < 0.7 else rng.choice(types) for _ in range(size)]
+        parents = [None] + [i - 1 if op % 2 else rng.randrange(i) for i in range(1, size)]
+        rows += [(op, i, parents[i], "update", kinds[i], None, "", None) for i in range(size)]
+        held = [kinds[0] == aggregate]
+        for i in range(1, size):
+            held.append(held[parents[i]] and kinds[i] == aggregate)
+        category = {t: c for t, c in zip(types, ("Transient", "Validation", "Permanent", "Cancellation"))}
+        members = {category[kinds[i]] for i in range(1, size) if kinds[i] != aggregate and held[parents[i]]}
+        want[op] = category[kinds[0]] if kinds[0] != aggregate else next((c for c in T.GROUP_ORDER if c in members), "Permanent")
+    # A cycle and a parent that is not in the log hold nothing.
+    rows += [(500, 0, None, "update", aggregate, None, "", None), (500, 1, 2, "update", aggregate, None, "", None), (500, 2, 1, "update", aggregate, None, "", None),
+             (500, 3, 2, "update", "TimeoutException", None, "", None), (500, 4, 99, "update", "TimeoutException", None, "", None)]
+    want[500] = "Permanent"
+    found = T.classify_groups(spark.createDataFrame(rows, FAILURE_DDL)).collect()
+    assert {r["op_id"]: r["category"] for r in found} == want
+
+
 def test_percentiles_with_nan_and_infinities(spark):
     nan, inf = float("nan"), float("inf")
     frame = lambda values: spark.createDataFrame([(v,) for v in values], "response_ms double")

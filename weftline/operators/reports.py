@@ -12,13 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.config import Options
+from weftline.operators.ranges import number_rows
 
-# Width of the request-index ranges that are numbered in one task.
-INDEX_BUCKET = 65_536
-# Buckets of one narrowing step of the exact percentile; that many rows reach the driver.
-_BINS = 4096
-# Distinct values one task may rank in the last step of the exact percentile.
-_RANK_ROWS = 100_000
+# Bins of one narrowing step of the exact percentile; that many rows of each percentile reach the driver.
+_BINS = 1 << 15
 
 
 def _rounded(value: Column) -> Column:
@@ -56,12 +53,14 @@ def latency_stats(log: DataFrame) -> DataFrame:
 
 
 def nearest_rank(values: DataFrame, column: str, percents: Sequence[float]) -> dict[float, float]:
-    """Exact nearest-rank percentiles of a column of any size.
-
-    Each step counts values in equal-width bins, keeps the bin that holds the wanted rank and
-    looks at that bin only. When few distinct values are left they are ranked. No task and no
-    step on the driver sees more than a fixed number of rows. What is not a number is left out
-    like null; infinite values rank first and last.
+    """Exact nearest-rank percentiles of a column of any size, all in the same scans.
+
+    A scan counts the values of the ranges that hold wanted ranks in ``_BINS`` bins each and every
+    wanted rank moves on to its bin, until that holds one value. The first bins are even on a
+    logarithmic scale, so a few extreme values leave the others apart; the next are even. That
+    makes three or four scans for data of ordinary precision. At most ``_BINS`` rows for each
+    percentile reach the driver in a scan. What is not a number is left out like null; infinite
+    values rank first and last.
     """
     v = F.col(column).cast("double")
     base = values.where(v.isNotNull() & ~F.isnan(v)).select(v.alias("v"))
@@ -71,52 +70,60 @@ def nearest_rank(values: DataFrame, column: str, percents: Sequence[float]) -> d
     ).first()
     if not total:
         return {p: 0.0 for p in percents}
-    counted: dict = {}  # bins of a range, shared by all percentiles that look at it
-
-    def at(rank: int) -> float:
+    found: dict[float, float] = {}
+    wanted: dict[float, tuple[float, float, int]] = {}  # range and rank inside it
+    for p in percents:
+        rank = int(max(-(-p * total // 100), 1))
         if rank <= below:
-            return float("-inf")
-        return _rank_value(base.where(finite), rank - below, low, high, counted) if rank <= below + inside else float("inf")
-
-    return {p: at(int(max(-(-p * total // 100), 1))) for p in percents}
-
-
-def _rank_value(base: DataFrame, rank: float, low: float, high: float, counted: dict) -> float:
-    """The value with 1-based ``rank`` among rows of ``base`` within [low, high]."""
-    rank = int(rank)
-    while low < high:
-        inside, key = base.where(F.col("v").between(low, high)), (low, high)
-        # Divided first: the difference of two large values may be no number.
-        width = high / _BINS - low / _BINS
-        if width == 0:
-            return _rank_by_value(inside, rank)
-        place = F.greatest(F.lit(0), F.least(F.floor(F.col("v") / F.lit(width) - F.lit(low) / F.lit(width)), F.lit(_BINS - 1))).cast("int")
-        if key not in counted:
-            counted[key] = (
-                inside.groupBy(place.alias("bin"))
-                .agg(
-                    F.count("*").alias("n"),
-                    F.min("v").alias("low"),
-                    F.max("v").alias("high"),
-                    F.approx_count_distinct("v").alias("distinct"),
-                )
-                .orderBy("bin")
-                .collect()
-            )
-        for b in counted[key]:
-            if rank <= b["n"]:
-                low, high = b["low"], b["high"]
-                if low < high and b["distinct"] * 1.2 < _RANK_ROWS:
-                    return _rank_by_value(base.where(F.col("v").between(low, high)), rank)
-                break
-            rank -= b["n"]
-    return low
-
-
-def _rank_by_value(inside: DataFrame, rank: int) -> float:
-    counts = inside.groupBy("v").agg(F.count("*").alias("n"))
-    running = counts.select("v", F.sum("n").over(Window.orderBy("v")).alias("upto"))
-    return running.where(F.col("upto") >= rank).agg(F.min("v")).first()[0]
+            found[p] = float("-inf")
+        elif rank > below + inside:
+            found[p] = float("inf")
+        else:
+            wanted[p] = low, high, rank - below
+    scale = _logarithmic
+    while wanted:
+        found |= {p: low for p, (low, high, _) in wanted.items() if low == high}
+        wanted = {p: w for p, w in wanted.items() if w[0] < w[1]}
+        ranges = sorted({w[:2] for w in wanted.values()})
+        if not ranges:
+            break
+        place = F.lit(None).cast("double")
+        for i, (low, high) in enumerate(ranges):
+            place = F.when(F.col("v").between(low, high), F.lit(i * _BINS) + scale(F.col("v"), low, high)).otherwise(place)
+        bins = (
+            base.select("v", place.alias("bin")).where(F.col("bin").isNotNull())
+            .groupBy("bin").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+            .collect()
+        )
+        bins.sort(key=lambda b: b["bin"])
+        for p, (low, high, rank) in wanted.items():
+            first = ranges.index((low, high)) * _BINS
+            for b in bins:
+                if first <= b["bin"] < first + _BINS:
+                    if rank <= b["n"]:
+                        wanted[p] = b["low"], b["high"], rank
+                        break
+                    rank -= b["n"]
+        scale = _even
+    return found
+
+
+def _binned(share: Column) -> Column:
+    return F.greatest(F.lit(0.0), F.least(F.floor(share * _BINS).cast("double"), F.lit(float(_BINS - 1))))
+
+
+def _logarithmic(v: Column, low: float, high: float) -> Column:
+    """Bin of ``v`` in [low, high], even in sign(v) log(1 + |v|)."""
+    scaled = lambda x: F.signum(x) * F.log1p(F.abs(x))
+    first, last = scaled(F.lit(low)), scaled(F.lit(high))
+    return _binned(F.coalesce(F.try_divide(scaled(v) - first, last - first), F.lit(0.0)))
+
+
+def _even(v: Column, low: float, high: float) -> Column:
+    """Bin of ``v`` in [low, high], even. Halves, as the difference of two large values may be no number."""
+    if high / 2 - low / 2 == 0:
+        return F.when(v > low, F.lit(1.0)).otherwise(F.lit(0.0))
+    return _binned((v / 2 - F.lit(low / 2)) / F.lit(high / 2 - low / 2))
 
 
 def latency_percentiles(log: DataFrame, percents: Sequence[int] = (50, 95, 99)) -> DataFrame:
@@ -133,32 +140,14 @@ def status_breakdown(log: DataFrame) -> DataFrame:
 def request_numbers(log: DataFrame) -> DataFrame:
     """Add ``n``: 0-based place of a request within its thread, by request index.
 
-    Indexes are counted first and summed inside ranges, ranges are shifted by what came before
-    them, so one very long thread is spread over many tasks, also if its indexes repeat. Rows
-    without an index come first, rows without a thread are a thread of their own; rows of one
-    index are numbered in any order.
+    Rows are numbered inside ranges of (thread, index), and ranges are shifted by what came before
+    them, so one very long thread is spread over many tasks, also if its indexes repeat. Requests
+    of one index go by their time, then by a hash of all they say, so the order of the input
+    never matters. Rows without an index come first, rows without a thread are a thread of their own.
     """
-    bucket = F.floor(F.col("request_index") / INDEX_BUCKET)
-    sizes = log.groupBy("thread_id", "request_index").agg(F.count("*").alias("_size")).withColumn("_bucket", bucket)
-    ranges = sizes.groupBy("thread_id", "_bucket").agg(F.sum("_size").alias("_all"))
-    earlier = (Window.unboundedPreceding, -1)
-    by_range = Window.partitionBy("thread_id").orderBy("_bucket").rowsBetween(*earlier)
-    shifts = ranges.select(
-        F.col("thread_id").alias("_thread"), F.col("_bucket").alias("_range"), F.coalesce(F.sum("_all").over(by_range), F.lit(0)).alias("_shift")
-    )
-    by_index = Window.partitionBy("thread_id", "_bucket").orderBy("request_index").rowsBetween(*earlier)
-    offsets = (
-        sizes.withColumn("_own", F.coalesce(F.sum("_size").over(by_index), F.lit(0)))
-        .join(shifts, F.col("thread_id").eqNullSafe(F.col("_thread")) & F.col("_bucket").eqNullSafe(F.col("_range")))
-        .select(F.col("thread_id").alias("_of"), F.col("request_index").alias("_index"), (F.col("_own") + F.col("_shift")).alias("_offset"))
-    )
-    within = Window.partitionBy("thread_id", "request_index").orderBy(F.lit(0))
-    rows = log.withColumn("_row", F.row_number().over(within))
-    return (
-        rows.join(offsets, rows["thread_id"].eqNullSafe(F.col("_of")) & rows["request_index"].eqNullSafe(F.col("_index")))
-        .withColumn("n", F.col("_offset") + F.col("_row") - 1)
-        .drop("_of", "_index", "_row", "_offset")
-    )
+    tied = log.withColumn("_tie", F.xxhash64(*log.columns))
+    order = [c for c in ("request_index", "ts") if c in log.columns] + ["_tie"]
+    return number_rows(tied, ["thread_id"], order, "n").drop("_tie")
 
 
 def throttle_windows(numbered: DataFrame, size: int = 30, percent: float = 60) -> DataFrame:

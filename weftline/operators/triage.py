@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.session import cut_lineage
+
 # Fault codes of the record store.
 THROTTLING_CODES = (-2147015902, -2147015903, -2147015898, -2147015895)
 KEY_CONFLICT_CODES = (-2147220173, -2147086190, -2147220969, -2147086191)
@@ -29,7 +31,8 @@ AGGREGATE_TYPE = "AggregateException"
 THROTTLE_TEXT = "(?i)rate limit|too many requests|429|throttl"
 CONFLICT_TEXT = "(?i)already exists|does not exist|duplicate"
 EMPTY_RESPONSE_TEXT = "(?i)response is empty|ThrowIfResponseIsEmpty"
-CLIENT_SETUP_TEXT = "(?i)failed to connect to"
+# Of a client that could not be set up; another client says it in other words.
+CLIENT_SETUP_TEXT = "failed to connect to the store"
 
 # Which category of a group wins, strongest first.
 GROUP_ORDER = ("Cancellation", "Throttling", "Transient", "Validation", "Permanent")
@@ -71,15 +74,39 @@ def classify_errors(failures: DataFrame) -> DataFrame:
     return failures.withColumn("category", category)
 
 
+def _below_aggregates(failures: DataFrame) -> DataFrame:
+    """(op_id, parent_id) of aggregates that are the root or stand in the root through aggregates alone.
+
+    Every aggregate points to its parent; a pointer to an aggregate that points on is replaced by
+    where that one points to, so the paths halve in every round, however deep causes nest. Paths
+    that end at something else, at a missing node, or nowhere (a cycle) do not count.
+    """
+    aggregates = failures.where(F.col("exc_type") == AGGREGATE_TYPE).select("op_id", "node_id", F.col("parent_id").alias("up")).distinct()
+    whole = cut_lineage(aggregates)
+    known = whole.select("op_id", F.col("node_id").alias("up"), F.lit(True).alias("_is"))
+    state = whole.join(known, ["op_id", "up"], "left").select(
+        "op_id", "node_id", F.when(F.col("_is"), F.col("up")).alias("up"), F.col("up").isNull().alias("top")
+    )
+    # 64 rounds cover any path there can be.
+    for _ in range(64):
+        if state.where(F.col("up").isNotNull()).isEmpty():
+            break
+        state = cut_lineage(state)
+        above = state.select("op_id", F.col("node_id").alias("up"), F.col("up").alias("_up"), F.col("top").alias("_top"))
+        state = state.join(above, ["op_id", "up"], "left").select(
+            "op_id", "node_id", F.col("_up").alias("up"), (F.col("top") | F.coalesce("_top", F.lit(False))).alias("top")
+        )
+    return state.where("top").select("op_id", F.col("node_id").alias("parent_id"))
+
+
 def classify_groups(failures: DataFrame) -> DataFrame:
     """Category per operation: that of its root, or for an aggregate the strongest of what it holds.
 
-    A throttle anywhere below an aggregate makes the whole operation throttled.
+    What aggregates inside the aggregate hold counts as held by it. A throttle anywhere below an
+    aggregate makes the whole operation throttled.
     """
     nodes = classify_errors(failures)
-    parents = failures.select(
-        "op_id", F.col("node_id").alias("parent_id"), (F.col("exc_type") == AGGREGATE_TYPE).alias("_in_aggregate")
-    )
+    parents = _below_aggregates(failures).withColumn("_in_aggregate", F.lit(True))
     rank = F.array_position(F.array(*[F.lit(c) for c in GROUP_ORDER]), F.col("category"))
     root = F.col("parent_id").isNull()
     aggregate = F.col("exc_type") == AGGREGATE_TYPE
@@ -113,15 +140,20 @@ def key_conflicts(failures: DataFrame) -> DataFrame:
     )
 
 
-def retryable(failures: DataFrame) -> DataFrame:
-    """Per operation: may it be sent again? A create only when it surely was not carried out."""
+def retryable(failures: DataFrame, setup_text: str = CLIENT_SETUP_TEXT) -> DataFrame:
+    """Per operation: may it be sent again? A create only when it surely was not carried out.
+
+    ``setup_text`` is what the client says, in any case, when it could not connect at all: an
+    operation that failed so was not carried out. A shorter text than the client's whole phrase
+    would call creates safe that are not.
+    """
     root = F.col("parent_id").isNull()
     of = F.col("exc_type")
     grouped = failures.groupBy("op_id").agg(
         F.max(F.when(root, F.col("op_kind"))).alias("op_kind"),
         F.max(F.when(root, of)).alias("_type"),
         F.bool_or(is_throttled()).alias("_throttled"),
-        F.bool_or(root & _says(CLIENT_SETUP_TEXT)).alias("_setup"),
+        F.bool_or(root & F.coalesce(F.contains(F.lower("message"), F.lit(setup_text.lower())), F.lit(False))).alias("_setup"),
         F.bool_or(root & _says(EMPTY_RESPONSE_TEXT)).alias("_empty"),
         F.min(F.when(~root, F.struct("node_id", "exc_type"))).alias("_first_inner"),
     )
