@@ -183,7 +183,7 @@ def event_results(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise("None")
     )
     return events(spark, sf).select(
-        F.floor(F.col("event_id") / 5).alias("message_id"), "event_id", category.alias("ErrorCategory")
+        F.floor(F.col("event_id") / 10).alias("message_id"), "event_id", category.alias("ErrorCategory")
     )
 
 

@@ -3,7 +3,17 @@
 from __future__ import annotations
 
 from driverchecks.inputs import FAILURE_CODES, FAILURE_MESSAGES, FAILURE_TYPES, RETRY_HINTS
-from weftline.operators import triage as T
+# Fixed values, stated apart from the code they test: types and codes of failures.
+_CANCELLATION_TYPES = ("OperationCanceledException", "TaskCanceledException")
+_FAULT_TYPE = "FaultException"
+_KEY_CONFLICT_CODES = (-2147220173, -2147086190, -2147220969, -2147086191)
+_THROTTLING_CODES = (-2147015902, -2147015903, -2147015898, -2147015895)
+_TRANSIENT_CODES = (-2147204783, -2147204784, -2147220970)
+_TRANSIENT_TYPES = ("TimeoutException", "TimeoutRejectedException", "BrokenCircuitException", "HttpRequestException")
+_VALIDATION_TYPES = (
+    "PayloadValidationException", "ArgumentException", "ArgumentNullException", "ArgumentOutOfRangeException",
+)
+
 
 def _uuid(text: str) -> str:
     h = f"sha256({text})"
@@ -66,7 +76,7 @@ _MALFORMED = "Invalid request: The body is not a valid JSON batch."
 _NO_ITEMS = "Invalid request: Payloads must contain at least one item."
 
 _RESULT_CATEGORIES = f"""{_E},
-r AS (SELECT CAST(event_id // 5 AS BIGINT) AS message_id, CASE
+r AS (SELECT CAST(event_id // 10 AS BIGINT) AS message_id, CASE
   WHEN event_type = 'signup' AND k % 10 = 0 THEN 'Validation'
   WHEN event_type = 'purchase' AND k % 10 = 0 THEN 'Throttling'
   WHEN event_type = 'error' AND k < 10 THEN 'Transient'
@@ -92,8 +102,8 @@ def _in(items) -> str:
 
 
 _THROTTLE = "regexp_matches(lower(message), 'rate limit|too many requests|429|throttl')"
-_IS_FAULT = f"exc_type = '{T.FAULT_TYPE}'"
-_THROTTLED = f"(({_IS_FAULT} AND coalesce(fault_code IN {_in(T.THROTTLING_CODES)}, false)) OR {_THROTTLE})"
+_IS_FAULT = f"exc_type = '{_FAULT_TYPE}'"
+_THROTTLED = f"(({_IS_FAULT} AND coalesce(fault_code IN {_in(_THROTTLING_CODES)}, false)) OR {_THROTTLE})"
 _EMPTY_RESPONSE = "regexp_matches(lower(message), 'response is empty|throwifresponseisempty')"
 _FAILURES = f"""{_E},
 f AS (SELECT CAST(event_id // 4 AS BIGINT) AS op_id, CAST(event_id % 4 AS BIGINT) AS node_id,
@@ -104,11 +114,11 @@ f AS (SELECT CAST(event_id // 4 AS BIGINT) AS op_id, CAST(event_id % 4 AS BIGINT
   ({_list(FAILURE_MESSAGES)})[least((k * 7 + user_id) % 48, 11) + 1] AS message,
   ({_list(RETRY_HINTS)})[(k + user_id) % 7 + 1] AS retry_after FROM e),
 g AS (SELECT *, CASE
-  WHEN exc_type IN {_in(T.VALIDATION_TYPES)} THEN 'Validation'
-  WHEN exc_type IN {_in(T.CANCELLATION_TYPES)} THEN 'Cancellation'
-  WHEN exc_type IN {_in(T.TRANSIENT_TYPES)} THEN 'Transient'
-  WHEN {_IS_FAULT} THEN CASE WHEN fault_code IN {_in(T.THROTTLING_CODES)} THEN 'Throttling'
-     WHEN fault_code IN {_in(T.TRANSIENT_CODES)} THEN 'Transient'
+  WHEN exc_type IN {_in(_VALIDATION_TYPES)} THEN 'Validation'
+  WHEN exc_type IN {_in(_CANCELLATION_TYPES)} THEN 'Cancellation'
+  WHEN exc_type IN {_in(_TRANSIENT_TYPES)} THEN 'Transient'
+  WHEN {_IS_FAULT} THEN CASE WHEN fault_code IN {_in(_THROTTLING_CODES)} THEN 'Throttling'
+     WHEN fault_code IN {_in(_TRANSIENT_CODES)} THEN 'Transient'
      WHEN fault_code IS NOT NULL AND {_THROTTLE} THEN 'Throttling' ELSE 'Permanent' END
   WHEN exc_type = 'ProtocolException' AND {_THROTTLE} THEN 'Throttling'
   WHEN exc_type = 'InvalidOperationException' AND {_EMPTY_RESPONSE} THEN 'Transient'
@@ -340,7 +350,7 @@ s AS (SELECT op_id, max(category) FILTER (node_id = 0) AS own, bool_or(node_id =
 SELECT op_id, CASE WHEN NOT agg THEN own WHEN throttled THEN 'Throttling'
   ELSE coalesce((['Cancellation', 'Throttling', 'Transient', 'Validation', 'Permanent'])[rank], 'Permanent') END AS category FROM s""",
         "key_conflicts": f"""WITH {_FAILURES} SELECT op_id,
-  bool_or(({_IS_FAULT} AND coalesce(fault_code IN {_in(T.KEY_CONFLICT_CODES)}, false))
+  bool_or(({_IS_FAULT} AND coalesce(fault_code IN {_in(_KEY_CONFLICT_CODES)}, false))
    OR regexp_matches(lower(message), 'already exists|does not exist|duplicate')) AS is_key_conflict FROM g GROUP BY op_id""",
         "retryable": f"""WITH {_FAILURES},
 s AS (SELECT op_id, max(op_kind) FILTER (node_id = 0) AS op_kind, max(exc_type) FILTER (node_id = 0) AS t,
