@@ -36,6 +36,22 @@ def test_equal_texts_stay_together_unless_too_many(spark):
     assert sum(len(s) > 1 for s in shards.values()) == 0
 
 
+def test_equal_rows_are_cut_too(spark):
+    rng = random.Random(5)
+    rows = [(None, "the same row over and over")] * 2000 + [(i, "x" * rng.randint(0, 20)) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5).withColumn("_at", F.lit("own"))
+    found = sharding.shard_by_bytes(frame).collect()
+    size, slots = Counter(), defaultdict(list)
+    for r in found:
+        size[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    mean = sum(size.values()) / 24
+    assert Counter((r["doc_id"], r["text"]) for r in found) == Counter(rows) and len(size) == 24
+    # A row is up to 34 bytes, a shard some 3,200.
+    assert all(abs(s - mean) <= 0.03 * mean + 34 for s in size.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_shards_hard_and_empty(spark, hard, empty, tmp_path):
     rows = sharding.shard_by_bytes(hard, shards=3).collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(d for d, _ in HARD)

@@ -31,6 +31,17 @@ def test_trie_encodes_and_decodes_like_the_library(small_documents):
         assert own.decode(want) == library.decode(want, skip_special_tokens=False) == " ".join(c[2] for c in found)
 
 
+def test_texts_with_nulls_and_many_special_tokens_like_the_library():
+    library, own = Tokenizer.from_file(WORDS), bpe.TrieEncoder(WORDS)
+    special = sorted(own.added)
+    rng = random.Random(11)
+    bits = ["a", "b1", "é", "\x00", "\x00\x00", " ", "\n", "你", "\x1c", *special[:3]]
+    texts = ["a \x00b", "x\x00\x00y z", "\x00", special[0] * 5000, (special[0] + " w\x00 ") * 2000]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randint(1, 25))) for _ in range(3000)]
+    for text, found in zip(texts, own.encode(texts)):
+        assert [int(i) for word in found for i in word[1].split()] == library.encode(text, add_special_tokens=False).ids, text[:60]
+
+
 def test_every_word_of_the_vocabulary_is_its_own_encoding():
     own = bpe.TrieEncoder(WORDS)
     names = random.Random(1).sample([n for n in own.ids if n.endswith("</w>") and len(n) > 5], 500)

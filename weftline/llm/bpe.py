@@ -37,6 +37,9 @@ PIECE_CHARS = 4_000_000
 CACHE_WORDS = 150_000
 CACHE_PAIRS = 200_000
 _NEVER = 1 << 60
+#: A word as the pattern finds it, or marked: a word the library has split, a special token.
+Word = str | tuple[str, str]
+_SPLIT, _SPECIAL = "split", "special"
 #: White space of the file's pattern; the pattern module's own also takes the separators 1c to 1f.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -72,7 +75,7 @@ class TrieEncoder:
         self.added = added
         self._pairs: dict[tuple[int, int], bool] = {}
         self._whole: dict[int, bool] = {}
-        self._words: dict[str, tuple[int, str, str]] = {}
+        self._words: dict[Word, tuple[int, str, str]] = {}
         self._pattern = self._own_pattern(model)
         self._inner = self._endings("")
         self._final = self._endings(self.end) if self.end else self._inner
@@ -182,11 +185,19 @@ class TrieEncoder:
             return None
         return regex.compile(split["pattern"]["Regex"].replace(r"\s", _SPACE))
 
-    def words(self, text: str) -> list[str]:
-        """Words of a text; those that the library has split begin with a null, special tokens with two."""
-        special = self.special.search(text) if self.special else None
-        if special:
-            return [*self.words(text[: special.start()]), "\0\0" + special[0], *self.words(text[special.end() :])]
+    def words(self, text: str) -> list[Word]:
+        """Words of a text; those that the library has split and special tokens are marked as such."""
+        if not self.special:
+            return self._plain_words(text)
+        found: list[Word] = []
+        at = 0
+        for special in self.special.finditer(text):
+            found += self._plain_words(text[at : special.start()])
+            found.append((_SPECIAL, special[0]))
+            at = special.end()
+        return found + self._plain_words(text[at:]) if at else self._plain_words(text)
+
+    def _plain_words(self, text: str) -> list[Word]:
         if self._pattern:
             try:
                 text.encode("latin-1")
@@ -195,24 +206,25 @@ class TrieEncoder:
             else:
                 return self._pattern.findall(text.lower())
         normal = self.tokenizer.normalizer.normalize_str(text) if self.tokenizer.normalizer else text
-        return ["\0" + w for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+        return [(_SPLIT, w) for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: set[Word]) -> None:
         """Encode the words that are not known yet."""
         new = {}
         for word in words:
             if word in self._words:
                 continue
-            if word[0] == "\0":
-                new[word] = word.lstrip("\0")
+            if isinstance(word, tuple):
+                new[word] = word[1]
             else:
                 new[word] = word if word.isascii() and word.isprintable() else "".join([_BYTES[b] for b in word.encode()])
-        encoded = self.encode_words({own for word, own in new.items() if word[:2] != "\0\0"})
+        special = {word for word in new if word[0] == _SPECIAL and isinstance(word, tuple)}
+        encoded = self.encode_words({own for word, own in new.items() if word not in special})
         if len(self._words) + len(new) > CACHE_WORDS:
             self._words = {w: v for w, v in self._words.items() if w in words}
         names = self.names
         for word, own in new.items():
-            ids = (self.added[own],) if word[:2] == "\0\0" else encoded[own]
+            ids = (self.added[own],) if word in special else encoded[own]
             self._words[word] = (len(ids), " ".join(map(str, ids)), " ".join([names[i] for i in ids]))
 
     def encode(self, texts: list[str]) -> Iterator[list[tuple[int, str, str]]]:

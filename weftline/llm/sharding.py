@@ -5,12 +5,14 @@ counting, over all rows, the exact bytes whose key lies below each; the interval
 wanted boundary shrinks until a probe meets the tolerance. Then rows move once.
 
 Equal texts have neighbouring keys, and probes lie between texts as long as the tolerance can
-be met so; only a group too large for that is cut, by the second hash. Rows equal in id and
-text cannot be told apart and stay together. If rows are too coarse for the tolerance, the
-nearest possible boundary is taken.
+be met so; only a group too large for that is cut, by the second hash. The last ``_TIE_BITS``
+bits of that tell rows of one id and text apart by their place in the table, so repeated rows are
+cut like others. Rows are written once with their keys and everything else reads what was
+written. If rows are too coarse for the tolerance, the nearest possible boundary is taken.
 
 A null text has no bytes; a null id is an id like any other. Columns of ``docs`` that are
-named like one of the result's are replaced. An empty table gives an empty result.
+named like one of the result's or ``_high``, ``_low``, ``_slice``, ``_at``, ``_before``, ``_rows``
+are replaced or dropped. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ PROBES = 64
 #: A shard is numbered in slices of about so many rows.
 SLICE_ROWS = 200_000
 
+_TIE_BITS = 24
+
 _HALF = 1 << 63
 _LOW = (1 << 64) - 1
 
@@ -45,10 +49,12 @@ def size_of(text: str = "text") -> Column:
 
 
 def _keys(docs: DataFrame, text: str) -> DataFrame:
+    own = F.shiftleft(F.shiftright(F.xxhash64("doc_id", text_or_empty(text)), _TIE_BITS), _TIE_BITS)
+    place = F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 64 - _TIE_BITS)
     return docs.withColumns({
         "size": size_of(text),
         "_high": F.xxhash64(text_or_empty(text)),
-        "_low": F.xxhash64("doc_id", text_or_empty(text)),
+        "_low": own.bitwiseOR(place),
     })
 
 
@@ -143,10 +149,10 @@ def _shard_column(points: list[int]) -> Column:
 def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, text: str = "text") -> DataFrame:
     """``docs`` with size, shard (from 0) and slot (from 0 without gaps in each shard).
 
-    Inside a shard rows are ordered by a hash of id and text, that is, mixed.
+    Inside a shard rows are ordered by a hash, that is, mixed.
     """
-    keyed = _keys(docs.drop("shard", "slot", "_slice"), text)
-    keys = cut_lineage(keyed.select("_high", "_low", "size"))
+    keyed = cut_lineage(_keys(docs.drop("shard", "slot", "_slice", "_at", "_before", "_rows"), text))
+    keys = keyed.select("_high", "_low", "size")
     placed = _shard_column(splitters(keys, shards, tolerance))
     slices = max(1, -(-keys.count() // (shards * SLICE_ROWS)))
     slot_slice = F.pmod(F.col("_low"), F.lit(slices))
