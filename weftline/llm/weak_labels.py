@@ -333,10 +333,10 @@ def keep_good(docs: DataFrame, labels: DataFrame | None = None, sample_rows: int
     judge = _fitted_judge(docs, labels, sample_rows)
     if judge is None:
         return docs
-    at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array([judge(t.as_py())[0] >= KEEP_FROM for t in batch.column(at)], pa.bool_()))
+    # Only texts go to Python, only flags come back; rows stay as they are.
+    @F.arrow_udf("boolean")
+    def accepted(texts: pa.Array) -> pa.Array:
+        return pa.array([judge(t.as_py())[0] >= KEEP_FROM for t in texts], pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(accepted(F.col("text").cast("string")))
