@@ -28,6 +28,10 @@ def _case(number: str, texts: dict[int, str]) -> str:
 
 
 SQL: dict[str, str] = {
+    "money_digits": f"""WITH {_E}, a AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN '-' ELSE '' END || (k + 1) || lpad((event_id * 7919)::VARCHAR, 15, '0')
+  || '.' || lpad((event_id * 104729 % 10000000000)::VARCHAR, 10, '0') AS amount FROM e)
+SELECT event_id, CAST(CAST(amount AS DECIMAL(38,10)) AS VARCHAR) AS amount,
+  '{{"z":[' || amount || ',"' || amount || '"],"a":0.5,"s":"\\"' || amount || '"}}' AS details, NULL::VARCHAR AS error FROM a""",
     "validate_lookups": f"""SELECT event_id, {_case("event_id % 16", _SIGNATURES)} ELSE 'order:o_orderkey=1' END AS signature,
   {_case("event_id % 16", {n: f"'{t}'" for n, t in _FAULTS.items()})} END AS error FROM events""",
     "guard_envelope": """WITH m AS (SELECT CAST(event_id // 10 AS BIGINT) AS message_id, count(*) AS n, bool_or(event_id % 10 = 4) AS has FROM events GROUP BY ALL),

@@ -15,6 +15,27 @@ _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 BAG_DDL = "map<string,struct<kind:string,raw:string>>"
 
+# A decimal with more digits than a double holds travels as a text with this character before it,
+# because the parser passes numbers of nested values through doubles.
+_EXACT = "\ue000"
+_LONG_DECIMAL = r"(?=[0-9.\-]{17})-?(?:0|[1-9][0-9]*+)\.[0-9]++(?![0-9.eE+\-])"
+_BEFORE = r"""(?:"(?:[^"\\]++|\\.)*+"|[^"0-9\-]++|(?!""" + _LONG_DECIMAL + r""")[\-0-9][0-9.eE+\-]*+)*+"""
+
+
+def exact_decimals(body: Column) -> Column:
+    """``body`` with decimals of 17 characters or more, outside strings, as marked texts."""
+    marked = F.regexp_replace(body, rf"(?s)\G({_BEFORE})({_LONG_DECIMAL})", f'$1"{_EXACT}$2"')
+    return F.when(body.rlike(r"[0-9.]{16}"), marked).otherwise(body)
+
+
+def _is_exact(raw: Column) -> Column:
+    return F.coalesce(F.startswith(raw, F.lit(_EXACT)), F.lit(False)) & raw.rlike(rf"^{_EXACT}{_LONG_DECIMAL}$")
+
+
+def plain_text(raw: Column) -> Column:
+    """JSON text of a nested value as it was written, without marks."""
+    return F.when(F.contains(raw, F.lit(_EXACT)), F.regexp_replace(raw, rf'"{_EXACT}({_LONG_DECIMAL})"', "$1")).otherwise(raw)
+
 
 def _let(value: Column, use) -> Column:
     """``use(value)`` with ``value`` computed once."""
@@ -52,7 +73,11 @@ def _zip_bag(raw: Column, variants: Column, fold_names: bool) -> Column:
             F.map_values(variants),
             lambda e, v: F.struct(
                 name(e["key"]).alias("key"),
-                F.struct(kind_of(e["value"], v).alias("kind"), e["value"].alias("raw")).alias("value"),
+                F.when(
+                    _is_exact(e["value"]), F.struct(F.lit("number").alias("kind"), F.substr(e["value"], F.lit(2)).alias("raw"))
+                )
+                .otherwise(F.struct(kind_of(e["value"], v).alias("kind"), e["value"].alias("raw")))
+                .alias("value"),
             ),
         )
     )
@@ -81,9 +106,10 @@ def document(body: Column) -> Column:
     """The body as a bag with lower-case names, if it is exactly one well-formed JSON object.
 
     Reading it as the only element of an array is what makes the parser look at the whole
-    text: it would accept an object with anything behind it.
+    text: it would accept an object with anything behind it. Decimals keep all their digits, at
+    any depth; a string that is U+E000 and such a decimal reads as the number.
     """
-    return _let(bags(F.concat(F.lit("["), body, F.lit("]"))), lambda d: F.when(F.size(d) == 1, F.get(d, F.lit(0))))
+    return _let(bags(F.concat(F.lit("["), exact_decimals(body), F.lit("]"))), lambda d: F.when(F.size(d) == 1, F.get(d, F.lit(0))))
 
 
 def is_null_document(body: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from weftline.catalog import SPARK_TYPES
+from weftline.functions.json_text import plain_text
 from weftline.functions.text import message, trimmed
 
 # Fixed value: ISO-like shape of a date text; characters 5 and 8 are dashes.
@@ -107,7 +108,7 @@ def canonical_text(kind: Column, raw: Column, spec: Column) -> Column:
     number = kind.isin("int", "number")
     return (
         F.when(kind == "null", F.lit(None).cast("string"))
-        .when(of == "string", raw)
+        .when(of == "string", F.when(kind.isin("array", "object"), plain_text(raw)).otherwise(raw))
         .when(
             of == "choice",
             F.when(kind == "string", choice_code(raw, spec["codes"])).otherwise(_int32(kind, raw)).cast("string"),
@@ -196,6 +197,7 @@ def normalized_text(kind: Column, raw: Column) -> Column:
             .when(stamp.isNotNull(), F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'0Z'"))
             .otherwise(raw),
         )
+        .when(kind.isin("array", "object"), plain_text(raw))
         .otherwise(raw)
     )
 
