@@ -15,14 +15,16 @@ from weftline import Catalog, Options
 from weftline.functions import keys as K
 from weftline.operators import reports as P
 from weftline.operators import resolve as R
+from weftline.operators import results as S
 from weftline.operators import triage as T
 from weftline.plans.upsert import upsert_batch, upsert_rows
 from weftline.session import shared_folder
 from weftline.sources import buckets, sinks
+from weftline.sources.documents import parse_account_documents
 from weftline.sources.messages import stream_messages
 from weftline.sources.tables import Lookup, payloads_from_table
 from weftline.streaming.redelivery import start_redelivering_stream, stop_when_settled
-from weftline.streaming.upsert_stream import StreamTargets, dead_letters
+from weftline.streaming.upsert_stream import StreamTargets, dead_letters, settle
 
 
 def _outcomes(results: DataFrame, name: str) -> DataFrame:
@@ -246,6 +248,64 @@ def throttle_windows_repeated(spark: SparkSession, sf: str) -> DataFrame:
     return P.throttle_windows(P.request_numbers(log))
 
 
+# --- what is written --------------------------------------------------------------------------
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/weftline/{name}-{uuid.uuid4().hex}"
+
+
+def versioned_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions of a table: the newest one, the one before, and a replay that changes nothing."""
+    root, people = _scratch(spark, "versions"), I.customers(spark, sf)
+    richer = people.withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    sinks.write_entities({"customer": people}, root, 0)
+    sinks.write_entities({"customer": richer}, root, 3)
+    sinks.write_entities({"customer": people.limit(0)}, root, 3)
+    old = sinks.read_version(spark, f"{root}/customer", before=3).select("c_custkey", F.col("c_acctbal").alias("before"))
+    return sinks.read_version(spark, f"{root}/customer").select("c_custkey", "c_acctbal").join(old, "c_custkey")
+
+
+def report_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The request log as the report file says it."""
+    path, log = _scratch(spark, "report"), I.request_log(spark, sf)
+    sinks.write_report(log.select("thread_id", "request_index", "status_code", "success", "error"), path)
+    return spark.read.schema("thread_id bigint, request_index bigint, status_code int, success boolean, error string").json(path)
+
+
+def dead_letter_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages set aside by a batch that is replayed, and by the next."""
+    path, bodies = _scratch(spark, "dead"), I.event_bodies(spark, sf)
+    status = S.batch_status(I.event_results(spark, sf)).withColumn("error", F.lit(None).cast("string"))
+    deliveries = bodies.withColumn("attempt", (F.col("message_id") % 3).cast("int"))
+    for version, part in ((1, 0), (1, 1), (2, 1)):
+        _, dead = settle(deliveries.where(F.col("message_id") % 2 == part), status, Options(max_deliveries=3))
+        sinks.write_dead_letters(dead, path, version)
+    return spark.read.option("basePath", path).parquet(path).select("message_id", F.col("version").cast("bigint").alias("batch"), "reason")
+
+
+# --- typed rows and documents -----------------------------------------------------------------
+
+
+def typed_row_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns whose type or text an attribute does not take."""
+    n = F.col("event_id")
+    day = F.when(n % 5 == 0, "2024-01").otherwise(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd"))
+    rows = payloads_from_table(
+        I.events(spark, sf, spread=True), I.EVENT_CATALOG, "Event", {"number": n},
+        {"k": F.when(n % 3 == 0, F.col("props")), "kind": F.when(n % 7 == 0, "nokind").otherwise(F.col("event_type")), "happened": day,
+         "amount": F.col("value"), "large": F.when(n % 11 == 0, F.col("value") > 5)},
+        message_id=n,
+    )
+    return rows.select(F.col("message_id").alias("event_id"), F.array_join("errors", "; ").alias("error"), "identity")
+
+
+def guard_contacts(spark: SparkSession, sf: str) -> DataFrame:
+    """Account documents with more contacts than are allowed."""
+    parsed = parse_account_documents(I.account_bodies(spark, sf), Options(max_batch_items=2))
+    return parsed.select("message_id", F.col("guard_status").alias("status"), F.col("guard_error").alias("error"))
+
+
 # --- tables in buckets ------------------------------------------------------------------------
 
 
@@ -297,5 +357,6 @@ QUERIES = {
     for f in (
         write_refusals, lookup_create_refusals, lookup_free_ids, given_ids_any_case, id_after_key_change, conflict_pass, bucketed_merge,
         stream_redelivery, resolve_many_key_sets, classify_nested_groups, throttle_windows_repeated,
+        versioned_tables, report_rows, dead_letter_rows, typed_row_errors, guard_contacts,
     )
 }

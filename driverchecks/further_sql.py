@@ -43,6 +43,25 @@ _MESSAGES = """['Combined limit reached', 'Rate Limit hit', 'too many requests',
   'Failed to connect to the store', 'A record already exists', 'It Does Not Exist', 'plain failure', 'another failure', 'timed out', 'no access']"""
 
 SQL: dict[str, str] = {
+    "versioned_tables": "SELECT c_custkey::VARCHAR AS c_custkey, c_acctbal + 1 AS c_acctbal, c_acctbal AS before FROM customer",
+    "report_rows": f"""WITH {_E}, l AS (SELECT user_id AS thread_id, event_id AS request_index, event_type, CAST(CASE WHEN event_type = 'error' THEN CASE WHEN k < 50 THEN 500 END
+    WHEN event_type = 'click' OR (event_type = 'view' AND k < 95) OR (event_type = 'signup' AND user_id % 3 = 0) THEN 429 ELSE 200 END AS INTEGER) AS status_code FROM e)
+SELECT thread_id, request_index, status_code, coalesce(status_code = 200, false) AS success,
+  CASE WHEN NOT coalesce(status_code = 200, false) THEN 'failed: ' || event_type END AS error FROM l""",
+    "dead_letter_rows": f"""WITH {_E}, r AS (SELECT CAST(event_id // 10 AS BIGINT) AS message_id, CASE
+    WHEN event_type = 'signup' AND k % 10 = 0 THEN 'Validation' WHEN event_type = 'purchase' AND k % 10 = 0 THEN 'Throttling'
+    WHEN event_type = 'error' AND k < 15 THEN 'Failed' ELSE 'None' END AS category FROM e),
+s AS (SELECT message_id, count(*) FILTER (category <> 'None') AS failed, count(*) FILTER (category = 'Validation') AS bad FROM r GROUP BY ALL)
+SELECT message_id, CASE WHEN message_id % 2 = 0 THEN 1 ELSE 2 END::BIGINT AS batch,
+  'Upsert failed for ' || failed || ' item(s) (' || bad || ' validation, ' || failed - bad || ' technical).' AS reason FROM s WHERE failed > 0 AND message_id % 3 = 2""",
+    "typed_row_errors": """SELECT event_id, CASE WHEN event_id % 3 <> 0 AND event_id % 7 <> 0 AND event_id % 5 <> 0 THEN NULL ELSE array_to_string(list_filter([
+  CASE WHEN event_id % 3 = 0 THEN 'Field ''k'' has invalid type. Expected ''int''.' END,
+  CASE WHEN event_id % 7 = 0 THEN 'Field ''kind'' has invalid type. Expected ''OptionSetValue (event_kind)''.' END,
+  CASE WHEN event_id % 5 = 0 THEN 'Field ''happened'' has invalid type. Expected ''datetime''.' END], lambda x: x IS NOT NULL), '; ') END AS error,
+  'number=' || event_id AS identity FROM events""",
+    "guard_contacts": """SELECT c_custkey AS message_id, CASE WHEN c_custkey % 19 = 0 OR c_custkey % 5 > 2 THEN 400 END AS status,
+  CASE WHEN c_custkey % 19 = 0 THEN 'Invalid request: The body is not a valid account document.'
+    WHEN c_custkey % 5 > 2 THEN 'Invalid request: Contacts count (' || c_custkey % 5 || ') exceeds the maximum of 2.' END AS error FROM customer""",
     "classify_nested_groups": f"""WITH RECURSIVE {_E},
 f AS (SELECT event_id // 16 AS op, event_id % 16 AS node, CASE WHEN event_id % 16 > 0 THEN
     CASE WHEN event_id // 16 % 2 = 0 THEN (event_id % 16 - 1) // 2 ELSE event_id % 16 - 1 END END AS parent,
