@@ -316,13 +316,15 @@ def test_what_has_no_place_is_an_error_of_its_row(spark):
     out = upsert_batch(make_messages(spark, body), targets, CATALOG)
     rows = by(out.results.collect(), "idx")
     assert [rows[i]["ErrorCategory"] for i in range(8)] == [
-        "Permanent", "Permanent", "None", "Permanent", "Validation", "Validation", "Validation", "None",
+        "Permanent", "Permanent", "None", "Permanent", "Permanent", "Permanent", "Permanent", "None",
     ]
     assert rows[0]["ErrorMessage"] == "Field 'address1_line1' has no column to write to."
     assert rows[1]["ErrorMessage"] == "Field 'revenue' does not fit its column."
     assert rows[3]["ErrorMessage"] == "Entity 'contact' has no table to write to."
-    assert rows[4]["ValidationErrors"] == ["Lookups.address1_utcoffset: Field 'address1_utcoffset' has invalid type. Expected 'int'."]
-    assert rows[6]["ValidationErrors"] == ["Lookups.nosuch: Field 'nosuch' is not defined on entity 'account'."]
+    # A reference under a wrong name is refused when it is written, not when the payload is checked.
+    assert rows[4]["ErrorMessage"] == "Field 'address1_utcoffset' cannot hold a reference." and rows[4]["ValidationErrors"] is None
+    assert rows[5]["ErrorMessage"] == "Field 'name' cannot hold a reference."
+    assert rows[6]["ErrorMessage"] == "Field 'nosuch' has no column to write to."
     assert {r["accountnumber"] for r in out.tables["account"].collect()} == {"T1", "C", "G"}
 
 

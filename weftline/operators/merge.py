@@ -148,7 +148,7 @@ def write_refusals(rows: DataFrame, targets: Mapping[str, DataFrame], catalog: C
         ),
         lambda e: e.isNotNull(),
     )
-    return F.coalesce(refusal, F.get(misplaced, F.lit(0)))
+    return F.coalesce(F.get(misplaced, F.lit(0)), refusal)
 
 
 def merge_entities(targets: Mapping[str, DataFrame], folded: DataFrame, catalog: Catalog) -> dict[str, DataFrame]:
