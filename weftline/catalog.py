@@ -53,6 +53,7 @@ _SPEC_DDL = "map<string,map<string,struct<type:string,friendly:string,codes:map<
 
 # A catalog is metadata: it is planned into the job as one literal. This bounds it.
 MAX_ATTRIBUTES = 20_000
+MAX_OPTIONS = 200_000
 
 
 @dataclass(frozen=True)
@@ -94,6 +95,8 @@ class Catalog:
                     raise ValueError(f"no options for {entity}.{name}")
         if count > MAX_ATTRIBUTES:
             raise ValueError(f"catalog has {count} attributes, at most {MAX_ATTRIBUTES} are allowed")
+        if sum(map(len, self.options.values())) > MAX_OPTIONS:
+            raise ValueError(f"catalog has more than {MAX_OPTIONS} options")
 
     def id_column(self, entity: str) -> str:
         return self.ids.get(entity, f"{entity}id")
@@ -120,7 +123,7 @@ class Catalog:
         codes = options.select("option_set", "name", "code") if options is not None else None
         found = rows.limit(MAX_ATTRIBUTES + 1).collect()
         return Catalog.from_rows(
-            [tuple(r) for r in found], [tuple(r) for r in codes.collect()] if codes is not None else ()
+            [tuple(r) for r in found], [tuple(r) for r in codes.limit(MAX_OPTIONS + 1).collect()] if codes is not None else ()
         )
 
     @staticmethod

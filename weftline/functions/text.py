@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # Characters that count as white space.
 _SPACES = (
-    "\t\n\x0b\x0c\r \x85\xa0            "
-    "    　"
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 
