@@ -344,7 +344,7 @@ def stream_redelivery(spark: SparkSession, sf: str) -> DataFrame:
     where = StreamTargets(root, ("order", "customer"))
     sinks.write_entities({e: targets[e] for e in where.entities}, root, 0)
     stream = stream_messages(spark, "parquet", {"path": f"{root}/_queue"}, messages.schema)
-    query = start_redelivering_stream(stream, where, GEO_CATALOG, f"{root}/_checkpoint", Options(max_deliveries=3), wait_seconds=0.5)
+    query = start_redelivering_stream(stream, where, GEO_CATALOG, f"{root}/_checkpoint", Options(max_deliveries=3), wait_seconds=0.5, partitions=8)
     stop_when_settled(query, 1800)
     dead = dead_letters(spark, where).select("message_id", F.lit("dead").alias("fate"), F.col("attempt").cast("bigint").alias("deliveries"), "reason")
     tried = spark.read.option("basePath", where.folder("_results")).parquet(where.folder("_results"))

@@ -439,3 +439,34 @@ def test_ids_of_lookup_creates_are_free(spark):
     fresh = next(r for r in table if r["accountnumber"] == "K")
     contact = by(again.tables["contact"].collect(), "emailaddress1")["b"]
     assert fresh["name"] == "own" and contact["parentcustomerid"]["id"] == fresh["accountid"]
+
+
+def test_conflicts_at_commit_are_decided_once_more(spark):
+    base = make_targets(spark, accounts=[{"accountid": "gone", "accountnumber": "G"}, {"accountid": "kept", "accountnumber": "K"}])
+    now = make_targets(spark, accounts=[{"accountid": "kept", "accountnumber": "K"}, {"accountid": "came", "accountnumber": "T1"}, {"accountid": "4277868e-8ca2-4b2b-5f11-76fe6d40d036", "accountnumber": "I"}])
+    to = lambda key, create=True: {"EntityLogicalName": "account", "KeyAttributes": {"accountnumber": key}, "CreateIfNotExists": create}
+    body = {
+        "Payloads": [
+            payload(keys={"accountnumber": "T1"}, attrs={"name": "a"}),
+            payload(keys={"accountnumber": "G"}, attrs={"name": "b"}),
+            payload(keys={"accountnumber": "K"}, attrs={"name": "c"}),
+            payload(keys={"accountnumber": "new"}, attrs={"name": "d"}),
+            payload(keys={"accountnumber": "I"}, attrs={"name": "e"}, Id="4277868e-8ca2-4b2b-5f11-76fe6d40d036"),
+            payload("contact", {"emailaddress1": "x"}, {}, Lookups={"parentcustomerid": to("T1")}),
+            payload("contact", {"emailaddress1": "y"}, {}, Lookups={"parentcustomerid": to("G", False)}),
+            payload("contact", {"emailaddress1": "z"}, {}, Lookups={"parentcustomerid": to("made")}),
+        ]
+    }
+    out = upsert_batch(make_messages(spark, body), base, CATALOG, fresh=lambda: now)
+    rows = by(out.results.collect(), "idx")
+    assert [(rows[i]["Created"], rows[i]["ErrorCategory"]) for i in range(8)] == [
+        (False, "None"), (True, "None"), (False, "None"), (True, "None"), (False, "None"), (True, "None"), (False, "Permanent"), (True, "None"),
+    ]
+    accounts = by(out.tables["account"].collect(), "accountnumber")
+    assert {k: (r["accountid"] if k in ("T1", "K", "I") else None, r["name"]) for k, r in accounts.items()} == {
+        "T1": ("came", "a"), "K": ("kept", "c"), "I": ("4277868e-8ca2-4b2b-5f11-76fe6d40d036", "e"), "G": (None, "b"), "new": (None, "d"), "made": (None, None),
+    }
+    contacts = by(out.tables["contact"].collect(), "emailaddress1")
+    assert contacts["x"]["parentcustomerid"]["id"] == "came" and contacts["z"]["parentcustomerid"]["id"] == accounts["made"]["accountid"]
+    # Nothing was committed since: nothing is asked again.
+    assert upsert_batch(make_messages(spark, body), now, CATALOG, fresh=lambda: None).results.count() == 8

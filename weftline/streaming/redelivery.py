@@ -94,8 +94,13 @@ def start_redelivering_stream(
     options: Options = Options(),
     wait_seconds: float = 30.0,
     trigger: dict | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
-    """Upsert the messages of ``stream``, each up to ``options.max_deliveries`` times, ``wait_seconds`` apart."""
+    """Upsert the messages of ``stream``, each up to ``options.max_deliveries`` times, ``wait_seconds`` apart.
+
+    ``partitions`` is how many parts state and batches have, the session's number if not given; a
+    checkpoint keeps it for good. Every part costs a little in every batch, also in empty ones.
+    """
     spark = configure(stream.sparkSession)
     folder = where.folder("_settled")
     ids = T.StructType([stream.schema["message_id"]])
@@ -113,13 +118,17 @@ def start_redelivering_stream(
         sinks.write_version(done.distinct(), folder, batch_id + 1)
 
     out = deliveries(stream, settled, options.max_deliveries, wait_seconds)
-    before = spark.conf.get(_STATE_STORE, None)
-    spark.conf.set(_STATE_STORE, _ROCKS)
+    # The query keeps the settings that hold when it starts.
+    own = {_STATE_STORE: _ROCKS} | ({"spark.sql.shuffle.partitions": str(partitions)} if partitions else {})
+    before = {key: spark.conf.get(key, None) for key in own}
+    for key, value in own.items():
+        spark.conf.set(key, value)
     try:
         writer = out.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
         return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
     finally:
-        spark.conf.set(_STATE_STORE, before) if before else spark.conf.unset(_STATE_STORE)
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
 
 
 def stop_when_settled(query: StreamingQuery, timeout_seconds: float) -> None:
