@@ -2,13 +2,13 @@
 
 Documents are sorted by id across partitions; each task encodes its rows and closes a shard
 about every ``SHARD_IDS`` ids. A shard is compressed by Re-Pair: in each round the most
-frequent pairs of neighbouring symbols are replaced by new symbols, their rules. A shard is one
-row of a Parquet table: rules, expansion length of each rule, the reduced sequence, and the ids
-and lengths of its documents. Lengths tell which symbols hold a wanted range, so a document is
-decoded without its neighbours.
+frequent pairs of neighbouring symbols are replaced by new symbols, their rules, until no pair
+is left that pays for a rule. A shard is one row of a Parquet table: rules, expansion length of
+each rule, the reduced sequence, and the ids and lengths of its documents. Lengths tell which
+symbols, and which halves of a rule, hold a wanted range, so a document is decoded without its
+neighbours.
 
-Counts of the pairs that are replaced are exact; of pairs that share a place in the counting
-table one is counted in a round. Equal doc_ids lie next to each other in the order of their
+Pairs are counted exactly. Equal doc_ids lie next to each other in the order of their
 texts' hashes, null ids come first. A null text is empty, and has its end id alone. Strings of
 special tokens are those tokens, as in the library. An empty table gives no shards. Further
 columns are not looked at.
@@ -16,13 +16,16 @@ columns are not looked at.
 
 from __future__ import annotations
 
+import json
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,15 +36,19 @@ from weftline.llm.common import in_small_batches, table_partitions, text_or_empt
 
 END_ID = 0
 SHARD_IDS = 1 << 20
-#: Rounds of replacement, pairs replaced in one, and how often a pair must occur.
-ROUNDS = 10
-PAIRS = 1024
-LEAST = 8
+#: How often a pair must occur: a rule takes 12 bytes with its length, a replaced pair gives back 4.
+LEAST = 4
+#: A round replaces the pairs that occur at least as often as the most frequent one divided by this.
+SPREAD = 4
 PIECE_CHARS = 4_000_000
 CACHE_PIECES = 300_000
-#: Places of the counting table, and multipliers of its hash.
-_SLOT_BITS = 18
+#: Places of the table that sorts out rare pairs, and multipliers of its hash.
+_SLOT_BITS = 20
 _MARKS = ".,!?;:"
+# Fixed value: how the byte-level form cuts what holds no white space.
+_CUT = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+")
+#: Characters below this have had their classes since long, so any two libraries cut them alike.
+_SETTLED = "\u0250"
 _LEFT, _RIGHT = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
 
 _SCHEMA = (
@@ -50,6 +57,22 @@ _SCHEMA = (
 )
 
 
+def _byte_marks() -> list[str]:
+    """The character that stands for each byte: its own if it can be seen, else one from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = (256 + n for n in range(256))
+    return [chr(b) if b in seen else chr(next(hidden)) for b in range(256)]
+
+
+def _is_plain_byte_level(tokenizer: Tokenizer) -> bool:
+    """Does the file cut and mark bytes in the common form, and merge without options?"""
+    file = json.loads(tokenizer.to_str())
+    cut, model = file["pre_tokenizer"] or {}, file["model"]
+    usual = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+    options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")
+    return bool(usual) and file["normalizer"] is None and model["type"] == "BPE" and not any(model.get(o) for o in options)
+
+
 class ByteEncoder:
     """Ids of whole texts, each distinct piece between blanks encoded once.
 
@@ -67,6 +90,8 @@ class ByteEncoder:
         self._pieces: dict[str, bytes] = {}
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self._line = line[0] if len(line) == 1 else None
+        self._merge = self.tokenizer.model.tokenize if _is_plain_byte_level(self.tokenizer) else None
+        self._bytes = {b: c for b, c in enumerate(_byte_marks()) if b not in (9, 10)}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -91,8 +116,8 @@ class ByteEncoder:
             else:
                 odd.append(p)
         known = self._pieces
-        plain.update(word for _, word, _ in marked if word not in known)
-        found = dict(self._encoded_plain(sorted(plain)))
+        plain.update([word for _, word, _ in marked if word not in known])
+        found = dict(self._encoded_plain(list(plain)))
         marks = sorted({m for _, _, m in marked})
         ends = dict(zip(marks, self._encoded(marks)))
         yield from found.items()
@@ -100,7 +125,25 @@ class ByteEncoder:
         for p, word, m in marked:
             yield p, (found.get(word) or known[word]) + ends[m]
 
+    def _merged(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of pieces of settled characters with a blank before each, asked of the model alone.
+
+        All are marked in one go. Pieces hold no white space, so line feeds and tabs tell pieces
+        and their parts apart.
+        """
+        cuts = ["\t".join(_CUT.findall(" " + p)) if not p.isalpha() else " " + p for p in pieces]
+        marked = "\n".join(cuts).encode().decode("latin-1").translate(self._bytes).split("\n")
+        code, merge = np.dtype(self.kind).char, self._merge
+        for piece, parts in zip(pieces, marked):
+            yield piece, array(code, [t.id for part in parts.split("\t") for t in merge(part)]).tobytes()
+
     def _encoded_plain(self, plain: list[str]) -> Iterator[tuple[str, bytes]]:
+        if self._merge is not None:
+            settled = [p for p in plain if p.isascii() or max(p) < _SETTLED]
+            yield from self._merged(settled)
+            if len(settled) == len(plain):
+                return
+            plain = [p for p in plain if max(p) >= _SETTLED]
         if self._line is None:
             yield from zip(plain, self._encoded([" " + p for p in plain]))
             return
@@ -144,78 +187,99 @@ def _encoder(path: str) -> ByteEncoder:
 
 @dataclass
 class Grammar:
-    """Symbols from ``base`` on stand for the pairs in ``rules``; ``lengths`` are their expansions'."""
+    """Symbols from ``base`` on stand for the pairs in ``rules``, which hold earlier symbols only.
+
+    ``lengths`` are the rules' expansions'; they are found from the rules if not given.
+    """
 
     base: int
     rules: np.ndarray
     symbols: np.ndarray
-
-    @property
-    def lengths(self) -> np.ndarray:
-        return np.diff(self._table()[0])[self.base :]
-
-    def _table(self) -> tuple[np.ndarray, np.ndarray]:
-        """Where the expansion of each symbol begins, and all expansions in a row."""
-        parts: list[np.ndarray] = []
-        for left, right in self.rules.tolist():
-            halves = [np.array([s], np.uint32) if s < self.base else parts[s - self.base] for s in (left, right)]
-            parts.append(np.concatenate(halves))
-        sizes = np.concatenate(([0], np.ones(self.base, np.int64), [len(p) for p in parts])).astype(np.int64)
-        return np.cumsum(sizes), np.concatenate([np.arange(self.base, dtype=np.uint32), *parts])
+    lengths: np.ndarray | None = None
+
+    def __post_init__(self) -> None:
+        if self.lengths is None:
+            found: list[int] = []
+            for pair in self.rules.tolist():
+                found.append(sum(1 if s < self.base else found[s - self.base] for s in pair))
+            self.lengths = np.array(found, np.int64)
+
+    def sizes(self, symbols: np.ndarray) -> np.ndarray:
+        """Expansion length of each symbol."""
+        found = np.ones(len(symbols), np.int64)
+        ruled = symbols >= self.base
+        found[ruled] = self.lengths[symbols[ruled] - self.base]
+        return found
 
     def expand(self, start: int = 0, stop: int | None = None) -> np.ndarray:
-        """Ids ``start`` to ``stop``, of which only the symbols that hold them are expanded."""
-        begins, flat = self._table()
-        sizes = (begins[1:] - begins[:-1])[self.symbols]
+        """Ids ``start`` to ``stop``; symbols and halves of rules outside are never expanded."""
+        sizes = self.sizes(self.symbols)
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         stop = total if stop is None else min(stop, total)
-        low, high = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, stop, "left")) + 1
-        own, sizes = self.symbols[low:high], sizes[low:high]
-        if not len(own) or stop <= start:
+        if stop <= start:
             return np.zeros(0, np.uint32)
-        before = int(ends[low] - sizes[0])
-        shift = begins[own] - (np.cumsum(sizes) - sizes)
-        ids = flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
-        return ids[start - before : stop - before]
-
-
-def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS, pairs: int = PAIRS, least: int = LEAST) -> Grammar:
-    """Grammar of a sequence of ids below ``base``."""
+        out = np.empty(stop - start, np.uint32)
+        low, high = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, stop, "left")) + 1
+        own, at = self.symbols[low:high], (ends - sizes)[low:high] - start
+        while len(own):
+            leaf = own < self.base
+            out[at[leaf]] = own[leaf]
+            pairs, at = self.rules[own[~leaf] - self.base], at[~leaf]
+            middle = at + self.sizes(pairs[:, 0])
+            own, at, end = pairs.T.ravel(), np.concatenate((at, middle)), np.concatenate((middle, middle + self.sizes(pairs[:, 1])))
+            inside = (end > 0) & (at < len(out))
+            own, at = own[inside], at[inside]
+        return out
+
+
+def _frequent(codes: np.ndarray, slot: np.ndarray, least: int) -> np.ndarray:
+    """Pairs to replace in this round, in order, each of them ``least`` times there or more."""
+    crowd = np.bincount(slot, minlength=1 << _SLOT_BITS)
+    wanted = max(least, int(crowd.max()) // SPREAD)
+    while True:
+        # A pair is as frequent as its place at most, so what lies in rare places need not be sorted.
+        ordered = np.sort(codes[crowd[slot] >= wanted])
+        heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
+        counts = np.diff(np.append(heads, len(ordered)))
+        most = int(counts.max()) if len(counts) else 0
+        if most >= wanted or wanted == least:
+            return ordered[heads[counts >= wanted]]
+        wanted = max(least, wanted // SPREAD)
+
+
+def compress(ids: np.ndarray, base: int, least: int = LEAST) -> Grammar:
+    """Grammar of a sequence of ids below ``base`` in which no pair is left ``least`` times."""
     seq = ids.astype(np.uint32)
-    rules = [np.zeros((0, 2), np.uint32)]
-    free = base
-    for _ in range(rounds):
-        if len(seq) < 2 * least:
-            break
+    grammar = Grammar(base, np.zeros((0, 2), np.uint32), seq, np.zeros(0, np.int64))
+    while len(seq) >= 2 * least:
         left, right = seq[:-1], seq[1:]
+        codes = left.astype(np.uint64) << np.uint64(32) | right
         slot = (left * _LEFT + right * _RIGHT) >> np.uint32(32 - _SLOT_BITS)
-        # Each place of the table counts one pair, the last that was put there.
-        last = np.zeros(1 << _SLOT_BITS, np.uint32)
-        last[slot] = np.arange(len(slot), dtype=np.uint32)
-        holder = left[last], right[last]
-        held = (holder[0][slot] == left) & (holder[1][slot] == right)
-        counts = np.bincount(slot[held], minlength=len(last))
-        often = np.flatnonzero(counts >= least)
-        if not len(often):
+        chosen = _frequent(codes, slot, least)
+        if not len(chosen):
             break
-        if len(often) > pairs:
-            often = often[np.argpartition(-counts[often], pairs)[:pairs]]
-        symbol = np.zeros(len(last), np.uint32)
-        symbol[often] = np.arange(free, free + len(often))
-        new = symbol[slot]
-        at = np.flatnonzero((new > 0) & held)
+        open_slots = np.zeros(1 << _SLOT_BITS, bool)
+        halves = np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
+        open_slots[(halves[:, 0] * _LEFT + halves[:, 1] * _RIGHT) >> np.uint32(32 - _SLOT_BITS)] = True
+        at = np.flatnonzero(open_slots[slot])
+        which = np.minimum(np.searchsorted(chosen, codes[at]), len(chosen) - 1)
+        hit = chosen[which] == codes[at]
+        at, which = at[hit], which[hit]
         # Of pairs that overlap, every second one counted from the left is replaced.
         heads = np.concatenate(([True], np.diff(at) != 1))
         run = np.maximum.accumulate(np.where(heads, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - run) % 2 == 0]
-        rules.append(np.stack([holder[0][often], holder[1][often]], axis=1))
-        seq[at] = new[at]
+        taken = (np.arange(len(at)) - run) % 2 == 0
+        at, which = at[taken], which[taken]
+        used, number = np.unique(which, return_inverse=True)
+        seq[at] = (base + len(grammar.rules) + number).astype(np.uint32)
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq = seq[keep]
-        free += len(often)
-    return Grammar(base, np.concatenate(rules), seq)
+        rules = halves[used]
+        lengths = grammar.sizes(rules[:, 0]) + grammar.sizes(rules[:, 1])
+        grammar = Grammar(base, np.concatenate((grammar.rules, rules)), seq, np.concatenate((grammar.lengths, lengths)))
+    return grammar
 
 
 def _shards(path: str, end_id: int, shard_ids: int):
@@ -277,7 +341,8 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = END_ID)
 def grammar_of(row: dict) -> Grammar:
     """Grammar of a shard's row."""
     rules = np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
-    return Grammar(row["base"], rules, np.frombuffer(row["symbols"], f"<u{row['width']}"))
+    lengths = np.frombuffer(row["rule_lengths"], "<u4").astype(np.int64)
+    return Grammar(row["base"], rules, np.frombuffer(row["symbols"], f"<u{row['width']}"), lengths)
 
 
 def read_document(row: dict, at: int) -> np.ndarray:
@@ -309,6 +374,6 @@ def read_digests(spark: SparkSession, folder: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    columns = ["part", "shard", "doc_ids", "lengths", "base", "width", "rules", "symbols"]
+    columns = ["part", "shard", "doc_ids", "lengths", "base", "width", "rules", "rule_lengths", "symbols"]
     placed = shards.select(*columns).join(starts, ["part", "shard"]).drop("part", "shard")
     return placed.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
