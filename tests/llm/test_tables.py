@@ -161,3 +161,15 @@ def test_pipeline_runs_and_its_stages_take_hard_and_empty_tables(spark, hard, em
             assert stage(spark, docs, folder).columns == docs.columns
             stage(spark, docs, folder).count()
         assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == docs.count()
+
+
+def test_branches_part_at_any_depth(spark):
+    # Good and bad pages differ at the seventh segment only; one long path is alone.
+    deep = "https://a.io/a/b/c/d/e/f/"
+    pages = spark.createDataFrame([(n, f"{deep}{'spam' if n % 2 else 'news'}/x/{n}") for n in range(80)] + [(80, "https://b.io" + "/s" * 300), (81, "https://b.io/$/t")], "page_id bigint, url string")
+    labels = spark.createDataFrame([(n, n % 2 == 1) for n in range(80)], "number bigint, rejected boolean")
+    rows = {r["page_id"]: r for r in url_templates.judge_urls(pages, labels).collect()}
+    assert {r["verdict"] for n, r in rows.items() if n < 80 and n % 2} == {"block"}
+    assert {r["verdict"] for n, r in rows.items() if n < 80 and n % 2 == 0} == {"allow"}
+    assert rows[1]["template"] == "/a/b/c/d/e/f/spam/x/#"
+    assert len(rows) == 82 and rows[80]["template"] == "/*/*/*" + "/s" * 297 and rows[81]["template"] == "/*/*"

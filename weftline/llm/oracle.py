@@ -3,9 +3,7 @@
 They state their own constants and formulas.
 """
 
-
-def _url_filters() -> str:
-    parts = ["""
+_URL_FILTERS = """WITH RECURSIVE
 u AS (SELECT page_id,
         coalesce(translate(regexp_extract(url, '^[\\s\\S]*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
         coalesce(regexp_extract(url, '^[\\s\\S]*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
@@ -17,21 +15,18 @@ l AS (SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) A
 c AS (SELECT host, shape, count(*) AS pages, count(l.bad) AS labelled, coalesce(sum(l.bad), 0) AS rejected
         FROM s LEFT JOIN l ON l.doc_id = s.number GROUP BY host, shape),
 prior AS (SELECT coalesce(1 - sum(rejected)::DOUBLE / nullif(sum(labelled), 0), 1.0) AS p FROM c),
-t0 AS (SELECT host, shape, '' AS template, pages, labelled, rejected FROM c)"""]
-    for i in range(5):
-        parts.append(f"""
-g{i} AS (SELECT *, coalesce(string_split(shape, '/')[{i + 1}], '$') AS segment FROM t{i}),
-k{i} AS (SELECT host, template, segment, sum(pages)::DOUBLE AS pages, sum(labelled)::DOUBLE AS n, sum(rejected)::DOUBLE AS b FROM g{i} GROUP BY ALL),
-n{i} AS (SELECT host, template, count(*) AS kids, sum(pages) AS pp, sum(n) AS nn, sum(b) AS bb FROM k{i} GROUP BY ALL),
-d{i} AS (SELECT host, template, segment, CASE WHEN segment = '$' OR kids = 1 OR coalesce(
-        NOT (kids > 32 AND k.pages < 0.05 * pp) AND n > 0 AND nn - n > 0 AND bb > 0 AND bb < nn
+t0 AS (SELECT host, shape, '' AS template, 0 AS level, false AS done, pages, labelled, rejected FROM c
+  UNION ALL
+  SELECT host, shape, CASE WHEN segment = '?' THEN template ELSE template || CASE WHEN level > 0 THEN '/' ELSE '' END ||
+    CASE WHEN kids = 1 OR coalesce(NOT (kids > 32 AND k < 0.05 * pp) AND n > 0 AND nn - n > 0 AND bb > 0 AND bb < nn
         AND abs(b / nullif(n, 0) - (bb - b) / nullif(nn - n, 0))
           > 2.58 * sqrt((bb / nullif(nn, 0)) * (1 - bb / nullif(nn, 0)) * (1 / nullif(n, 0) + 1 / nullif(nn - n, 0))), false)
-        THEN segment ELSE '*' END AS kept FROM k{i} k JOIN n{i} USING (host, template)),
-t{i + 1} AS (SELECT host, shape, CASE WHEN kept = '$' THEN template ELSE template || '{"/" if i else ""}' || kept END AS template, pages, labelled, rejected
-        FROM g{i} JOIN d{i} USING (host, template, segment))""")
-    parts.append("""
-t AS (SELECT host, shape, CASE WHEN len(string_split(shape, '/')) > 5 THEN template || '/*' ELSE template END AS template, labelled, rejected FROM t5),
+      THEN segment ELSE '*' END END, level + 1, segment = '?', pages, labelled, rejected
+  FROM (SELECT *, count(DISTINCT segment) OVER node AS kids, sum(pages::DOUBLE) OVER child AS k, sum(pages::DOUBLE) OVER node AS pp,
+      sum(labelled::DOUBLE) OVER child AS n, sum(labelled::DOUBLE) OVER node AS nn, sum(rejected::DOUBLE) OVER child AS b, sum(rejected::DOUBLE) OVER node AS bb
+    FROM (SELECT *, coalesce(string_split(shape, '/')[level + 1], '?') AS segment FROM t0 WHERE NOT done)
+    WINDOW node AS (PARTITION BY host, template), child AS (PARTITION BY host, template, segment))),
+t AS (SELECT host, shape, template, labelled, rejected FROM t0 WHERE done),
 j AS (SELECT host, template, (sum(labelled) - sum(rejected) + 8.0 * (SELECT p FROM prior)) / (sum(labelled) + 8.0) AS purity FROM t GROUP BY ALL),
 r AS (SELECT * FROM (VALUES ('net', '/', 'net/', 'block'), ('example.net', '/en/', 'example.net/en/', 'allow'),
         ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr/', 'org/fr/', 'allow')) v(domain, start, rule, says)),
@@ -39,8 +34,7 @@ f AS (SELECT host, path, arg_max(rule, len(rule)) AS rule, arg_max(says, len(rul
         FROM (SELECT DISTINCT host, path FROM s) JOIN r ON (host = domain OR ends_with(host, '.' || domain)) AND starts_with(path, start) GROUP BY ALL)
 SELECT page_id, s.host, s.path, f.rule, coalesce(f.says, CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END) AS verdict, t.template, purity::DOUBLE AS purity
 FROM s JOIN t ON t.host = s.host AND t.shape = s.shape JOIN j ON j.host = t.host AND j.template = t.template
-LEFT JOIN f ON f.host = s.host AND f.path = s.path""")
-    return "WITH " + ",".join(parts)
+LEFT JOIN f ON f.host = s.host AND f.path = s.path"""
 
 
 _TOP_K = """
@@ -68,4 +62,4 @@ SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre):
     ELSE split_part(split_part(y, '<M>', 1), '<P>', 2) || split_part(y, '<M>', 2) || split_part(substr(y, 4), '<P>', 1) END) AS restored_sha256
 FROM o"""
 
-ORACLE: dict[str, str] = {"op6_exact_top_k": _TOP_K, "op10_url_filters": _url_filters(), "op13_fill_in_middle": _FILL_IN_MIDDLE}
+ORACLE: dict[str, str] = {"op6_exact_top_k": _TOP_K, "op10_url_filters": _URL_FILTERS, "op13_fill_in_middle": _FILL_IN_MIDDLE}

@@ -13,7 +13,8 @@ row, the overall rate, reaches the driver.
 
 A null url, or one without ``://``, has an empty host and path, which is a template like any
 other. Repeated rows count as often as they occur and come out as often. Labels that are null
-count as missing. Segments beyond ``depth`` are one wildcard. Empty tables give empty results.
+count as missing. Levels are built until every path has ended or is alone in its branch, where
+nothing can be merged any more. Empty tables give empty results.
 Further columns are not looked at.
 """
 
@@ -26,7 +27,6 @@ from weftline.session import cut_lineage
 
 #: (rule, verdict): host and start of path.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
-DEPTH = 4
 #: A node with more children than this has variable children; those with less than this share of its pages are merged.
 MAX_CHILDREN = 32
 MIN_SHARE = 0.05
@@ -37,7 +37,8 @@ PRIOR_PAGES = 8.0
 MIN_PURITY = 0.5
 
 WILDCARD = "*"
-_END = "$"
+# What no path holds.
+_END = "?"
 
 
 def host_of(url: str | Column = "url") -> Column:
@@ -71,18 +72,22 @@ def shape_of(path: Column) -> Column:
 
 
 def _segment(level: int) -> Column:
-    """Segment of ``shape`` at a level, from 0; ``$`` where the path has ended."""
+    """Segment of ``shape`` at a level, from 0; a mark where the path has ended."""
     parts = F.split("shape", "/", -1)
     return F.coalesce(F.get(parts, F.lit(level)), F.lit(_END))
 
 
 def _generalised(paths: DataFrame, level: int) -> DataFrame:
-    """``paths`` with one more segment in ``template``, its own or a wildcard."""
+    """``paths`` with one more segment in ``template``, its own or a wildcard, and ``done`` where none follows.
+
+    A path alone in its node has all its segments at once.
+    """
     node = ["host", "template"]
     paths = paths.withColumn("segment", _segment(level))
-    children = paths.groupBy(*node, "segment").agg(*[F.sum(c).alias(c) for c in ("pages", "labelled", "rejected")])
+    children = paths.groupBy(*node, "segment").agg(F.count("*").alias("shapes"), *[F.sum(c).alias(c) for c in ("pages", "labelled", "rejected")])
     nodes = children.groupBy(*node).agg(
-        F.count("*").alias("children"), F.sum("pages").alias("all_pages"), F.sum("labelled").alias("all_labelled"), F.sum("rejected").alias("all_rejected")
+        F.count("*").alias("children"), (F.sum("shapes") == 1).alias("alone"),
+        F.sum("pages").alias("all_pages"), F.sum("labelled").alias("all_labelled"), F.sum("rejected").alias("all_rejected"),
     )
     own, rest = F.col("labelled"), F.col("all_labelled") - F.col("labelled")
     rate = F.try_divide("all_rejected", "all_labelled")
@@ -93,23 +98,29 @@ def _generalised(paths: DataFrame, level: int) -> DataFrame:
     only = F.col("children") == 1
     keeps = only | (~variable & (own > 0) & (rest > 0) & (F.col("all_rejected") > 0) & (F.col("all_rejected") < F.col("all_labelled")) & differs)
     named = children.join(nodes, node).select(
-        *node, "segment", F.when((F.col("segment") == _END) | F.coalesce(keeps, F.lit(False)), F.col("segment")).otherwise(WILDCARD).alias("kept")
+        *node, "segment", "alone", F.when((F.col("segment") == _END) | F.coalesce(keeps, F.lit(False)), F.col("segment")).otherwise(WILDCARD).alias("kept")
     )
+    parts = F.split("shape", "/", -1)
+    rest = F.array_join(F.slice(parts, level + 1, F.size(parts)), "/")
+    added = F.concat("template", F.lit("/" if level else ""), F.when(F.col("alone"), rest).otherwise(F.col("kept")))
     return paths.join(named, [*node, "segment"]).select(
-        "host", "shape",
-        F.when(F.col("kept") == _END, F.col("template")).otherwise(F.concat("template", F.lit("/" if level else ""), "kept")).alias("template"),
-        "pages", "labelled", "rejected",
+        "host", "shape", F.when(F.col("segment") == _END, F.col("template")).otherwise(added).alias("template"),
+        "pages", "labelled", "rejected", (F.col("alone") | (F.col("segment") == _END)).alias("done"),
     )
 
 
-def template_tree(counted: DataFrame, depth: int = DEPTH) -> DataFrame:
+def template_tree(counted: DataFrame) -> DataFrame:
     """(host, shape, template, counts) of ``counted`` (host, shape, pages, labelled, rejected)."""
-    paths = counted.select("host", "shape", F.lit("").alias("template"), "pages", "labelled", "rejected")
-    # A path starts with a slash, so its first segment is empty: levels 0 to depth.
-    for level in range(depth + 1):
-        paths = cut_lineage(_generalised(paths, level))
-    deeper = F.size(F.split("shape", "/", -1)) > depth + 1
-    return paths.withColumn("template", F.when(deeper, F.concat("template", F.lit("/" + WILDCARD))).otherwise(F.col("template")))
+    columns = ["host", "shape", "template", "pages", "labelled", "rejected"]
+    paths = counted.withColumn("template", F.lit("")).select(columns)
+    # A path starts with a slash, so its first segment is empty.
+    level, finished = 0, paths.limit(0)
+    while True:
+        grown = cut_lineage(_generalised(paths, level))
+        finished = finished.unionByName(grown.where("done").select(columns))
+        paths, level = grown.where(~F.col("done")).select(columns), level + 1
+        if paths.isEmpty():
+            return finished
 
 
 def purity(templates: DataFrame, prior: float) -> DataFrame:
