@@ -84,6 +84,16 @@ def test_grammar_expands_to_what_it_was_made_of():
     assert len(grammar_ids.compress(long, 60).symbols) < len(long) / 10
 
 
+def test_no_pair_that_pays_for_a_rule_is_left():
+    rng = np.random.default_rng(2)
+    for ids in (rng.zipf(1.3, 60_000) % 50_000, np.tile(rng.integers(0, 50_000, 700), 30), np.zeros(3000, int)):
+        grammar = grammar_ids.compress(ids, 50_000)
+        pairs = Counter(zip(grammar.symbols.tolist(), grammar.symbols[1:].tolist()))
+        assert max(pairs.values(), default=0) < grammar_ids.LEAST
+        assert (grammar.expand() == ids).all()
+        assert (grammar.expand(1001, 1010) == ids[1001:1010]).all()
+
+
 def test_token_shards_round_trip(spark, hard, empty, tmp_path):
     library = Tokenizer.from_file(BYTES)
     folder = str(tmp_path / "ids")
