@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline import Options
 from weftline.functions import json_text as J
+from weftline.operators import guards
 from weftline.operators.guards import with_correlation_id
 from weftline.operators.results import error_rows
 from weftline.sources.messages import explode_payloads, parse_batches, read_messages
@@ -156,3 +157,8 @@ def test_read_messages(spark, tmp_path):
     spark.createDataFrame([(7, "b")], "n bigint, t string").write.parquet(str(tmp_path / "table"))
     row = read_messages(spark, str(tmp_path / "table"), "parquet", "n", "t").first()
     assert (row["message_id"], row["body"], row["correlation_id"]) == (7, "b", None)
+
+
+def test_envelope_reads_each_definition_once(spark):
+    """A lambda parses again at every use: members are read once on the way down, as texts and as values."""
+    assert str(guards.envelope_ok()).count("from_json") <= 8
