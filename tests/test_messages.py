@@ -10,6 +10,7 @@ from weftline.functions import json_text as J
 from weftline.operators import guards
 from weftline.operators.guards import with_correlation_id
 from weftline.operators.results import error_rows
+from weftline.session import cut_lineage
 from weftline.sources.messages import explode_payloads, parse_batches, read_messages
 
 BAD = "Invalid request: The body is not a valid JSON batch."
@@ -162,3 +163,11 @@ def test_read_messages(spark, tmp_path):
 def test_envelope_reads_each_definition_once(spark):
     """A lambda parses again at every use: members are read once on the way down, as texts and as values."""
     assert str(guards.envelope_ok()).count("from_json") <= 8
+
+
+def test_packed_tables_are_not_broadcast_by_their_size_as_files(spark):
+    """Megabytes of Parquet may be millions of rows, which the driver would gather to broadcast them."""
+    rows = cut_lineage(spark.range(300_000).select("id", F.lit(0).alias("idx"), F.lit("same").alias("text")))
+    marks = cut_lineage(spark.range(0, 300_000, 2))
+    plan = rows.join(marks, "id", "left_semi")._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
