@@ -237,3 +237,14 @@ def test_the_first_runs_of_a_long_line_are_enough():
     row, key, before, counts = line_dedup.line_grams(lines)
     assert np.bincount(row).tolist() == [3, 3, line_dedup.GRAMS] and len(counts) == 3
     assert set(key[row == 0]) & set(key[row == 1])
+
+
+def test_keep_one_goes_through_golay_keys(spark, monkeypatch):
+    """Fingerprints within four bits are candidates by themselves; candidates that are not similar stay apart."""
+    words = [f"w{i}" for i in range(400)]
+    near = " ".join(words + ["end"])
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, near), (3, "quite another text of a few words")], "doc_id bigint, text string")
+    none = lambda keyed, steps: spark.createDataFrame([], "a bigint, b bigint")
+    monkeypatch.setattr(golay_dedup, "_pairs_under_keys", none)
+    assert (golay_dedup.fingerprint(" ".join(words), 5) ^ golay_dedup.fingerprint(near, 5)).bit_count() <= golay_dedup.ERRORS
+    assert sorted(r["doc_id"] for r in golay_dedup.keep_one(docs, 5).collect()) == [1, 3]
