@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline import Catalog
-from weftline.session import configure, spread_small_input
+from weftline.session import configure, shuffle_partitions, spread_small_input
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -86,12 +86,18 @@ def customer_bodies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def as_messages(payloads: DataFrame, per_message: int = 10) -> DataFrame:
-    """Payload texts in messages of ``per_message``, in event order."""
+    """Payload texts in messages of ``per_message``, in event order.
+
+    Parsing follows right behind the exchange and costs far more than the bytes say by which partitions
+    would be put together, so their number is fixed.
+    """
+    message = F.floor(F.col("event_id") / per_message).alias("message_id")
+    payloads = payloads.select("event_id", "payload", message).repartition(shuffle_partitions(payloads), "message_id")
     texts = F.transform(
         F.array_sort(F.collect_list(F.struct("event_id", "payload"))), lambda p: p["payload"]
     )
     return (
-        payloads.groupBy(F.floor(F.col("event_id") / per_message).alias("message_id"))
+        payloads.groupBy("message_id")
         .agg(F.concat(F.lit('{"Payloads":['), F.array_join(texts, ","), F.lit("]}")).alias("body"))
         .withColumn("correlation_id", F.lit(None).cast("string"))
     )

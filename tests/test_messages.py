@@ -3,6 +3,7 @@
 import json
 
 from conftest import by, make_messages, payload
+from driverchecks.inputs import as_messages
 from pyspark.sql import functions as F
 
 from weftline import Options
@@ -171,3 +172,17 @@ def test_packed_tables_are_not_broadcast_by_their_size_as_files(spark):
     marks = cut_lineage(spark.range(0, 300_000, 2))
     plan = rows.join(marks, "id", "left_semi")._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_a_filter_on_the_guards_does_not_parse_again(spark):
+    batches = parse_batches(make_messages(spark, {"Payloads": [payload()]}, "{"))
+    parses = lambda frame: frame._jdf.queryExecution().optimizedPlan().toString().count("from_json")
+    refused = batches.where(F.col("guard_status").isNotNull())
+    assert parses(refused) == parses(batches)
+    assert [r["guard_status"] for r in refused.collect()] == [400]
+
+
+def test_messages_stay_in_many_partitions(spark):
+    events = spark.range(200).select(F.col("id").alias("event_id"), F.lit("{}").alias("payload"))
+    filled = as_messages(events).select("message_id", F.spark_partition_id().alias("p")).collect()
+    assert len(filled) == 20 and len({r["p"] for r in filled}) > 2

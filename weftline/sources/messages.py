@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weftline.config import Options
 from weftline.functions import json_text as J
 from weftline.operators import guards
+from weftline.session import once
 
 
 def read_messages(
@@ -81,7 +82,8 @@ def parse_batches(messages: DataFrame, options: Options = Options(), channel: st
         .withColumn("max_depth", J.raw_of(members, "maxlookupdepth").try_cast("int"))
     )
     guarded = guards.apply_message_guards(parsed, options, channel)
-    return guarded.withColumn("payloads", F.when(F.col("guard_status").isNull(), F.col("payloads"))).drop("_members")
+    kept = guarded.withColumn("payloads", F.when(F.col("guard_status").isNull(), F.col("payloads"))).drop("_members")
+    return once(kept, "payloads", "max_depth", "guard_status", "guard_error")
 
 
 def explode_payloads(batches: DataFrame, keep_refused: bool = False) -> DataFrame:
