@@ -90,3 +90,19 @@ def test_rows_after_a_key_change(spark):
     frame = spark.createDataFrame(rows, "message_id int, idx int, identity string, id string, error string, final_id string").withColumn("entity_name", F.lit("e"))
     found = {(r["message_id"], r["idx"]): r["as_of_id"] for r in R.ids_as_of(frame).collect()}
     assert found == {(1, 2): "X", (2, 1): "X", (3, 1): "Z"}
+
+
+def test_many_key_sets_are_matched_by_compiled_code(spark):
+    """What is done for every table row and set has no lambda; nulls and more columns than bits do as before."""
+    columns = [f"c{i:02}" for i in range(70)]
+    catalog = Catalog.from_rows([("part", "partid", "guid"), *[("part", c, "long") for c in columns]])
+    rows = [("a", *range(70)), ("b", None, *range(1, 70))]
+    table = spark.createDataFrame(rows, "partid string, " + ", ".join(f"{c} bigint" for c in columns))
+    sets = [("c00", "c01"), ("c01", "c69"), ("c63",)]
+    found = R.scan_key_sets(table, catalog, "part", sets)
+    got = sorted((r["match_id"], r["identity"]) for r in found.collect())
+    assert got == [("a", "c00=0,c01=1"), ("a", "c01=1,c69=69"), ("a", "c63=63"), ("b", "c01=1,c69=69"), ("b", "c63=63")]
+    asked = R.wanted_filter(spark.createDataFrame([("part", "c63=63")], "entity_name string, identity string"))
+    kept = R.scan_key_sets(table, catalog, "part", sets, asked)
+    assert {r["identity"] for r in kept.collect()} == {"c63=63"}
+    assert "lambda" not in kept._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]

@@ -19,7 +19,7 @@ from weftline.functions import keys as K
 from weftline.functions.text import message
 from weftline.operators.hot import join_unique
 from weftline.operators.ranges import last_before
-from weftline.session import cut_lineage
+from weftline.session import cut_lineage, spread_small_input
 
 # (entity, sorted key column names)
 Shape = tuple[str, tuple[str, ...]]
@@ -80,13 +80,17 @@ def _places(entity: Column, identity: Column, bits: Column) -> Column:
 
 
 def may_be_wanted(entity: Column, identity: Column, words: Column) -> Column:
-    """False only for keys that are not wanted."""
-    return F.forall(
-        _places(entity, identity, F.size(words).cast("bigint") * 64),
-        lambda p: F.call_function(
-            "bit_get", F.get(words, F.shiftright(p, 6).cast("int")), p.bitwiseAND(63).cast("int")
-        ) == 1,
-    )
+    """False only for keys that are not wanted. Without lambdas, which are not compiled."""
+    places = _places(entity, identity, F.size(words).cast("bigint") * 64)
+
+    def is_set(p: Column) -> Column:
+        return F.call_function("bit_get", F.get(words, F.shiftright(p, 6).cast("int")), p.bitwiseAND(63).cast("int")) == 1
+
+    return is_set(F.get(places, F.lit(0))) & is_set(F.get(places, F.lit(1)))
+
+
+#: Columns for which a number holds the bits.
+_BITS = 62
 
 
 def scan_key_sets(
@@ -100,20 +104,29 @@ def scan_key_sets(
     if len(sets) == 1:
         return scan_keys(target, catalog, entity, sets[0])
     names = sorted({n for own in sets for n in own})
-    pairs = F.create_map(
-        *[part for n in names for part in (F.lit(n), K.table_identity({n: (F.col(n), catalog.entities[entity][n].type)}))]
+    words = range(0, len(names), _BITS)
+    bit = {n: (i // _BITS, 1 << i % _BITS) for i, n in enumerate(names)}
+    # A set is the bits of its columns. What is done for every row and set has no lambdas, so it is compiled.
+    wanted = F.from_json(
+        F.lit(json.dumps([[sum(bit[n][1] for n in own if bit[n][0] == w) for w in range(len(words))] for own in sets])), "array<array<bigint>>"
+    )
+    kinds = catalog.entities[entity]
+    texts = {n: F.when(F.col(n).isNotNull(), K.table_identity({n: (F.col(n), kinds[n].type)})) for n in names}
+    row = target.select(
+        F.col(catalog.id_column(entity)).cast("string").alias("match_id"), *[t.alias(f"_t{i}") for i, t in enumerate(texts.values())]
     )
-    wanted = F.from_json(F.lit(json.dumps([sorted(own) for own in sets])), "array<array<string>>")
-    rows = target.select(F.col(catalog.id_column(entity)).cast("string").alias("match_id"), pairs.alias("pairs"))
-    texts = F.transform(wanted, lambda own: F.transform(own, lambda n: F.try_element_at("pairs", n)))
     # A key that is null has no text: its sets match nothing.
-    whole = F.filter(texts, lambda own: F.forall(own, lambda t: t.isNotNull()))
-    whole = F.transform(whole, lambda own: F.array_join(own, ","))
-    if asked is not None:
-        # One row of at most FILTER_BITS bits.
-        rows = rows.crossJoin(F.broadcast(asked))
-        whole = F.filter(whole, lambda own: may_be_wanted(F.lit(entity), own, F.col("filter")))
-    return rows.select(F.lit(entity).alias("entity_name"), F.explode(whole).alias("identity"), "match_id")
+    null = [sum((F.when(F.col(f"_t{i}").isNull(), bit[n][1]).otherwise(0) for i, n in enumerate(names) if bit[n][0] == w), F.lit(0).cast("bigint")) for w in range(len(words))]
+    # A row becomes as many as there are sets: one small file would be one long task.
+    rows = spread_small_input(row).select("*", *[n.alias(f"_null{w}") for w, n in enumerate(null)]).select("*", F.explode(wanted).alias("_set"))
+    for w in range(len(words)):
+        rows = rows.where(F.get("_set", F.lit(w)).bitwiseAND(F.col(f"_null{w}")) == 0)
+    parts = [F.when(F.get("_set", F.lit(bit[n][0])).bitwiseAND(F.lit(bit[n][1])) != 0, F.col(f"_t{i}")) for i, n in enumerate(names)]
+    keyed = rows.select(F.lit(entity).alias("entity_name"), F.concat_ws(",", *parts).alias("identity"), "match_id")
+    if asked is None:
+        return keyed
+    # One row of at most FILTER_BITS bits.
+    return keyed.crossJoin(F.broadcast(asked)).where(may_be_wanted(F.lit(entity), F.col("identity"), F.col("filter"))).drop("filter")
 
 
 def match_keys(
