@@ -10,6 +10,7 @@ from weftline import Options
 from weftline.functions import json_text as J
 from weftline.operators import guards
 from weftline.operators.guards import with_correlation_id
+from weftline.operators.lookup_tree import lookup_nodes
 from weftline.operators.results import error_rows
 from weftline.session import cut_lineage
 from weftline.sources.messages import explode_payloads, parse_batches, read_messages
@@ -186,3 +187,46 @@ def test_messages_stay_in_many_partitions(spark):
     events = spark.range(200).select(F.col("id").alias("event_id"), F.lit("{}").alias("payload"))
     filled = as_messages(events).select("message_id", F.spark_partition_id().alias("p")).collect()
     assert len(filled) == 20 and len({r["p"] for r in filled}) > 2
+
+
+def test_definitions_read_at_once_are_as_read_one_by_one(spark):
+    texts = [
+        '{"a":{"EntityLogicalName":"x","KeyAttributes":{"k":[1.50,"{"]},"MaxDepth":2},"b":null,"c":{}}',
+        '{"a":{"maxdepth":1,"MaxDepth":"x","n":1e2,"t":true,"l":[],"q":"[1","o":{"p":null}}}',
+        '{"a":{"m":1},"b":{},"a":{"m":"\\u00e9"}}',
+        "{}",
+    ]
+    mixed = ['{"a":5,"a":{"M":1}}', '{"a":{"m":1},"b":"{"}', "[1]", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts + mixed)], "n int, text string")
+    each = F.transform_values(J.bag(F.col("text")), lambda _, v: J.bag(v["raw"], fold_names=True))
+    raw = F.transform_values(each, lambda _, m: F.transform_values(m, lambda _, v: v["raw"]))
+    got = rows.select("n", each.alias("each"), raw.alias("raw"), J.bags_by_name(F.col("text")).alias("bags"), J.texts_by_name(F.col("text")).alias("texts"))
+    for r in got.collect():
+        # Texts are read whatever is mixed; bags leave mixed values to the other way.
+        assert r["texts"] == r["raw"] and list(r["texts"] or ()) == list(r["raw"] or ()), r["n"]
+        assert r["bags"] == (r["each"] if r["n"] < len(texts) else None), r["n"]
+
+
+def test_a_definition_given_twice_counts_as_given_last(spark):
+    good = '{"EntityLogicalName":"contact","KeyAttributes":{"emailaddress1":"x"}}'
+    lookups = [f'{{"a":5,"a":{good}}}', f'{{"a":{good},"a":5}}', f'{{"a":{good},"b":null}}', f'{{"a":{{"EntityLogicalName":1}},"a":{good}}}']
+    bodies = [
+        f'{{"Payloads":[{{"EntityLogicalName":"account","KeyAttributes":{{"accountnumber":"1"}},"Attributes":{{}},"Lookups":{text}}}]}}'
+        for text in lookups
+    ]
+    batches = parse_batches(make_messages(spark, *bodies))
+    status = {r["message_id"]: r["guard_status"] for r in batches.collect()}
+    assert status == {0: None, 1: 400, 2: None, 3: None}
+    nodes = explode_payloads(batches).select("message_id", lookup_nodes(Options()).alias("nodes")).collect()
+    assert {r["message_id"]: [(n["attribute"], n["absent"], n["entity"]) for n in r["nodes"]] for r in nodes} == {
+        0: [("a", False, "contact")], 2: [("a", False, "contact"), ("b", True, None)], 3: [("a", False, "contact")],
+    }
+
+
+def test_kinds_of_nested_values_do_not_take_their_members_out(spark):
+    kind = J.kind_of(F.col("raw"), F.parse_json("raw"))
+    frame = spark.createDataFrame([('{"a":1}',), ("[1]",), ("7",), ("7.5",), ("true",)], "raw string")
+    assert [r["k"] for r in frame.select(kind.alias("k")).collect()] == ["object", "array", "int", "number", "bool"]
+    plan = frame.select(kind.alias("k"))._jdf.queryExecution().analyzed().toString()
+    assert "map<string,variant>" not in plan.lower() and "array<variant>" not in plan.lower()
+    assert "MapType(StringType,VariantType" not in plan and "ArrayType(VariantType" not in plan

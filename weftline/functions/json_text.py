@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
+# Types of a VARIANT; whatever else is no text is a number.
+_SCALARS = {"STRING": "string", "BIGINT": "int", "BOOLEAN": "bool"}
+
 BAG_DDL = "map<string,struct<kind:string,raw:string>>"
 
 # A decimal with more digits than a double holds travels as a text with this character before it,
@@ -45,23 +48,17 @@ def _let(value: Column, use) -> Column:
 def kind_of(raw: Column, value: Column) -> Column:
     """Kind of a value from its raw text and its VARIANT. Integers are told apart from other numbers.
 
-    Nested values are recognised one level deep only; naming their whole schema would walk
-    them to the end.
+    Nested values are recognised by their outermost level only; naming their whole schema, or
+    taking their members out, would walk them to the end.
     """
     first = F.substring(raw, 1, 1)
-    scalar = _let(
-        F.schema_of_variant(value),
-        lambda s: F.when(s == "STRING", "string")
-        .when(s == "BIGINT", "int")
-        .when(s == "BOOLEAN", "bool")
-        .otherwise("number"),
-    )
+    kinds = F.create_map(*[F.lit(t) for pair in _SCALARS.items() for t in pair])
     string = F.lit("string")
     return (
         F.when(raw.isNull(), "null")
-        .when(first == "{", F.when(F.try_variant_get(value, "$", "map<string,variant>").isNotNull(), "object").otherwise(string))
-        .when(first == "[", F.when(F.try_variant_get(value, "$", "array<variant>").isNotNull(), "array").otherwise(string))
-        .otherwise(scalar)
+        .when(first == "{", F.when(F.try_variant_get(value, "$", "struct<>").isNotNull(), "object").otherwise(string))
+        .when(first == "[", F.when(F.try_variant_get(value, "$", "array<struct<>>").isNotNull(), "array").otherwise(string))
+        .otherwise(F.coalesce(F.try_element_at(kinds, F.schema_of_variant(value)), F.lit("number")))
     )
 
 
@@ -90,6 +87,36 @@ def bag(text: Column, fold_names: bool = False) -> Column:
     )
 
 
+def bags_by_name(text: Column) -> Column:
+    """Parse one JSON object of objects into a map of bags with lower-case names, in one go.
+
+    Null values stay null. Null when a value is something else, or the text is.
+    """
+    raw, variants = (F.from_json(text, f"map<string,map<string,{of}>>", _STRICT) for of in ("string", "variant"))
+    return F.map_from_entries(
+        F.zip_with(
+            F.map_entries(raw),
+            F.map_values(variants),
+            lambda e, v: F.struct(e["key"].alias("key"), _zip_bag(e["value"], v, fold_names=True).alias("value")),
+        )
+    )
+
+
+def texts_by_name(text: Column) -> Column:
+    """``bags_by_name`` without kinds: a map of maps of raw texts, for objects whose kinds were checked."""
+    read = F.map_from_entries(
+        F.transform(
+            F.map_entries(F.from_json(text, "map<string,map<string,string>>", _STRICT)),
+            lambda e: F.struct(e["key"].alias("key"), F.transform_keys(e["value"], lambda name, _: F.lower(name)).alias("value")),
+        )
+    )
+    # A name given twice may first have had another kind of value: only the last one counts.
+    one_by_one = F.transform_values(
+        bag(text), lambda _, v: F.transform_values(bag(v["raw"], fold_names=True), lambda _, m: m["raw"])
+    )
+    return F.coalesce(read, one_by_one)
+
+
 def bags(text: Column) -> Column:
     """Parse one JSON array of objects into an array of bags with lower-case names.
 

@@ -15,6 +15,8 @@ from weftline.functions.values import is_plain_guid
 # A lookup definition takes two JSON levels, so documents of at most 32 levels hold at most this many.
 MAX_LOOKUP_LEVELS = 14
 
+_DEFINITIONS = "array<struct<ok:boolean,nested:string>>"
+
 # Texts of refused messages, per channel.
 _TEXTS = {
     "request": {
@@ -79,14 +81,29 @@ def _payload_ok(members: Column) -> Column:
 
 
 def _definitions_in(text: Column) -> Column:
-    """Kind and members of each definition. Read once: a lambda would parse again at every use."""
+    """Whether each definition has its members, and the text of those nested in it.
+
+    Members are read once: a lambda would parse again at every use. They are read definition by
+    definition only where a value is no object.
+    """
+    at_once = F.transform(
+        F.map_values(J.bags_by_name(text)),
+        lambda m: F.struct(F.when(m.isNull(), "null").otherwise("object").alias("kind"), m.alias("members")),
+    )
+    one_by_one = F.transform(
+        F.map_values(J.bag(text)),
+        lambda d: F.struct(d["kind"].alias("kind"), J.bag(d["raw"], fold_names=True).alias("members")),
+    )
+    definition_ok = lambda d: F.when(d["kind"] == "null", True).otherwise(
+        (d["kind"] == "object") & F.coalesce(_definition_ok(d["members"]), F.lit(False))
+    )
     return F.coalesce(
         F.transform(
-            F.map_values(J.bag(text)),
-            lambda d: F.struct(d["kind"].alias("kind"), J.bag(d["raw"], fold_names=True).alias("members")),
+            F.coalesce(at_once, one_by_one),
+            lambda d: F.struct(definition_ok(d).alias("ok"), J.raw_of(d["members"], "nestedlookups").alias("nested")),
         ),
         F.array(),
-    ).cast(f"array<struct<kind:string,members:{J.BAG_DDL}>>")
+    ).cast(_DEFINITIONS)
 
 
 @lru_cache(maxsize=1)
@@ -97,20 +114,20 @@ def envelope_ok() -> Column:
     """
     members, payloads = F.col("_members"), F.col("payloads")
     objects = F.filter(payloads, lambda m: m.isNotNull())
-    first = F.flatten(F.transform(objects, lambda m: _definitions_in(J.raw_of(m, "lookups"))))
+    # The payloads are the level above all definitions, so that these are read at one place.
+    above = F.transform(
+        objects, lambda m: F.struct(F.lit(True).alias("ok"), J.raw_of(m, "lookups").alias("nested"))
+    ).cast(_DEFINITIONS)
 
     def next_level(levels: Column, _: Column) -> Column:
         last = F.element_at(levels, -1)
         below = F.flatten(
-            F.transform(last, lambda d: _definitions_in(J.raw_of(d["members"], "nestedlookups")))
+            F.transform(F.filter(last, lambda d: d["nested"].isNotNull()), lambda d: _definitions_in(d["nested"]))
         )
         return F.when(F.size(last) == 0, levels).otherwise(F.concat(levels, F.array(below)))
 
     definitions = F.flatten(
-        F.aggregate(F.sequence(F.lit(2), F.lit(MAX_LOOKUP_LEVELS)), F.array(first), next_level)
-    )
-    definition_ok = lambda d: F.when(d["kind"] == "null", True).otherwise(
-        (d["kind"] == "object") & F.coalesce(_definition_ok(d["members"]), F.lit(False))
+        F.aggregate(F.sequence(F.lit(1), F.lit(MAX_LOOKUP_LEVELS)), F.array(above), next_level)
     )
     listed = J.kind_of_member(members, "payloads") != "array"
     return (
@@ -118,7 +135,7 @@ def envelope_ok() -> Column:
         & _int_ok(members, "maxlookupdepth")
         & (F.coalesce(listed, F.lit(True)) | payloads.isNotNull())
         & F.coalesce(F.forall(objects, _payload_ok), F.lit(True))
-        & F.coalesce(F.forall(definitions, definition_ok), F.lit(True))
+        & F.coalesce(F.forall(definitions, lambda d: d["ok"]), F.lit(True))
     )
 
 

@@ -32,21 +32,16 @@ def lookup_nodes(options: Options) -> Column:
         F.greatest(F.coalesce(max_depth, F.lit(options.max_lookup_depth)), F.lit(1)), F.lit(options.max_lookup_depth)
     )
 
+    member = J.member
+
     def nodes(text: Column, parent: Column, path: Column, depth: Column, eff: Column, above: Column, holder: Column) -> Column:
-        entries = F.map_entries(J.bag(text))
-        read = F.transform(
-            entries,
-            lambda e, i: F.struct(
-                e["key"].alias("key"), i.alias("i"), J.bag(e["value"]["raw"], fold_names=True).alias("m")
-            ),
-        )
         described = F.transform(
-            read,
-            lambda e: F.struct(
+            F.map_entries(J.texts_by_name(text)),
+            lambda e, i: F.struct(
                 e["key"].alias("key"),
-                e["i"].alias("i"),
-                e["m"].alias("m"),
-                J.bag(J.raw_of(e["m"], "keyattributes")).alias("keys"),
+                i.alias("i"),
+                e["value"].alias("m"),
+                J.bag(member(e["value"], "keyattributes")).alias("keys"),
             ),
         )
         return F.coalesce(
@@ -59,22 +54,22 @@ def lookup_nodes(options: Options) -> Column:
                     e["key"].alias("attribute"),
                     depth.alias("depth"),
                     e["m"].isNull().alias("absent"),
-                    J.raw_of(e["m"], "entitylogicalname").alias("entity"),
+                    member(e["m"], "entitylogicalname").alias("entity"),
                     e["keys"].alias("keys"),
-                    F.coalesce(J.raw_of(e["m"], "createifnotexists") == "true", F.lit(False)).alias("create"),
-                    J.bag(J.raw_of(e["m"], "createattributes")).alias("create_attrs"),
+                    F.coalesce(member(e["m"], "createifnotexists") == "true", F.lit(False)).alias("create"),
+                    J.bag(member(e["m"], "createattributes")).alias("create_attrs"),
                     F.when(
-                        J.raw_of(e["m"], "maxdepth").isNotNull(),
+                        member(e["m"], "maxdepth").isNotNull(),
                         F.least(
-                            F.greatest(J.raw_of(e["m"], "maxdepth").try_cast("int"), F.lit(1)),
+                            F.greatest(member(e["m"], "maxdepth").try_cast("int"), F.lit(1)),
                             F.lit(options.max_lookup_depth),
                         ),
                     )
                     .otherwise(eff)
                     .alias("eff_depth"),
-                    signature(J.raw_of(e["m"], "entitylogicalname"), e["keys"]).alias("sig"),
+                    signature(member(e["m"], "entitylogicalname"), e["keys"]).alias("sig"),
                     above.alias("above"),
-                    J.raw_of(e["m"], "nestedlookups").alias("nested"),
+                    member(e["m"], "nestedlookups").alias("nested"),
                     holder.alias("holder"),
                 ),
             ),
