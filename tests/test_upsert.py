@@ -7,9 +7,11 @@ from conftest import CATALOG, by, make_messages, make_targets, payload
 from pyspark.sql import functions as F
 
 from weftline import Catalog, Options
+from weftline.operators import lookups as L
 from weftline.operators import resolve as R
-from weftline.plans.upsert import upsert_batch, with_traces
+from weftline.plans.upsert import decide, upsert_batch, with_traces
 from weftline.sources import sinks
+from weftline.sources.tables import Lookup, payloads_from_table, profile_of
 
 ACCOUNTS = [
     {"accountid": "t1", "accountnumber": "T1", "name": "old", "address1_city": "Oslo"},
@@ -470,3 +472,41 @@ def test_conflicts_at_commit_are_decided_once_more(spark):
     assert contacts["x"]["parentcustomerid"]["id"] == "came" and contacts["z"]["parentcustomerid"]["id"] == accounts["made"]["accountid"]
     # Nothing was committed since: nothing is asked again.
     assert upsert_batch(make_messages(spark, body), now, CATALOG, fresh=lambda: None).results.count() == 8
+
+
+def test_lookups_of_typed_rows_are_settled_by_compiled_code(spark):
+    """Typed rows settle their lookups as bags of a message are, odd values included, without lambdas; joins move no nodes."""
+    lookups = [
+        Lookup("parentaccountid", "Account", {"accountnumber": F.col("n"), "REVENUE": F.col("d")}, create=True,
+           create_attrs={"name": F.col("n"), "NumberOfEmployees": F.col("n"), "Revenue": F.col("d")},
+           nested=[
+               Lookup("primarycontactid", "contact", {"emailaddress1": F.col("n")}, create=True, create_attrs={"gendercode": F.col("n")},
+                  nested=[Lookup("accountid", "account", {"revenue": F.col("d"), "AccountNumber": F.upper("n")}, create=True,
+                             nested=[Lookup("parentaccountid", "account", {"accountnumber": F.col("n")})])]),
+               Lookup("name", "account", {"accountid": F.col("n")}, max_depth=1),
+           ]),
+        Lookup("primarycontactid", "contact", {"birthdate": F.col("n"), "nosuch": F.col("d")}, create=True),
+        Lookup("x", "unknown", {"a": F.col("n")}, create=True),
+        Lookup("y", "contact", {}, create=True, create_attrs={"firstname": F.col("n")}),
+    ]
+    frame = spark.createDataFrame([(1, "A ,=", 1.5), (2, None, None), (3, "Male", 0.0)], "message_id int, n string, d double")
+    rows = payloads_from_table(frame, CATALOG, "contact", {"emailaddress1": F.col("n")}, {}, lookups, options=Options(max_lookup_depth=3))
+    targets = make_targets(spark, ACCOUNTS, CONTACTS)
+    settled = L.explode_lookups(rows, CATALOG, targets)
+    order = lambda df: sorted(map(str, df.collect()))
+    from_bags = L.explode_lookups(rows.drop("settled_nodes"), CATALOG, targets)
+    assert settled.columns == from_bags.columns and order(settled) == order(from_bags)
+    errors = {r["ord"]: r["error"] for r in settled.where("message_id = 1").collect()}
+    assert errors[".0000000.0000000.0000000"].startswith("Cyclic lookup detected for 'accountid' (account:accountnumber=A \\,\\=,revenue=1.5)")
+    assert errors[".0000000.0000000.0000000.0000000"].endswith("exceeded maximum depth of 3.")
+    assert "lambda" not in settled._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    rows = payloads_from_table(frame, CATALOG, "contact", {"emailaddress1": F.col("n")}, {}, lookups[:1])
+    profile = profile_of("contact", {"emailaddress1": F.col("n")}, lookups[:1])
+    decision = decide(rows, targets, CATALOG, profile=profile)
+    assert not {"nodes", "settled_nodes", "lookup_names", "misplaced"} & set(decision.writes.columns)
+    assert "create_values" not in decision.outcomes.columns
+
+
+def test_stages_of_long_expressions_are_left_to_small_methods(spark):
+    """A method of more than 8000 bytes of bytecode is never compiled by the JVM."""
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"

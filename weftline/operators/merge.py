@@ -109,7 +109,7 @@ def value_refusal(
         mine, specs = entity_name == name, catalog.entities.get(name, {})
         fields = {f.name.lower(): f.dataType for f in target.schema.fields}
         known = F.array(*[F.lit(n) for n in fields]).cast("array<string>")
-        missing = F.get(F.array_sort(F.array_except(names, known)), F.lit(0))
+        missing = F.array_min(F.array_except(names, known))
         refusal = F.coalesce(refusal, F.when(mine & missing.isNotNull(), message("Field '", missing, "' has no column to write to.")))
         for field, type_ in fields.items():
             if field not in specs or isinstance(type_, T.StructType):
@@ -139,16 +139,20 @@ def reference_refusal(entity_name: Column, attribute: Column, targets: Mapping[s
 def write_refusals(rows: DataFrame, targets: Mapping[str, DataFrame], catalog: Catalog) -> Column:
     """Why a row's values or references cannot be written, or null."""
     refusal = value_refusal(F.col("entity_name"), F.col("entity"), F.col("values"), targets, catalog)
-    if "nodes" not in rows.columns:
-        return refusal
+    return F.coalesce("misplaced", refusal) if "misplaced" in rows.columns else refusal
+
+
+def first_misplaced(rows: DataFrame, targets: Mapping[str, DataFrame], catalog: Catalog) -> Column:
+    """Why a row's table has no place for the first of its lookups that is misplaced, or null."""
+    if "lookup_names" in rows.columns:
+        names = F.col("lookup_names")
+    else:
+        names = F.transform(F.filter("nodes", lambda n: n["depth"] == 0), lambda n: n["attribute"])
     misplaced = F.filter(
-        F.transform(
-            F.filter("nodes", lambda n: n["depth"] == 0),
-            lambda n: reference_refusal(F.col("entity_name"), n["attribute"], targets, catalog),
-        ),
+        F.transform(names, lambda name: reference_refusal(F.col("entity_name"), name, targets, catalog)),
         lambda e: e.isNotNull(),
     )
-    return F.coalesce(F.get(misplaced, F.lit(0)), refusal)
+    return F.get(misplaced, F.lit(0))
 
 
 def merge_entities(targets: Mapping[str, DataFrame], folded: DataFrame, catalog: Catalog) -> dict[str, DataFrame]:

@@ -105,7 +105,12 @@ def decide(
     hot = hot_keys(requests)
 
     outcomes = records = None
-    referenced = rows.withColumn("lookup_error", F.lit(None).cast("string")).withColumn(
+    bare = rows
+    if "nodes" in rows.columns:
+        # Of the lookups only this is still needed; joins then move rows without them.
+        bare = rows.withColumn("misplaced", M.first_misplaced(rows, targets, catalog))
+        bare = bare.drop("nodes", "settled_nodes", "lookup_names")
+    referenced = bare.withColumn("lookup_error", F.lit(None).cast("string")).withColumn(
         "lookup_category", F.lit(None).cast("string")
     )
     if nodes is not None:
@@ -114,8 +119,8 @@ def decide(
             there = made.select("entity_name", "identity", F.lit(1).cast("bigint").alias("match_count"), F.col("id").alias("match_id"))
             findable = matches.unionByName(there)
         outcomes = L.resolve_lookups(cut_lineage(L.with_matches(nodes, findable, hot)), levels, targets, catalog, salt, hot)
-        records = L.created_records(outcomes)
-        referenced = L.attach_references(rows, outcomes)
+        records = cut_lineage(L.created_records(outcomes, nodes))
+        referenced = L.attach_references(bare, outcomes)
 
     known_ids = R.match_ids(valid, targets, catalog) if profile.given else None
     acted = R.decide_action(R.resolve_keys(referenced, matches, hot), known_ids, salt)
@@ -137,7 +142,7 @@ def decide(
                 F.coalesce("lookup_error", "error")
             ),
         )
-        .drop("lookup_error", "lookup_category", "nodes")
+        .drop("lookup_error", "lookup_category", "misplaced")
     )
     creating = F.col("error").isNull() & (F.col("action") == "create")
     acted = R.free_ids(cut_lineage(acted), "final_id", creating, targets, catalog, salt)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from weftline.config import Options
 from weftline.functions import json_text as J
 from weftline.functions import keys as K
 from weftline.functions import values as V
+from weftline.operators import lookups as L
 from weftline.operators.lookup_tree import NODE_DDL
 from weftline.operators.resolve import Profile
 
@@ -143,40 +146,119 @@ def bag_of(frame: DataFrame, columns: Mapping[str, Column]) -> Column:
     return F.create_map(*parts).cast(J.BAG_DDL)
 
 
-def _nodes(frame: DataFrame, lookups: Sequence[Lookup], options: Options) -> Column:
-    flat: list[Column] = []
+@dataclass(frozen=True)
+class _Place:
+    """A lookup of typed rows in its tree. ``above`` are the lookups it is nested in, outermost first."""
+
+    item: Lookup
+    order: str
+    parent: str
+    path: str
+    depth: int
+    limit: int
+    above: tuple[Lookup, ...]
 
-    def walk(items: Sequence[Lookup], parent: str, path: str, depth: int, eff: int, above: list[Column], holder: str | None) -> None:
+
+def _places(lookups: Sequence[Lookup], options: Options) -> list[_Place]:
+    flat: list[_Place] = []
+
+    def walk(items: Sequence[Lookup], parent: str, path: str, eff: int, above: tuple[Lookup, ...]) -> None:
         for i, item in enumerate(items):
             limit = eff if item.max_depth is None else max(1, min(item.max_depth, options.max_lookup_depth))
-            keys = bag_of(frame, item.keys)
-            own = K.signature_of(item.entity, _json_forms(frame, item.keys))
             order, where = f"{parent}.{i:07d}", f"{path}.{item.attribute}"
-            flat.append(
-                F.struct(
-                    F.lit(order).alias("ord"),
-                    F.lit(parent).alias("parent"),
-                    F.lit(where).alias("path"),
-                    F.lit(item.attribute).alias("attribute"),
-                    F.lit(depth).alias("depth"),
-                    F.lit(False).alias("absent"),
-                    F.lit(item.entity).alias("entity"),
-                    keys.alias("keys"),
-                    F.lit(item.create).alias("create"),
-                    bag_of(frame, item.create_attrs).alias("create_attrs"),
-                    F.lit(limit).alias("eff_depth"),
-                    own.alias("sig"),
-                    (F.array(*above) if above else F.array().cast("array<string>")).alias("above"),
-                    F.lit(None).cast("string").alias("nested"),
-                    F.lit(holder).cast("string").alias("holder"),
-                )
-            )
-            walk(item.nested, order, where, depth + 1, limit, [*above, own], item.entity)
+            flat.append(_Place(item, order, parent, where, len(above), limit, above))
+            walk(item.nested, order, where, limit, (*above, item))
 
-    walk(lookups, "", "Lookups", 0, options.max_lookup_depth, [], None)
+    walk(lookups, "", "Lookups", options.max_lookup_depth, ())
+    return flat
+
+
+def _signature(frame: DataFrame, item: Lookup) -> Column:
+    return K.signature_of(item.entity, _json_forms(frame, item.keys))
+
+
+def _nodes(frame: DataFrame, lookups: Sequence[Lookup], options: Options) -> Column:
+    flat = [
+        F.struct(
+            F.lit(at.order).alias("ord"),
+            F.lit(at.parent).alias("parent"),
+            F.lit(at.path).alias("path"),
+            F.lit(at.item.attribute).alias("attribute"),
+            F.lit(at.depth).alias("depth"),
+            F.lit(False).alias("absent"),
+            F.lit(at.item.entity).alias("entity"),
+            bag_of(frame, at.item.keys).alias("keys"),
+            F.lit(at.item.create).alias("create"),
+            bag_of(frame, at.item.create_attrs).alias("create_attrs"),
+            F.lit(at.limit).alias("eff_depth"),
+            _signature(frame, at.item).alias("sig"),
+            F.array(*[_signature(frame, a) for a in at.above]).cast("array<string>").alias("above"),
+            F.lit(None).cast("string").alias("nested"),
+            F.lit(at.above[-1].entity if at.above else None).cast("string").alias("holder"),
+        )
+        for at in _places(lookups, options)
+    ]
     return (F.array(*flat) if flat else F.array()).cast(NODE_DDL)
 
 
+def _may_repeat(one: Lookup, other: Lookup) -> bool:
+    """False if the signatures differ whatever the values: another entity, or other key columns."""
+    names = [one.entity, other.entity, *one.keys, *other.keys]
+    if not all(n.isidentifier() for n in names):
+        return True
+    same = lambda item: (item.entity.lower(), sorted(n.lower() for n in item.keys))
+    return same(one) == same(other)
+
+
+def _settled_nodes(frame: DataFrame, catalog: Catalog, lookups: Sequence[Lookup], options: Options) -> Column:
+    """``nodes`` as ``lookups.explode_lookups`` would settle them, here with names and types known.
+
+    Nothing goes through bags and lambdas, so all of it is compiled.
+    """
+    nothing, no_map = F.lit(None).cast("string"), F.lit(None).cast("map<string,string>")
+
+    def converted(entity: str, columns: Mapping[str, Column]) -> tuple[dict[str, Column], Column]:
+        specs = F.try_element_at(catalog.column(), F.lit(entity.lower()))
+        texts, errors = {}, [nothing]
+        for name, (kind, raw) in (_json_forms(frame, columns) if columns else {}).items():
+            spec = F.try_element_at(specs, F.lit(name.lower()))
+            texts[name.lower()] = V.canonical_text(kind, raw, spec)
+            errors.append(V.conversion_error(F.lit(name.lower()), kind, texts[name.lower()], spec))
+        return texts, F.coalesce(*errors)
+
+    flat = []
+    for at in _places(lookups, options):
+        item = at.item
+        keys, key_error = converted(item.entity, item.keys)
+        attrs, create_error = converted(item.entity, item.create_attrs)
+        own, above = _signature(frame, item), [_signature(frame, a) for a in at.above]
+        repeats = [F.upper(a) == F.upper(own) for a, it in zip(above, at.above) if _may_repeat(it, item)]
+        error, category = L.node_error(
+            F.lit(at.depth), F.lit(at.limit), reduce(or_, repeats, F.lit(False)), F.lit(item.attribute), own,
+            F.concat_ws(" -> ", *above), key_error,
+        )
+        # Create attributes win over keys of the same name.
+        values = F.map_concat(_map_of(keys), _map_of(attrs)) if item.create and keys else no_map
+        flat.append(
+            F.struct(
+                F.lit(at.order).alias("ord"),
+                F.lit(at.parent).alias("parent"),
+                F.lit(at.path).alias("path"),
+                F.lit(item.attribute).alias("attribute"),
+                F.lit(at.depth).alias("depth"),
+                F.lit(item.entity).alias("entity"),
+                F.lit(item.create).alias("create"),
+                F.lit(at.above[-1].entity if at.above else None).cast("string").alias("holder"),
+                (K.identity_of(keys) if keys else nothing).alias("identity"),
+                values.alias("create_values"),
+                (create_error if item.create else nothing).alias("create_error"),
+                error.alias("error"),
+                category.alias("category"),
+            )
+        )
+    return F.array(*flat)
+
+
 def payloads_from_table(
     frame: DataFrame,
     catalog: Catalog,
@@ -218,6 +300,8 @@ def payloads_from_table(
         (F.lower(id) if id is not None else F.lit(None).cast("string")).alias("id"),
         F.lit(None).cast("string").alias("source"),
         _nodes(frame, lookups, options).alias("nodes"),
+        *([_settled_nodes(frame, catalog, lookups, options).alias("settled_nodes")] if lookups else []),
+        F.array(*[F.lit(item.attribute) for item in lookups]).cast("array<string>").alias("lookup_names"),
         K.signature_of(entity, _json_forms(frame, keys)).alias("sig"),
         F.when(F.size(errors) > 0, errors).alias("errors"),
         _map_of(key_texts).alias("key_values"),
