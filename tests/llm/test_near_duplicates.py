@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from llm.conftest import HARD, docs_of
 from weftline.llm import golay_dedup, line_dedup
 from weftline.llm.common import components
+from weftline.session import cut_lineage
 
 
 def roots(n, links):
@@ -248,3 +249,42 @@ def test_keep_one_goes_through_golay_keys(spark, monkeypatch):
     monkeypatch.setattr(golay_dedup, "_pairs_under_keys", none)
     assert (golay_dedup.fingerprint(" ".join(words), 5) ^ golay_dedup.fingerprint(near, 5)).bit_count() <= golay_dedup.ERRORS
     assert sorted(r["doc_id"] for r in golay_dedup.keep_one(docs, 5).collect()) == [1, 3]
+
+
+def test_many_pairs_are_verified_as_one_by_one():
+    rng = random.Random(5)
+    lefts, rights = [], []
+    for size in [0, 1, 2, 5, 63, 64, 65, 127, 128, 129, 300, 700] * 30:
+        a = bytearray(rng.choice(b"abcde \x00\xc3\xff") for _ in range(size))
+        b = bytearray(a)
+        for _ in range(int(size * rng.choice((0, 0.1, 0.19, 0.2, 0.21, 0.3, 0.6)))):
+            kind, at = rng.randrange(3), rng.randrange(len(b) + 1)
+            b[at : at + (kind > 0)] = bytes([rng.choice(b"abcde ")]) * (kind < 2)
+        if rng.random() < 0.1:
+            b = bytearray(rng.choice(b"abcde ") for _ in range(size))
+        lefts.append(bytes(a))
+        rights.append(bytes(b))
+    found = line_dedup.all_similar(lefts, rights)
+    assert found.tolist() == [line_dedup.similar(a, b) for a, b in zip(lefts, rights)]
+    assert 0 < found.sum() < len(found)
+
+
+def test_candidates_taken_in_parts_give_the_same_classes(spark, small_documents, monkeypatch):
+    docs = docs_of(spark, small_documents)
+    whole = sorted(line_dedup.repeated_lines(docs).collect())
+    monkeypatch.setattr(line_dedup, "LEAST_PAIRS", 1)
+    monkeypatch.setattr(line_dedup, "MET_A_LINE", 0.5)
+    monkeypatch.setattr(line_dedup, "VERIFIED_A_LINE", 0.2)
+    assert sorted(line_dedup.repeated_lines(docs).collect()) == whole
+
+
+def test_what_a_cut_shuffled_is_deleted(spark):
+    def shuffled():
+        blocks = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks()
+        return {b for b in str(blocks.mkString(" ")).split() if b.startswith("shuffle_")}
+
+    before = shuffled()
+    written = cut_lineage(spark.range(1000).repartition(4, "id"))
+    left = shuffled() - before
+    assert not left
+    assert written.distinct().count() == 1000
